@@ -733,3 +733,12 @@ def _register_flagship():
 
 
 _register_flagship()
+
+
+def _register_streaming():
+    from .streaming_queries import ROWS_ONLY
+    for name, fn in ROWS_ONLY.items():
+        query(name)(fn)
+
+
+_register_streaming()

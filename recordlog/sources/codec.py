@@ -22,31 +22,53 @@ def _fmt(f: str) -> str:
     return f
 
 
-def decode_col(c: Column, fmt: str, schema: str | T.DataType | None = None, on_error: str = "fail") -> Column:
+CORRUPT = "_corrupt_record"
+
+
+def _with_corrupt(schema) -> T.StructType:
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    if not isinstance(st, T.StructType):
+        raise ValueError("a JSON value schema must be a struct")
+    return T.StructType([f for f in st.fields if f.name != CORRUPT] + [T.StructField(CORRUPT, T.StringType())])
+
+
+def decode_col(c: Column, fmt: str, schema: str | T.DataType | None = None) -> Column:
     """Key or value column by format: BINARY -> base64 text, STRING -> text,
-    JSON / JSONSCHEMA -> struct of ``schema`` (or the JSON text when no schema)."""
+    JSON / JSONSCHEMA -> struct of ``schema`` (the JSON text when no schema).  Malformed
+    JSON gives a struct of nulls here; ``decode`` applies the error policy."""
     f = _fmt(fmt)
     if f == "BINARY":
         return F.base64(c.cast("binary"))
     if f == "STRING" or schema is None:
         return c.cast("string")
-    mode = "FAILFAST" if on_error == "fail" else "PERMISSIVE"
-    return F.from_json(c.cast("string"), schema, {"mode": mode})
+    return F.from_json(c.cast("string"), schema)
 
 
 def decode(df: DataFrame, key_format: str = "STRING", value_format: str = "JSON", value_schema=None,
            on_error: str = "fail") -> DataFrame:
-    """Decode key and value.  ``on_error='skip'`` drops records whose value does not parse
-    (null or malformed JSON); ``'fail'`` raises on the first one."""
-    out = df.withColumn("key", decode_col(F.col("key"), key_format)) \
-            .withColumn("value", decode_col(F.col("value"), value_format, value_schema, on_error))
-    if on_error == "skip" and value_schema is not None and _fmt(value_format) in ("JSON", "JSONSCHEMA"):
-        ok = F.col("value").isNotNull() & F.get_json_object(F.col("_raw"), "$").isNotNull()
-        out = df.withColumn("_raw", F.col("value").cast("string")) \
-                .withColumn("key", decode_col(F.col("key"), key_format)) \
-                .withColumn("value", decode_col(F.col("value"), value_format, value_schema, on_error)) \
-                .filter(ok).drop("_raw")
-    return out
+    """Decode key and value by format.
+
+    For JSON values with a schema, a text that is not a JSON object of that schema is
+    corrupt: ``fail`` raises at the first one, ``skip`` drops those records, ``keep``
+    keeps them with a null value and the text in ``corrupt_value``.  A null value (a
+    tombstone) is not corrupt."""
+    if on_error not in ("fail", "skip", "keep"):
+        raise ValueError("on_error must be fail, skip or keep")
+    out = df.withColumn("key", decode_col(F.col("key"), key_format))
+    if value_schema is None or _fmt(value_format) not in ("JSON", "JSONSCHEMA"):
+        return out.withColumn("value", decode_col(F.col("value"), value_format, value_schema))
+    parsed = F.from_json(F.col("value").cast("string"), _with_corrupt(value_schema),
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    out = out.withColumn("_p", parsed)
+    bad = F.col("_p").isNotNull() & F.col(f"_p.{CORRUPT}").isNotNull()
+    clean = F.when(bad, F.lit(None)).otherwise(F.col("_p").dropFields(CORRUPT))
+    if on_error == "skip":
+        return out.filter(~bad).withColumn("value", F.col("_p").dropFields(CORRUPT)).drop("_p")
+    if on_error == "fail":
+        err = F.raise_error(F.concat(F.lit("corrupt record value: "), F.col(f"_p.{CORRUPT}")))
+        return (out.withColumn("_ok", F.when(bad, err.cast("boolean")).otherwise(F.lit(True)))
+                .filter(F.col("_ok")).withColumn("value", F.col("_p").dropFields(CORRUPT)).drop("_p", "_ok"))
+    return out.withColumn("corrupt_value", F.col(f"_p.{CORRUPT}")).withColumn("value", clean).drop("_p")
 
 
 def encode_col(c: Column, fmt: str) -> Column:
