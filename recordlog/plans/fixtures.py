@@ -38,18 +38,51 @@ FIXED_REQUESTS = [
 ]
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """A derived log written once per session as parquet partitioned by topic in the shared
+    checkpoint folder, then read back: later plans scan it with partition pruning, column
+    pruning and pushed filters instead of re-deriving it, and its lineage is cut."""
+    from ..session import scratch_path
+    k = (spark.sparkContext.applicationId, *key)
+    path = _STORED.get(k)
+    df = None
+    if path is None:
+        df = build()
+        path = scratch_path(spark, "-".join(str(x) for x in key[-1:]))
+        df.write.partitionBy("topic").parquet(path)
+        _STORED[k] = path
+        cols = df.columns
+    else:
+        cols = None
+    got = spark.read.option("basePath", path).parquet(path)
+    order = cols or [c for c in _COLUMN_ORDER.get(key[-1], []) if c in got.columns] or got.columns
+    rest = [c for c in got.columns if c not in order]
+    return got.select(*order, *rest)
+
+
+_COLUMN_ORDER = {
+    "log": ["topic", "partition_id", "log_offset", "timestamp", "key", "value", "headers", "event_id"],
+    "dlq": ["topic", "partition_id", "log_offset", "timestamp", "key", "value", "headers", "origin_topic",
+            "source_offset", "event_id"],
+    "doc_log": ["topic", "partition_id", "log_offset", "timestamp", "key", "value", "headers", "doc_id"],
+}
+
+
 class Fixtures:
     """Lazily built fixture DataFrames of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
     @cached_property
     def log(self) -> DataFrame:
-        return log_from_events(self.spark, self.sf_dir)
+        return stored(self.spark, (self.sf_dir, "log"), lambda: log_from_events(self.spark, self.sf_dir))
 
     @cached_property
     def results(self) -> DataFrame:
@@ -57,7 +90,7 @@ class Fixtures:
 
     @cached_property
     def dlq(self) -> DataFrame:
-        return dead_letter_log(self.results)
+        return stored(self.spark, (self.sf_dir, "dlq"), lambda: dead_letter_log(self.results))
 
     @cached_property
     def log_all(self) -> DataFrame:
@@ -92,7 +125,8 @@ class Fixtures:
             F.timestamp_millis(F.lit(0)).alias("timestamp"), F.col("doc_id").cast("string").alias("key"),
             F.col("text").alias("value"), F.create_map().cast("map<string,string>").alias("headers"),
             F.col("doc_id"))
-        return number_within(d, ["topic", "partition_id"], ["doc_id"], chunk_of("doc_id"))
+        return stored(self.spark, (self.sf_dir, "doc_log"),
+                      lambda: number_within(d, ["topic", "partition_id"], ["doc_id"], chunk_of("doc_id")))
 
 
 # ------------------------------------------------------------------ DuckDB side

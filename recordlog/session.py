@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "recordlog") -> SparkSession:
+def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "recordlog",
+              driver_memory: str | None = None) -> SparkSession:
     """Session for local runs; on a cluster the caller's session is used as is."""
     master = master or os.environ.get("RECORDLOG_MASTER", "local[8]")
     spark = (
@@ -22,7 +23,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory or os.environ.get("RECORDLOG_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
