@@ -22,3 +22,17 @@ def as_frame(df_like: DataFrame, arg, ddl: str) -> DataFrame:
     if isinstance(arg, DataFrame):
         return arg
     return small_frame(df_like.sparkSession, arg, ddl)
+
+
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join a table with one row per topic-partition (or per request) to a log.
+
+    The small side is counted first; only when that count is within ``max_rows``
+    is it broadcast, so the log is not shuffled by (topic, partition_id) and a hot
+    partition cannot pile up in one task.  Beyond it the join is left to the
+    planner (sort-merge with AQE skew splitting)."""
+    n = small.count()
+    if n <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MAX_POLL_RECORDS
-from ._args import as_frame
+from ._args import as_frame, join_checked
 from .numbering import chunk_of, number_within
 
 TP = ["topic", "partition_id"]
@@ -40,7 +40,7 @@ def committed(commits: DataFrame, group: str, partitions) -> DataFrame:
     """Last committed offset of each requested partition, null when never committed."""
     req = as_frame(commits, partitions, "topic string, partition_id int").select(*TP)
     last = latest_commits(commits, group).select(*TP, F.col("log_offset").alias("committed_offset"))
-    return req.join(last, TP, "left")
+    return join_checked(req, last, TP, "left")
 
 
 def commit(commits: DataFrame, positions: DataFrame, group: str, committed_at: int | Column) -> DataFrame:

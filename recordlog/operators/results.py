@@ -104,15 +104,24 @@ def rollback_decision(df: DataFrame, batch_cols: Sequence[str], threshold: float
 
     ``compat``: ``failed >= threshold * size / 100`` (so 0 % rolls back every batch);
     ``strict``: ``failed > threshold * size / 100``."""
+    g = df.groupBy(*batch_cols).agg(*batch_counts())
+    return g.withColumn("rolled_back", rollback_flag(threshold, mode))
+
+
+def batch_counts() -> list[Column]:
+    """Aggregates behind the rollback rule: ``batch_size`` and ``failed``."""
+    return [F.count(F.lit(1)).alias("batch_size"),
+            F.sum(F.when(F.col("processed") == F.lit(False), 1).otherwise(0)).cast("bigint").alias("failed")]
+
+
+def rollback_flag(threshold: float = ROLLBACK_THRESHOLD_PCT, mode: str = "compat",
+                  failed: str = "failed", size: str = "batch_size") -> Column:
+    """The rollback rule on aggregated counts."""
     _check_pct(threshold)
-    g = df.groupBy(*batch_cols).agg(
-        F.count(F.lit(1)).alias("batch_size"),
-        F.sum(F.when(F.col("processed") == F.lit(False), 1).otherwise(0)).cast("bigint").alias("failed"))
-    limit = F.lit(float(threshold)) * F.col("batch_size") / F.lit(100.0)
-    rb = F.col("failed") >= limit if mode == "compat" else F.col("failed") > limit
     if mode not in ("compat", "strict"):
         raise ValueError("mode must be 'compat' or 'strict'")
-    return g.withColumn("rolled_back", rb)
+    limit = F.lit(float(threshold)) * F.col(size) / F.lit(100.0)
+    return F.col(failed) >= limit if mode == "compat" else F.col(failed) > limit
 
 
 def size_check(sent: DataFrame, results: DataFrame, batch_cols: Sequence[str]) -> DataFrame:

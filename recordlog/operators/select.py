@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DLQ_EXT, MAX_FETCH_BYTES, MAX_POLL_RECORDS
 from ..functions.names import parse_topic_list
-from ._args import as_frame
+from ._args import as_frame, join_checked
 
 TP = ["topic", "partition_id"]
 
@@ -61,7 +61,7 @@ def seek(df: DataFrame, positions) -> DataFrame:
                        for t, p, o in positions], F.lit(False))
         return df.filter(cond)
     pos = positions.select(*TP, F.col("log_offset").cast("bigint").alias("_pos"))
-    return df.join(pos, TP).filter(F.col("log_offset") >= F.col("_pos")).drop("_pos")
+    return join_checked(df, pos, TP).filter(F.col("log_offset") >= F.col("_pos")).drop("_pos")
 
 
 def _ts_ms(ts) -> int:
@@ -89,7 +89,12 @@ def timestamp_positions(df: DataFrame, timestamps) -> DataFrame:
 
 def seek_timestamps(df: DataFrame, timestamps) -> DataFrame:
     """Records from the first offset at or after the given time, per listed partition."""
-    return seek(df, timestamp_positions(df, timestamps))
+    pos = timestamp_positions(df, timestamps)
+    if not isinstance(timestamps, DataFrame):
+        # at most one position per listed partition: a proven bound, broadcast as is
+        p = pos.select(*TP, F.col("log_offset").alias("_pos"))
+        return df.join(F.broadcast(p), TP).filter(F.col("log_offset") >= F.col("_pos")).drop("_pos")
+    return seek(df, pos)
 
 
 def _bounds_for(df: DataFrame, partitions) -> DataFrame:
@@ -118,7 +123,7 @@ def resume(df: DataFrame, commits: DataFrame, group: str, reset: str = "earliest
     if reset not in ("earliest", "latest"):
         raise ValueError("reset must be 'earliest' or 'latest'")
     last = latest_commits(commits, group).select(*TP, F.col("log_offset").alias("_committed"))
-    j = df.join(last, TP, "left")
+    j = join_checked(df, last, TP, "left")
     keep = F.col("log_offset") > F.col("_committed")
     keep = F.coalesce(keep, F.lit(reset == "earliest"))
     return j.filter(keep).drop("_committed")
@@ -163,9 +168,12 @@ def first_n(df: DataFrame, n: int) -> DataFrame:
 
 
 def log_order(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Records clustered by topic-partition and sorted by offset inside each task."""
-    d = df.repartition(num_partitions, *TP) if num_partitions else df.repartition(*TP)
-    return d.sortWithinPartitions(*TP, "log_offset")
+    """Records in log order: (topic, partition_id, log_offset) ascending across and within
+    tasks.  Range partitioning on all three keys splits a hot partition into offset
+    ranges instead of sending it to one task."""
+    keys = [*TP, "log_offset"]
+    d = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    return d.sortWithinPartitions(*keys)
 
 
 def read_dead_letters(df: DataFrame, topics: str | list[str], ext: str = DLQ_EXT) -> DataFrame:

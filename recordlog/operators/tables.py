@@ -57,7 +57,9 @@ def materialize_agg(df: DataFrame, keys: Sequence[str | Column], aggs: Mapping[s
 
 def word_count(df: DataFrame, col: str = "text", pattern: str = WORD_PATTERN) -> DataFrame:
     """Lower-cased words (maximal runs matching ``pattern``) of whole texts and their counts."""
-    words = df.select(F.explode(F.regexp_extract_all(F.lower(F.col(col)), F.lit(pattern), 0)).alias("word"))
+    from .parallel import spread
+    words = spread(df.select(col)).select(
+        F.explode(F.regexp_extract_all(F.lower(F.col(col)), F.lit(pattern), 0)).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -65,7 +67,12 @@ def materialize_window(df: DataFrame, kind: str, size: str, keys: Sequence[str |
                        aggs: Mapping[str, Column], slide: str | None = None, ts_col: str = "timestamp",
                        watermark: str | None = None) -> DataFrame:
     """Time-windowed table: ``tumbling`` (size), ``hopping`` (size, slide) or ``session``
-    (size = gap).  Output carries ``window_start`` / ``window_end`` as timestamps."""
+    (size = gap).  Output carries ``window_start`` / ``window_end`` as timestamps.
+    Batch session tables use the chunked ``sessionize`` (hot keys stay parallel);
+    streams use Spark's ``session_window`` with its state store."""
+    if kind == "session" and not df.isStreaming and all(isinstance(k, str) for k in keys):
+        from .sessions import sessionize
+        return sessionize(df, keys, ts_col, size, aggs)
     d = df.withWatermark(ts_col, watermark) if watermark else df
     if kind == "tumbling":
         w = F.window(ts_col, size)

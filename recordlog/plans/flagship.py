@@ -15,11 +15,12 @@ def batch_outcomes(spark: SparkSession, sf_dir: str, threshold: float = 30, mode
     """Per (topic, partition_id, batch_no): batch size, failed, rolled back, dead letters
     (0 when rolled back) and the commit position (null when rolled back)."""
     res = O.with_batches(Fixtures(spark, sf_dir).results)
-    dec = RS.rollback_decision(res, KEYS, threshold, mode)
-    dl = res.groupBy(*KEYS).agg(
+    # one aggregation (partial before the shuffle) gives every figure of a batch
+    dec = res.groupBy(*KEYS).agg(
+        *RS.batch_counts(),
         F.count(F.when(~F.coalesce(F.col("processed"), F.lit(False)), 1)).alias("_dl"),
-        F.max("log_offset").alias("_last"))
-    return dec.join(dl, KEYS).select(
+        F.max("log_offset").alias("_last")).withColumn("rolled_back", RS.rollback_flag(threshold, mode))
+    return dec.select(
         *KEYS, "batch_size", "failed", "rolled_back",
         F.when(F.col("rolled_back"), F.lit(0)).otherwise(F.col("_dl")).cast("bigint").alias("dead_letters"),
         F.when(~F.col("rolled_back"), F.col("_last")).alias("commit_offset"))
