@@ -60,7 +60,7 @@ def topic_in(col: str | Column, configured: str | list[str], mode: str = "strict
     """Membership of a topic in the configured topics.
 
     ``strict``: exact member of the parsed list; ``compat``: substring of the configured
-    comma text (so "test" matches "test1", as the sidecar does)."""
+    comma text (so "test" matches "test1", as the original service does)."""
     c = _c(col)
     if mode == "compat":
         text = configured if isinstance(configured, str) else ",".join(configured)

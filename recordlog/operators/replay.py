@@ -82,7 +82,7 @@ def relevant_replays(control: DataFrame, config_topics: str | list[str], mode: s
                      ext: str = DLQ_EXT) -> DataFrame:
     """Control requests this consumer handles: the topic is configured, or -- for a
     dead-letter replay -- the base topic before ``ext`` is.  ``compat`` uses the
-    substring test of the sidecar."""
+    substring test of the original service."""
     dlq = F.coalesce(F.col("dlq_indicator"), F.lit(False))
     keep = (dlq & topic_in(base_topic("topic_name", ext), config_topics, mode)) | topic_in("topic_name", config_topics, mode)
     return control.filter(keep)

@@ -19,7 +19,7 @@ TP = ["topic", "partition_id"]
 
 
 def subscribe(df: DataFrame, topics: str | list[str]) -> DataFrame:
-    """Records of the listed topics (a comma text is parsed as the sidecar does)."""
+    """Records of the listed topics (a comma text is parsed as the original service does)."""
     names = parse_topic_list(topics) if isinstance(topics, str) else list(topics)
     return df.filter(F.col("topic").isin(names))
 

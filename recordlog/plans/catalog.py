@@ -491,14 +491,14 @@ def _status_sql() -> str:
         if isinstance(v, int):
             return str(v)
         return "'" + v.replace("'", "''") + "'"
-    rows = ", ".join(f"({lit(c)}, CAST({lit(s)} AS INT), {lit(m)})" for c, s, m, _ in STATUS_TABLE)
+    rows = ", ".join(f"({lit(c)}, CAST({lit(s)} AS INT), {lit(m)})" for c, s, m in STATUS_TABLE)
     return f"st(code, status_code, message) AS (VALUES {rows})"
 
 
 @query("with_status", sql("""SELECT v.request_id, 'ERR12218' AS error_code, st.status_code, st.message
   FROM validated v LEFT JOIN st ON st.code = 'ERR12218' WHERE v.error_detail IS NOT NULL""", _status_sql()))
 def _(fx):
-    st = small_frame(fx.spark, [(c, s, m) for c, s, m, _ in STATUS_TABLE], "code string, status_code int, message string")
+    st = small_frame(fx.spark, list(STATUS_TABLE), "code string, status_code int, message string")
     v = R.validate_replays(fx.requests, REPLAY_TOPICS).filter(~F.col("valid"))
     return (v.join(st, v.error_code == st.code, "left")
             .select("request_id", "error_code", "status_code", "message"))

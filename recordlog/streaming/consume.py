@@ -90,7 +90,7 @@ def run_consumer(stream_factory: Callable[[], DataFrame], fn: Callable, cfg: Con
 
     The restart resumes from the checkpoint, so the rolled-back batch is read
     again.  After ``max_attempts`` failed attempts the error is raised (the
-    sidecar retried without limit; a poison batch would loop forever).
+    original service retried without limit; a poison batch would loop forever).
     Returns the number of attempts used."""
     for attempt in range(1, max_attempts + 1):
         q = consume(stream_factory(), fn, cfg)

@@ -1,4 +1,4 @@
-"""The rollback rule, with the five literal cases of the sidecar's own unit test."""
+"""The rollback rule, with the five literal cases of the original service's own unit test."""
 import pytest
 
 from recordlog.operators.results import rollback_decision
