@@ -742,3 +742,42 @@ def _register_streaming():
 
 
 _register_streaming()
+
+
+# =================================================================== more variants
+_LATEST_G1_ONLY = """lc AS (SELECT topic, partition_id, arg_max(log_offset, committed_at) AS committed
+                      FROM commits WHERE consumer_group = 'g1' GROUP BY 1, 2)"""
+
+
+@query("resume_latest", sql(f"""SELECT {FLAT} FROM log l JOIN lc USING (topic, partition_id)
+  WHERE l.log_offset > lc.committed""", _LATEST_G1_ONLY))
+def _(fx):
+    """Resume with reset 'latest': uncommitted partitions give nothing until new records arrive."""
+    return flat(S.resume(fx.log, fx.commits, "g1", "latest"))
+
+
+@query("pull_sql", sql(f"SELECT {FLAT} FROM lp WHERE partition_id = 2 AND ts_ms >= 1705276800000", _LATEST_PURCHASE))
+def _(fx):
+    """Pull query as SQL text over a registered table (the stream-SQL endpoint's pull path)."""
+    t = flat(_latest_purchase(fx))
+    t.createOrReplaceTempView("latest_purchase")
+    return TB.sql_query(fx.spark, "SELECT * FROM latest_purchase WHERE partition_id = 2 AND ts_ms >= 1705276800000")
+
+
+@query("audit_lines", sql("""SELECT json_object('id', id, 'service_id', service_id,
+  'audit_type', audit_type, 'topic', topic, 'partition_id', partition_id, 'log_offset', log_offset,
+  'correlation_id', correlation_id, 'traceability_id', traceability_id, 'key', key, 'audit_ts', audit_ts,
+  'audit_status', audit_status, 'stacktrace', stacktrace)::VARCHAR AS value FROM a""",
+    "a AS (SELECT " + _AUDIT_COLS.format(svc=SERVICE_ID, typ="ACTIVE_CONSUMER") + " FROM results)"))
+def _(fx):
+    """Audit rows for the log-file target: one JSON line each."""
+    return RS.audit_lines(RS.audit_from_results(fx.results, "ACTIVE_CONSUMER", SERVICE_ID))
+
+
+@query("timestamp_positions", sql("""SELECT l.topic, l.partition_id, min(l.log_offset) AS log_offset FROM log l JOIN
+  (VALUES ('ev.click', 0, 1705276800000), ('ev.view', 2, 1705752000000), ('ev.error', 1, 1893456000000))
+  AS r(topic, partition_id, t) ON l.topic = r.topic AND l.partition_id = r.partition_id WHERE l.ts_ms >= r.t
+  GROUP BY 1, 2"""))
+def _(fx):
+    """Seek positions by time: earliest offset at or after the time per listed partition."""
+    return S.timestamp_positions(fx.log, SEEK_TIMES)

@@ -110,7 +110,21 @@ def dlq_headers_q(fx) -> DataFrame:
                 F.col("h.value").alias("value"))
 
 
+def dedupe_stream_q(fx) -> DataFrame:
+    """STR-6 on a stream: repeated (topic, key, value) dropped within a 1-day watermark."""
+    from ..operators.tables import dedupe_stream
+    spark = fx.spark
+    recs = events_as_records(stream_events(spark, fx.sf_dir))
+    out = scratch_path(spark, "dedupe-out")
+    q = push_query(recs, lambda df: dedupe_stream(df, ["topic", "key", "value"], "timestamp", "1 day")
+                   .select("topic", "key", "value", F.unix_millis("timestamp").alias("ts_ms")),
+                   out, scratch_path(spark, "dedupe-ckpt"), output_mode="append")
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
 ROWS_ONLY = {
+    "dedupe_stream": dedupe_stream_q,
     "dlq_headers": dlq_headers_q,
     "consume_stream": consume_stream,
     "replay_stream": replay_stream_query,

@@ -26,7 +26,7 @@ def write_audit(audit: DataFrame, path: str, batch_id: int, target: str = "topic
     """Audit rows of one batch: ``topic`` -> (key = correlation id, value = JSON) records;
     ``logfile`` -> JSON lines."""
     rows = audit_kv(audit) if target == "topic" else audit_lines(audit)
-    write_batch(rows, path, batch_id, "parquet" if target == "topic" else "json")
+    write_batch(rows, path, batch_id, "parquet" if target == "topic" else "text")
 
 
 class RowSubscriber:
