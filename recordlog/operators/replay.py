@@ -131,9 +131,12 @@ def replay_start_check(requests: DataFrame, log: DataFrame, ext: str = DLQ_EXT)
     Offsets are unique and increasing, so the first record at or after ``start``
     is at ``start`` exactly when a record with that offset exists: an equi-join,
     not a range scan.  Nothing there means not ok."""
+    from ._args import join_checked
     req = requests.select("request_id", read_topic(ext).alias("topic"), "partition_id",
                           F.col("start_offset").cast("bigint").alias("log_offset"))
-    hit = log.select(*TP, "log_offset").withColumn("_hit", F.lit(True))
+    # probe the log with the start positions (broadcast when few), then attach to the requests
+    starts = req.select(*TP, "log_offset").distinct()
+    hit = join_checked(log.select(*TP, "log_offset"), starts, [*TP, "log_offset"]).withColumn("_hit", F.lit(True))
     j = req.join(hit, [*TP, "log_offset"], "left")
     ok = F.coalesce(F.col("_hit"), F.lit(False))
     return j.select("request_id", "topic", "partition_id", F.col("log_offset").alias("start_offset"),

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNK_US = 3_600_000_000  # one hour of event time per chunk
+# largest number of events of one key that Spark's own session_window may sort in one task
+MAX_KEY_ROWS = 2_000_000
 
 
 def _interval_us(text: str) -> int:
@@ -32,13 +34,31 @@ def _interval_us(text: str) -> int:
     return spark.range(1).select(F.expr(f"unix_micros(timestamp_micros(0) + interval {text})")).first()[0]
 
 
+def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the most frequent key (a partial aggregation and one row to the driver)."""
+    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(r or 0)
+
+
 def sessionize(df: DataFrame, keys: Sequence[str], ts_col: str, gap: str | int,
-               aggs: Mapping[str, Column], chunk_us: int = DEFAULT_CHUNK_US) -> DataFrame:
+               aggs: Mapping[str, Column], chunk_us: int = DEFAULT_CHUNK_US, strategy: str = "auto",
+               max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
     """Session aggregates per key: ``window_start`` (first event), ``window_end`` (last
     event + gap) and ``aggs`` (expressions over the session's rows; they must be
-    re-aggregatable by a plain group-by, e.g. count/sum/min/max)."""
+    re-aggregatable by a plain group-by, e.g. count/sum/min/max).
+
+    ``strategy='auto'`` measures the largest key first: when every key has at most
+    ``max_key_rows`` events, Spark's ``session_window`` (one sort per key) is used;
+    otherwise the chunked plan below.  ``'native'`` / ``'chunked'`` force one."""
     keys = list(keys)
+    if strategy == "auto":
+        strategy = "native" if largest_key(df, keys) <= max_key_rows else "chunked"
     gap_us = gap if isinstance(gap, int) else _interval_us(gap)
+    if strategy == "native":
+        w = F.session_window(F.col(ts_col), f"{gap_us} microseconds")
+        g = df.groupBy(w.alias("_w"), *keys).agg(*[c.alias(n) for n, c in aggs.items()])
+        return g.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
+                        *keys, *aggs.keys())
     d = df.withColumn("_t", F.unix_micros(F.col(ts_col))).withColumn("_c", F.floor(F.col("_t") / F.lit(chunk_us)))
     # 1. predecessor inside the chunk, and the last time of each (key, chunk)
     in_chunk = Window.partitionBy(*keys, "_c").orderBy("_t")
