@@ -24,7 +24,8 @@ def topic_list(col: str | Column) -> Column:
 def parse_topic_list(text: str) -> list[str]:
     """The same rule for a Python string (arguments of operators)."""
     if "," in text:
-        return re.sub(r"\s+", "", text).split(",")
+        # Java's \s: ASCII whitespace only
+        return re.sub(r"[ \t\n\x0b\f\r]+", "", text).split(",")
     return [text]
 
 

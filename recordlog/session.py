@@ -49,3 +49,28 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(total_input_bytes: int | None = None, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings we expect on a large cluster (pass to ``SparkSession.builder.config``).
+
+    AQE re-plans joins from measured sizes, splits skewed shuffle partitions and
+    coalesces small ones; the initial shuffle width is sized from the input so a
+    partition fits an executor's memory before coalescing."""
+    width = "2000"
+    if total_input_bytes:
+        width = str(max(200, int(total_input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        "spark.sql.shuffle.partitions": width,
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.session.timeZone": "UTC",
+    }

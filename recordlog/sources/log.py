@@ -140,6 +140,17 @@ def kafka_options(bootstrap: str, topics: str | None = None, pattern: str | None
     return opts
 
 
+def read_kafka(spark: SparkSession, options: dict, streaming: bool = False) -> DataFrame:
+    """A Kafka topic as a log DataFrame; needs the spark-sql-kafka package on the class path."""
+    r = spark.readStream if streaming else spark.read
+    try:
+        return from_kafka(r.format("kafka").options(**options).load())
+    except Exception as e:  # noqa: BLE001
+        if "kafka" in str(e).lower() and ("find data source" in str(e).lower() or "DATA_SOURCE_NOT_FOUND" in str(e)):
+            raise RuntimeError("the Kafka source is not on the class path (spark-sql-kafka package)") from e
+        raise
+
+
 def from_kafka(df: DataFrame) -> DataFrame:
     """Kafka source rows -> log DataFrame (renames; headers array -> map, last value wins)."""
     hdr = F.map_from_entries(F.transform(

@@ -78,3 +78,24 @@ def test_decode_policies(spark):
     with pytest.raises(Exception):
         decode(df, "STRING", "JSON", "k int", "fail").collect()
     assert decode(df.limit(1), "BINARY", "STRING").first().key == "YQ=="
+
+
+def test_topic_list_python_and_spark_agree(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    texts = []
+
+    @settings(max_examples=60, deadline=None)
+    @given(st.text(alphabet="ab ,\t.", max_size=12))
+    def collect(t):
+        texts.append(t)
+    collect()
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r.o for r in df.select(N.topic_list("s").alias("o")).collect()]
+    assert got == [N.parse_topic_list(t) for t in texts]
+
+
+def test_kafka_reader_without_jar(spark):
+    from recordlog.sources.log import kafka_options, read_kafka
+    with pytest.raises(RuntimeError):
+        read_kafka(spark, kafka_options("localhost:9092", topics="a"))
