@@ -14,7 +14,7 @@ from ..operators.numbering import chunk_of, number_within
 from ..operators.replay import REQUEST_DDL, valid_replays
 from ..operators.results import dead_letter_log, results_from_log
 from ..operators.select import union_topics
-from ..sources.log import log_from_events, table
+from ..sources.log import log_from_events, table, write_log
 
 NOW_MS = 1735689600000  # fixed "now" (2025-01-01T00:00:00Z) so outputs are reproducible
 REPLAY_TOPICS = "ev.error,ev.click,ev.view,ev.purchase,ev.signup"
@@ -52,7 +52,7 @@ def stored(spark: SparkSession, key: tuple, build) -> DataFrame:
     if path is None:
         df = build()
         path = scratch_path(spark, "-".join(str(x) for x in key[-1:]))
-        df.write.partitionBy("topic").parquet(path)
+        write_log(df, path)
         _STORED[k] = path
         cols = df.columns
     else:

@@ -94,6 +94,15 @@ def flat(df: DataFrame, *extra: str) -> DataFrame:
     )
 
 
+def write_log(df: DataFrame, path: str, mode: str = "errorifexists", num_files: int | None = None) -> None:
+    """Store a log like topic segments: one folder per topic, files holding contiguous
+    offset ranges of one partition, rows sorted by offset.  Topic filters then prune
+    folders and offset predicates skip row groups by their min/max statistics."""
+    keys = ["topic", "partition_id", "log_offset"]
+    d = df.repartitionByRange(num_files, *keys) if num_files else df.repartitionByRange(*keys)
+    d.sortWithinPartitions(*keys).write.mode(mode).partitionBy("topic").parquet(path)
+
+
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A stored log table (e.g. written partitioned by topic, so topic filters prune folders)."""
     return spark.read.format(fmt).load(path)
