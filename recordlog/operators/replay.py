@@ -171,3 +171,17 @@ def republish(replayed: DataFrame) -> DataFrame:
             .select("request_id", F.col("destination_topic").alias("topic"), "key", "value",
                     replay_headers().alias("headers"),
                     F.col("topic").alias("source_topic"), "partition_id", F.col("log_offset").alias("source_offset")))
+
+
+def status_table(spark) -> DataFrame:
+    """The error-status dimension (code, status_code, message): fixed and small."""
+    from ..config import STATUS_TABLE
+    from ._args import small_frame
+    return small_frame(spark, list(STATUS_TABLE), "code string, status_code int, message string")
+
+
+def with_status(df: DataFrame, code_col: str = "error_code") -> DataFrame:
+    """Attach status code and message of each row's error code (left join on a broadcast
+    dimension; rows without a code keep nulls)."""
+    st = status_table(df.sparkSession)
+    return df.join(st, df[code_col] == st["code"], "left").drop("code")

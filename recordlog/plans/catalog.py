@@ -498,10 +498,8 @@ def _status_sql() -> str:
 @query("with_status", sql("""SELECT v.request_id, 'ERR12218' AS error_code, st.status_code, st.message
   FROM validated v LEFT JOIN st ON st.code = 'ERR12218' WHERE v.error_detail IS NOT NULL""", _status_sql()))
 def _(fx):
-    st = small_frame(fx.spark, list(STATUS_TABLE), "code string, status_code int, message string")
     v = R.validate_replays(fx.requests, REPLAY_TOPICS).filter(~F.col("valid"))
-    return (v.join(st, v.error_code == st.code, "left")
-            .select("request_id", "error_code", "status_code", "message"))
+    return R.with_status(v).select("request_id", "error_code", "status_code", "message")
 
 
 @query("materialize_join", sql("""SELECT CAST(lp.record_key AS BIGINT) AS user_id, lp.log_offset, lp.record_value AS value,

@@ -59,6 +59,12 @@ def test_rollback_then_retry(spark, fx_small):
     dl = spark.read.parquet(os.path.join(cfg.out_dir, "dead_letters"))
     n_failed = fx_small.results.filter(~F.coalesce(F.col("processed"), F.lit(False))).count()
     assert dl.count() == n_failed
+    dead = {(r.origin_topic, r.partition_id, r.source_offset) for r in dl.collect()}
+    aud = audit.select(F.from_json("value", "topic string, partition_id int, log_offset bigint, audit_status string")
+                       .alias("a")).select("a.*").collect()
+    ok = {(r.topic, r.partition_id, r.log_offset) for r in aud if r.audit_status == "SUCCESS"}
+    every = {(r.topic, r.partition_id, r.log_offset) for r in fx_small.log.collect()}
+    assert not (dead & ok) and (dead | ok) == every
     # commit positions never go backwards
     commits = spark.read.parquet(os.path.join(cfg.out_dir, "commits")).collect()
     last = {}
