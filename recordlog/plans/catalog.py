@@ -734,9 +734,12 @@ _register_flagship()
 
 
 def _register_streaming():
-    from .streaming_queries import ROWS_ONLY
+    from .streaming_queries import ROWS_ONLY, latest_stream_q
     for name, fn in ROWS_ONLY.items():
         query(name)(fn)
+    query("latest_stream", sql("""SELECT topic, record_key AS key, ts_ms, partition_id, event_id, record_value AS value
+  FROM (SELECT *, row_number() OVER (PARTITION BY topic, record_key ORDER BY ts_ms DESC, partition_id DESC,
+                                     event_id DESC) AS rk FROM log) WHERE rk = 1"""))(latest_stream_q)
 
 
 _register_streaming()

@@ -123,6 +123,24 @@ def dedupe_stream_q(fx) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def latest_stream_q(fx) -> DataFrame:
+    """AGG-5 / STR-4 as a stream: latest record per (topic, user) kept in state from the
+    events stream (four micro-batches), read back as the table."""
+    from ..streaming.push import materialize_latest_stream, read_table
+    spark = fx.spark
+    src = stage(events_as_records(fx.table("events")), "events-log")
+    stream = _stream(spark, src)
+    out = scratch_path(spark, "latest-changelog")
+    q = materialize_latest_stream(stream, ["topic", "key"], out, scratch_path(spark, "latest-ckpt"),
+                                  order=("timestamp", "partition_id", "event_id"))
+    q.awaitTermination()
+    t = read_table(spark, out, ["topic", "key"])
+    return t.select("topic", "key", F.unix_millis("timestamp").alias("ts_ms"), "partition_id", "event_id", "value")
+
+
+LATEST_STREAM_SQL = None  # set by the catalog (needs the SQL fixtures)
+
+
 ROWS_ONLY = {
     "dedupe_stream": dedupe_stream_q,
     "dlq_headers": dlq_headers_q,

@@ -34,11 +34,7 @@ def push_query(stream_df: DataFrame, transform: Callable[[DataFrame], DataFrame]
         from .sinks import write_batch
 
         def changes(df, bid):
-            df.persist()
-            try:
-                write_batch(df, path, bid, fmt)
-            finally:
-                df.unpersist()
+            write_batch(df, path, bid, fmt)
         w = w.foreachBatch(changes)
     else:
         w = w.format(fmt).option("path", path)
@@ -51,3 +47,38 @@ def query_state(spark: SparkSession, checkpoint: str, operator_id: int = 0, stor
     if store_name:
         r = r.option("storeName", store_name)
     return r.load(checkpoint)
+
+
+def materialize_latest_stream(stream_log: DataFrame, key_cols, path: str, checkpoint: str,
+                              order=("timestamp", "partition_id", "log_offset"), trigger: dict | None = None):
+    """Table from a stream: the state store keeps the latest row per key (``max_by`` in
+    update mode, one state row per key); each micro-batch appends the keys it changed to
+    a changelog under ``path`` (partitioned by batch id, idempotent on re-run).  Read the
+    table with ``read_table``."""
+    from pyspark.sql import functions as F
+
+    from .sinks import write_batch
+    keys = list(key_cols)
+    order = [c for c in order if c in stream_log.columns]
+    rest = [c for c in stream_log.columns if c not in keys and c not in order]
+    m = F.max_by(F.struct(*order, *rest), F.struct(*order)).alias("_m")
+    agg = stream_log.groupBy(*keys).agg(m).select(*keys, *[F.col(f"_m.{c}").alias(c) for c in (*order, *rest)])
+
+    def changes(df, bid):
+        write_batch(df, path, bid)
+    return (agg.writeStream.outputMode("update").foreachBatch(changes)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+
+
+def read_table(spark: SparkSession, path: str, key_cols, tombstones: bool = True) -> DataFrame:
+    """The materialised table: per key the row of the latest change (highest batch id);
+    with ``tombstones`` a latest null value deletes the key."""
+    from pyspark.sql import functions as F
+    log = spark.read.parquet(path)
+    keys = list(key_cols)
+    rest = [c for c in log.columns if c not in keys and c != "batch_id"]
+    t = (log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch_id")).alias("_m"))
+         .select(*keys, *[F.col(f"_m.{c}").alias(c) for c in rest]))
+    if tombstones and "value" in t.columns:
+        t = t.filter(F.col("value").isNotNull())
+    return t
