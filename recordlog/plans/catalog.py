@@ -723,6 +723,47 @@ def _(fx):
     return flat(rows)
 
 
+# =================================================================== oracles of the streaming queries
+_AUDIT_KV_BODY = """SELECT correlation_id AS key, json_object('id', id, 'service_id', service_id,
+  'audit_type', audit_type, 'topic', topic, 'partition_id', partition_id, 'log_offset', log_offset,
+  'correlation_id', correlation_id, 'traceability_id', traceability_id, 'key', key, 'audit_ts', audit_ts,
+  'audit_status', audit_status, 'stacktrace', stacktrace)::VARCHAR AS value FROM a"""
+
+_DLQ_RESULTS = """rd AS (SELECT *, record_key AS result_key,
+         CASE WHEN event_id % 17 = 0 THEN '' WHEN event_id % 2 = 0 THEN NULL
+              ELSE 'rc-' || CAST(event_id AS VARCHAR) END AS correlation_id,
+         CASE WHEN event_id % 2 = 1 THEN NULL ELSE 'rt-' || CAST(event_id % 100 AS VARCHAR) END AS traceability_id,
+         CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id % 4 <> 0 END AS processed,
+         CASE WHEN event_id % 4 = 0 THEN 'error happened' ELSE NULL END AS stacktrace
+  FROM dlq)"""
+
+STREAM_ORACLES = {
+    "consume_stream": sql(_AUDIT_KV_BODY, "a AS (SELECT " + _AUDIT_COLS.format(svc=SERVICE_ID, typ="REACTIVE_CONSUMER")
+                          + " FROM results)"),
+    "replay_dead_letters": sql(_AUDIT_KV_BODY, _DLQ_RESULTS + ",\n  a AS (SELECT "
+                               + _AUDIT_COLS.format(svc=SERVICE_ID, typ="REACTIVE_CONSUMER") + " FROM rd)"),
+    "query_state": sql("SELECT topic, count(*) AS n FROM log GROUP BY topic"),
+    "push_query": sql("""SELECT (ts_ms // 86400000) * 86400000 AS window_start_ms, topic, count(*) AS n
+  FROM log GROUP BY 1, 2"""),
+    "dedupe_stream": sql("SELECT DISTINCT topic, record_key AS key, record_value AS value FROM log"),
+    "replay_stream": sql("""SELECT r.topic_name, r.partition_id, r.start_offset, r.end_offset, r.consumer_group,
+  r.dlq_indicator, g.n AS n_records, g.last_offset, g.last_offset + 1 AS next_offset,
+  g.last_offset + 1 >= r.end_offset AS finished
+  FROM valid_requests r JOIN (SELECT request_id, count(*) AS n, max(log_offset) AS last_offset FROM replayed
+                              GROUP BY 1) g USING (request_id)
+  WHERE EXISTS (SELECT 1 FROM log_all l
+                WHERE l.topic = CASE WHEN r.dlq_indicator THEN r.topic_name || '.dlq' ELSE r.topic_name END
+                  AND l.partition_id = r.partition_id AND l.log_offset = r.start_offset)"""),
+    "dlq_headers": sql("""SELECT topic || '.dlq' AS topic, partition_id, log_offset AS source_offset,
+  CAST(generate_subscripts(h, 1) - 1 AS INT) AS pos, unnest(h).key AS key, unnest(h).value AS value
+  FROM (SELECT *, list_filter([
+      {'key': 'X-Correlation-Id', 'value': correlation_id}, {'key': 'X-Traceability-Id', 'value': traceability_id},
+      {'key': 'X-Stack-Trace', 'value': stacktrace}, {'key': 'X-Correlation-Id', 'value': hdr_correlation_id},
+      {'key': 'X-Traceability-Id', 'value': hdr_traceability_id}, {'key': 'X-Event-Type', 'value': hdr_event_type}],
+      lambda x: x.value IS NOT NULL) AS h FROM results WHERE processed = FALSE)"""),
+}
+
+
 # =================================================================== flagship
 def _register_flagship():
     from .flagship import ORACLE, batch_outcomes
@@ -736,7 +777,7 @@ _register_flagship()
 def _register_streaming():
     from .streaming_queries import ROWS_ONLY, latest_stream_q
     for name, fn in ROWS_ONLY.items():
-        query(name)(fn)
+        query(name, STREAM_ORACLES.get(name))(fn)
     query("latest_stream", sql("""SELECT topic, record_key AS key, ts_ms, partition_id, event_id, record_value AS value
   FROM (SELECT *, row_number() OVER (PARTITION BY topic, record_key ORDER BY ts_ms DESC, partition_id DESC,
                                      event_id DESC) AS rk FROM log) WHERE rk = 1"""))(latest_stream_q)

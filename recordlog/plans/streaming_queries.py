@@ -40,7 +40,7 @@ def consume_stream(fx) -> DataFrame:
     cfg = ConsumerConfig(out_dir=scratch_path(spark, "consume-out"), checkpoint=scratch_path(spark, "consume-ckpt"),
                          group="g-stream", service_id=SERVICE_ID)
     run_consumer(lambda: _stream(spark, path), fixture_results, cfg)
-    return spark.read.parquet(f"{cfg.out_dir}/audit")
+    return spark.read.parquet(f"{cfg.out_dir}/audit").select("key", "value")
 
 
 def replay_dead_letters(fx) -> DataFrame:
@@ -53,7 +53,7 @@ def replay_dead_letters(fx) -> DataFrame:
                          checkpoint=scratch_path(spark, "dlq-replay-ckpt"), group="g-dlq", last_retry=True,
                          threshold=100, service_id=SERVICE_ID)
     run_consumer(lambda: read_dead_letters(_stream(spark, path), topics), fixture_results, cfg)
-    return spark.read.parquet(f"{cfg.out_dir}/audit")
+    return spark.read.parquet(f"{cfg.out_dir}/audit").select("key", "value")
 
 
 def replay_stream_query(fx) -> DataFrame:
@@ -65,7 +65,12 @@ def replay_stream_query(fx) -> DataFrame:
                        config_topics=REPLAY_TOPICS, service_id=SERVICE_ID)
     q = replay_stream(_stream(spark, path), lambda: fx.log_all, fixture_results, cfg)
     q.awaitTermination()
-    return spark.read.parquet(f"{cfg.out_dir}/progress")
+    from ..streaming.replay import read_replay_requests
+    req = read_replay_requests(spark.read.parquet(path))
+    prog = spark.read.parquet(f"{cfg.out_dir}/progress")
+    return prog.join(req, "request_id").select(
+        "topic_name", F.col("partition_id_req").alias("partition_id"), "start_offset", "end_offset",
+        "consumer_group", "dlq_indicator", "n_records", "last_offset", "next_offset", "finished")
 
 
 def push_query_q(fx) -> DataFrame:
@@ -81,7 +86,8 @@ def push_query_q(fx) -> DataFrame:
     out = scratch_path(spark, "push-out")
     q = push_query(recs, per_day, out, scratch_path(spark, "push-ckpt"), output_mode="update")
     q.awaitTermination()
-    return spark.read.parquet(out)
+    from ..streaming.push import read_table
+    return read_table(spark, out, ["window_start_ms", "topic"])
 
 
 def query_state_q(fx) -> DataFrame:
@@ -117,7 +123,7 @@ def dedupe_stream_q(fx) -> DataFrame:
     recs = events_as_records(stream_events(spark, fx.sf_dir))
     out = scratch_path(spark, "dedupe-out")
     q = push_query(recs, lambda df: dedupe_stream(df, ["topic", "key", "value"], "timestamp", "1 day")
-                   .select("topic", "key", "value", F.unix_millis("timestamp").alias("ts_ms")),
+                   .select("topic", "key", "value"),
                    out, scratch_path(spark, "dedupe-ckpt"), output_mode="append")
     q.awaitTermination()
     return spark.read.parquet(out)
