@@ -94,13 +94,18 @@ def flat(df: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def write_log(df: DataFrame, path: str, mode: str = "errorifexists", num_files: int | None = None) -> None:
-    """Store a log like topic segments: one folder per topic, files holding contiguous
-    offset ranges of one partition, rows sorted by offset.  Topic filters then prune
-    folders and offset predicates skip row groups by their min/max statistics."""
-    keys = ["topic", "partition_id", "log_offset"]
-    d = df.repartitionByRange(num_files, *keys) if num_files else df.repartitionByRange(*keys)
-    d.sortWithinPartitions(*keys).write.mode(mode).partitionBy("topic").parquet(path)
+def write_log(df: DataFrame, path: str, mode: str = "errorifexists", segment_rows: int | None = None,
+              num_files: int | None = None) -> None:
+    """Store a log like topic segments: one folder per topic; rows of one offset segment
+    (``segment_rows`` consecutive offsets of a partition) go to one task and are
+    written sorted by offset.  Topic filters then prune folders and offset predicates
+    skip row groups by their min/max statistics.  Hash partitioning on the segment
+    needs no sampling pass and spreads a hot partition over many tasks."""
+    from ..config import OFFSET_CHUNK
+    seg = F.floor(F.col("log_offset") / F.lit(segment_rows or OFFSET_CHUNK))
+    cols = [F.col("topic"), F.col("partition_id"), seg]
+    d = df.repartition(num_files, *cols) if num_files else df.repartition(*cols)
+    d.sortWithinPartitions("topic", "partition_id", "log_offset").write.mode(mode).partitionBy("topic").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -50,13 +50,14 @@ def consume_batch(batch: DataFrame, batch_id: int, fn: Callable, cfg: ConsumerCo
     batch = batch.persist()
     results = None
     try:
-        if batch.isEmpty():
-            return
         results = process(batch, fn, cfg.result_schema, cfg.input_cols).persist()
         if cfg.on_batch:
             cfg.on_batch(batch_id, results)
+        # one job: runs the function once (results cached) and decides; no row = empty batch
         decision = rollback_decision(results.withColumn("_b", F.lit(0)), ["_b"], cfg.threshold, cfg.mode).first()
-        if decision is not None and decision["rolled_back"]:
+        if decision is None:
+            return
+        if decision["rolled_back"]:
             raise RollbackError(f"batch {batch_id}: failed records {decision['failed']} of {decision['batch_size']} "
                                 f"reach the threshold {cfg.threshold}%")
         if cfg.dead_letter_enabled:
