@@ -131,3 +131,22 @@ def ingest_requests(df: DataFrame, col: str = "request", defaults: tuple[str, st
                     F.upper(F.coalesce(F.col("_r.valueFormat"), F.lit(defaults[1]))).alias("value_format"),
                     F.posexplode("_r.records").alias("seq", "_rec"))
             .select(*keep, "key_format", "value_format", F.col("seq").cast("bigint").alias("seq"), "_rec.*"))
+
+
+def write_kafka(df: DataFrame, bootstrap: str, topic: str | None = None, options: dict | None = None,
+                key_format: str = "STRING", value_format: str = "JSON") -> None:
+    """Produce records to Kafka (needs the spark-sql-kafka package).  Rows carry their
+    topic unless ``topic`` is given; the broker assigns offsets."""
+    out = to_outgoing(df, topic, key_format, value_format)
+    if "headers" in out.columns:
+        out = out.withColumn("headers", F.transform(F.map_entries("headers"), lambda h: F.struct(
+            h["key"].alias("key"), h["value"].cast("binary").alias("value"))))
+    w = out.write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    try:
+        w.save()
+    except Exception as e:  # noqa: BLE001
+        if "find data source" in str(e).lower() or "DATA_SOURCE_NOT_FOUND" in str(e):
+            raise RuntimeError("the Kafka sink is not on the class path (spark-sql-kafka package)") from e
+        raise

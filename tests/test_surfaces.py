@@ -64,3 +64,10 @@ def test_replay_stream_progress(spark, fx_small):
     rows = prog.collect()
     assert rows and all(r.n_records > 0 for r in rows)
     assert all(r.next_offset == r.last_offset + 1 for r in rows)
+
+
+def test_kafka_sink_without_jar(spark, fx_small):
+    import pytest
+    from recordlog.sources.codec import write_kafka
+    with pytest.raises(RuntimeError):
+        write_kafka(fx_small.log.limit(1), "localhost:9092", "t", value_format="STRING")
