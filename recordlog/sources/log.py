@@ -166,10 +166,13 @@ def read_kafka(spark: SparkSession, options: dict, streaming: bool = False) -> D
 
 
 def from_kafka(df: DataFrame) -> DataFrame:
-    """Kafka source rows -> log DataFrame (renames; headers array -> map, last value wins)."""
+    """Kafka source rows -> log DataFrame (renames; headers array -> map, the last value of a
+    repeated header wins, as a map lookup of the last header would)."""
+    arr = F.coalesce(F.col("headers"), F.array().cast("array<struct<key:string,value:binary>>"))
+    last = F.filter(arr, lambda h, i: ~F.exists(F.slice(arr, i + 2, F.greatest(F.size(arr), F.lit(1))),
+                                                 lambda x: x["key"] == h["key"]))
     hdr = F.map_from_entries(F.transform(
-        F.coalesce(F.col("headers"), F.array().cast("array<struct<key:string,value:binary>>")),
-        lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))))
+        last, lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))))
     return df.select(
         "topic", F.col("partition").alias("partition_id"), F.col("offset").alias("log_offset"),
         "timestamp", "key", "value", hdr.alias("headers"))

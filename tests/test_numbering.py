@@ -30,3 +30,20 @@ def test_dense_offsets_in_fixture_log(fx_small):
         F.min("log_offset").alias("lo"), F.max("log_offset").alias("hi"), F.count("*").alias("n")).collect()
     for r in b:
         assert r.lo == 0 and r.hi == r.n - 1
+
+
+def test_numbering_property(spark):
+    """Random groups, random chunk widths: chunked numbering = row_number."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 10_000)), min_size=1, max_size=60, unique_by=lambda t: t[1]),
+           st.integers(1, 50))
+    def check(rows, width):
+        df = spark.createDataFrame(rows, "g int, o bigint")
+        got = number_within(df, ["g"], ["o"], chunk_of("o", width), out="n")
+        w = Window.partitionBy("g").orderBy("o")
+        exp = df.withColumn("n", (F.row_number().over(w) - 1).cast("bigint"))
+        assert sorted(got.collect()) == sorted(exp.collect())
+    check()

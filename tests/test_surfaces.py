@@ -17,13 +17,12 @@ def test_kafka_options():
 
 def test_from_kafka_mapping(spark):
     df = spark.createDataFrame(
-        [("t", 1, 7, None, b"k", b"v", [("X-Correlation-Id", b"c1"), ("X-Correlation-Id", b"c2")])],
+        [("t", 1, 7, None, b"k", b"v", [("X-Correlation-Id", b"c1"), ("a", b"x"), ("X-Correlation-Id", b"c2")])],
         "topic string, partition int, offset bigint, timestamp timestamp, key binary, value binary, "
         "headers array<struct<key:string,value:binary>>")
-    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     r = from_kafka(df).first()
     assert (r.topic, r.partition_id, r.log_offset) == ("t", 1, 7)
-    assert r.headers == {"X-Correlation-Id": "c2"}
+    assert r.headers == {"X-Correlation-Id": "c2", "a": "x"}
 
 
 def test_stream_app_registry(spark):
