@@ -31,13 +31,15 @@ RESULT_SCHEMA = T.StructType([
 
 # ----------------------------------------------------------------- UDF-1
 def process(df: DataFrame, fn: Callable, result_ddl: str | T.StructType = RESULT_SCHEMA,
-            input_cols: Sequence[str] | None = None) -> DataFrame:
+            input_cols: Sequence[str] | None = None, match: str = "position") -> DataFrame:
     """Run ``fn(pandas.DataFrame) -> pandas.DataFrame`` over Arrow batches of records.
 
-    ``fn`` gets a batch of ``input_cols`` (default: all columns) and must
-    return one row per input row, in the same order, with the result columns
-    of ``result_ddl``.  The records are passed through, so the output is a
-    results DataFrame.  A batch whose result count differs raises (size check).
+    ``fn`` gets a batch of ``input_cols`` (default: all columns) and returns one
+    result per record with the columns of ``result_ddl``: in input order
+    (``match='position'``) or in any order carrying ``topic, partition_id,
+    log_offset`` (``match='key'``, merged inside the batch -- no shuffle).  The
+    records are passed through, so the output is a results DataFrame.  A batch
+    whose results do not match its records one to one raises (size check).
     """
     import pandas as pd
     src = df.select(*input_cols) if input_cols else df
@@ -45,12 +47,21 @@ def process(df: DataFrame, fn: Callable, result_ddl: str | T.StructType = RESULT
     names = [f.name for f in res_schema.fields]
     out_schema = T.StructType(src.schema.fields + res_schema.fields)
 
+    if match not in ("position", "key"):
+        raise ValueError("match must be 'position' or 'key'")
+
     def run(batches):
         for pdf in batches:
             res = fn(pdf)
             if len(res) != len(pdf):
                 raise RuntimeError(f"The response size {len(res)} does not match the record size {len(pdf)}")
-            yield pd.concat([pdf.reset_index(drop=True), res[names].reset_index(drop=True)], axis=1)
+            if match == "key":
+                merged = pdf.merge(res[KEY + names], on=KEY, how="left", validate="one_to_one", indicator=True)
+                if (merged["_merge"] != "both").any():
+                    raise RuntimeError("results do not match the records of the batch by key")
+                yield merged.drop(columns="_merge")
+            else:
+                yield pd.concat([pdf.reset_index(drop=True), res[names].reset_index(drop=True)], axis=1)
 
     return src.mapInPandas(run, out_schema)
 

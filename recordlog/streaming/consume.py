@@ -41,6 +41,7 @@ class ConsumerConfig:
     service_id: str = "recordlog"
     result_schema: object = RESULT_SCHEMA
     input_cols: list | None = None
+    match: str = "position"                # how results map to records: "position" or "key"
     trigger: dict = field(default_factory=lambda: {"availableNow": True})
     on_batch: Callable | None = None       # observer(batch_id, results_df), e.g. for tests
 
@@ -50,7 +51,7 @@ def consume_batch(batch: DataFrame, batch_id: int, fn: Callable, cfg: ConsumerCo
     batch = batch.persist()
     results = None
     try:
-        results = process(batch, fn, cfg.result_schema, cfg.input_cols).persist()
+        results = process(batch, fn, cfg.result_schema, cfg.input_cols, cfg.match).persist()
         if cfg.on_batch:
             cfg.on_batch(batch_id, results)
         # one job: runs the function once (results cached) and decides; no row = empty batch

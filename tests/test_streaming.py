@@ -95,3 +95,24 @@ def test_last_retry_writes_no_dead_letters(spark, fx_small):
     dl = os.path.join(cfg.out_dir, "dead_letters")
     assert not any(n.startswith("batch_id=") for n in (os.listdir(dl) if os.path.isdir(dl) else []))
     assert spark.read.parquet(os.path.join(cfg.out_dir, "audit")).count() == batch.count()
+
+
+def test_process_match_by_key(spark, fx_small):
+    from recordlog.operators.results import process
+
+    def shuffled(pdf):
+        res = fixture_results(pdf)
+        res[["topic", "partition_id", "log_offset"]] = pdf[["topic", "partition_id", "log_offset"]].values
+        return res.iloc[::-1]
+    src = fx_small.log.select("topic", "partition_id", "log_offset", "key", "value", "event_id")
+    got = process(src, shuffled, match="key").select("topic", "partition_id", "log_offset", "processed")
+    exp = fx_small.results.select("topic", "partition_id", "log_offset", "processed")
+    assert sorted(got.collect()) == sorted(exp.collect())
+
+    def missing(pdf):
+        res = fixture_results(pdf)
+        res[["topic", "partition_id", "log_offset"]] = pdf[["topic", "partition_id", "log_offset"]].values
+        res.loc[res.index[0], "log_offset"] = -1
+        return res
+    with pytest.raises(Exception):
+        process(src, missing, match="key").collect()
