@@ -18,7 +18,6 @@ from ..operators import replay as R
 from ..operators import results as RS
 from ..operators import select as S
 from ..operators import tables as TB
-from ..operators._args import small_frame
 from ..sources import codec as C
 from ..sources.log import flat, string_headers
 from .fixtures import NOW_MS, REPLAY_TOPICS, SERVICE_ID, Fixtures, sql
