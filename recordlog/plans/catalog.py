@@ -722,6 +722,25 @@ def _(fx):
     return flat(rows)
 
 
+@query("ingest_results", sql("""SELECT topic, partition_id, log_offset, result_key, correlation_id, traceability_id,
+  processed, stacktrace FROM results"""))
+def _(fx):
+    """Response bodies (one JSON list per batch of 100, the record named ``record`` in even and
+    ``consumerRecord`` in odd batches) parsed back into results."""
+    b = O.with_batches(fx.results)
+    rec = F.struct("topic", "key", "value", F.col("partition_id").alias("partition"),
+                   F.col("log_offset").alias("offset"), "headers",
+                   F.unix_millis("timestamp").alias("timestamp"))
+    even = F.col("batch_no") % 2 == 0
+    item = F.struct(F.when(even, rec).alias("record"), F.when(~even, rec).alias("consumerRecord"), "processed",
+                    "stacktrace", F.col("correlation_id").alias("correlationId"),
+                    F.col("traceability_id").alias("traceabilityId"), F.col("result_key").alias("key"))
+    bodies = b.groupBy("topic", "partition_id", "batch_no").agg(F.to_json(F.collect_list(item)).alias("body"))
+    r = C.results_from_json(bodies.select("body"))
+    return r.select("topic", "partition_id", "log_offset", "result_key", "correlation_id", "traceability_id",
+                    "processed", "stacktrace")
+
+
 # =================================================================== oracles of the streaming queries
 _AUDIT_KV_BODY = """SELECT correlation_id AS key, json_object('id', id, 'service_id', service_id,
   'audit_type', audit_type, 'topic', topic, 'partition_id', partition_id, 'log_offset', log_offset,
