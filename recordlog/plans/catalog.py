@@ -741,6 +741,37 @@ def _(fx):
                     "processed", "stacktrace")
 
 
+def _produce(fx):
+    from ..operators.produce import produce
+    b = O.with_batches(fx.log)
+    rec = F.struct("log_offset", "key", "value",
+                   F.when(F.col("event_id") % 10 == 0, F.lit(2)).alias("partition"),
+                   F.col("headers").getItem("X-Correlation-Id").alias("correlationId"))
+    req = b.groupBy("topic", "partition_id", "batch_no").agg(
+        F.min("event_id").alias("request_id"),
+        F.to_json(F.struct(F.sort_array(F.collect_list(rec)).alias("records"))).alias("request"))
+    return produce(req, fx.log, F.concat(F.lit("produced."), F.col("topic")), 3,
+                   partitioner=lambda k, n: F.pmod(k.cast("bigint"), F.lit(n)), authorization="Bearer t0k",
+                   caller_id="svc-a", service_id=SERVICE_ID, now_ms=NOW_MS)
+
+
+@query("produce_ack", sql("""SELECT request_id, seq, 'produced.' || topic AS topic, p AS partition_id,
+  CAST(row_number() OVER (PARTITION BY topic, p ORDER BY request_id, seq) - 1 AS BIGINT) AS log_offset,
+  n_headers, correlation_id
+  FROM (SELECT l.*, min(event_id) OVER (PARTITION BY topic, partition_id, log_offset // 100) AS request_id,
+               CAST(log_offset % 100 AS BIGINT) AS seq,
+               CAST(CASE WHEN event_id % 10 = 0 THEN 2 ELSE CAST(record_key AS BIGINT) % 3 END AS INT) AS p,
+               CAST((CASE WHEN hdr_correlation_id IS NULL THEN 0 ELSE 1 END) + 2 AS INT) AS n_headers,
+               hdr_correlation_id AS correlation_id
+        FROM log l)"""))
+def _(fx):
+    """Produce path: requests of the log's batches produced to ``produced.<topic>`` (3 partitions)."""
+    out, _audit = _produce(fx)
+    return out.select("request_id", "seq", "topic", "partition_id", "log_offset",
+                      F.size("headers").alias("n_headers"),
+                      F.col("headers").getItem("X-Correlation-Id").alias("correlation_id"))
+
+
 # =================================================================== oracles of the streaming queries
 _AUDIT_KV_BODY = """SELECT correlation_id AS key, json_object('id', id, 'service_id', service_id,
   'audit_type', audit_type, 'topic', topic, 'partition_id', partition_id, 'log_offset', log_offset,
