@@ -29,3 +29,29 @@ def test_overlapping_ranges_match_brute_force(spark, fx_small):
                                    & (F.col("log_offset") >= s) & (F.col("log_offset") < e)).collect()
         exp += [(rid, r.log_offset) for r in rows]
     assert got == sorted(exp)
+
+
+def test_replay_batch_aborts_on_start_mismatch(spark, fx_small):
+    """A request whose start offset holds no record is audited as FAILURE and not replayed."""
+    import os
+    import tempfile
+
+    from recordlog.operators.offsets import append
+    from recordlog.operators.replay import replay_control_record
+    from recordlog.operators.results import fixture_results
+    from recordlog.streaming.replay import ReplayConfig, replay_batch
+    req = spark.createDataFrame([
+        (1, "ev.click", 0, 0, 5, "g", False, False, None),
+        (2, "ev.click", 0, 10**9, 10**9 + 5, "g", False, False, None)], REQUEST_DDL)
+    ctl = replay_control_record(req).select(F.lit("ctl").alias("topic"), F.lit(0).alias("partition_id"),
+                                            "request_id", "key", "value",
+                                            F.create_map().cast("map<string,string>").alias("headers"))
+    ctl = append(ctl, ctl.limit(0).select("topic", "partition_id", F.lit(0).cast("bigint").alias("log_offset")),
+                 "request_id").drop("request_id")
+    root = tempfile.mkdtemp(prefix="replay-abort-")
+    cfg = ReplayConfig(out_dir=root, checkpoint=os.path.join(root, "ckpt"), config_topics="ev.click")
+    replay_batch(ctl, 0, lambda: fx_small.log, fixture_results, cfg)
+    aborted = spark.read.parquet(os.path.join(root, "audit_aborted"))
+    assert aborted.count() == 1
+    prog = spark.read.parquet(os.path.join(root, "progress")).collect()
+    assert len(prog) == 1 and prog[0].n_records == 5 and prog[0].finished
