@@ -31,7 +31,8 @@ RESULT_SCHEMA = T.StructType([
 
 # ----------------------------------------------------------------- UDF-1
 def process(df: DataFrame, fn: Callable, result_ddl: str | T.StructType = RESULT_SCHEMA,
-            input_cols: Sequence[str] | None = None, match: str = "position") -> DataFrame:
+            input_cols: Sequence[str] | None = None, match: str = "position",
+            batch_rows: int | None = None) -> DataFrame:
     """Run ``fn(pandas.DataFrame) -> pandas.DataFrame`` over Arrow batches of records.
 
     ``fn`` gets a batch of ``input_cols`` (default: all columns) and returns one
@@ -40,6 +41,8 @@ def process(df: DataFrame, fn: Callable, result_ddl: str | T.StructType = RESULT
     log_offset`` (``match='key'``, merged inside the batch -- no shuffle).  The
     records are passed through, so the output is a results DataFrame.  A batch
     whose results do not match its records one to one raises (size check).
+    ``batch_rows`` caps the records per call (e.g. the poll size of 100): each Arrow
+    batch is cut into such slices inside the task.
     """
     import pandas as pd
     src = df.select(*input_cols) if input_cols else df
@@ -50,8 +53,16 @@ def process(df: DataFrame, fn: Callable, result_ddl: str | T.StructType = RESULT
     if match not in ("position", "key"):
         raise ValueError("match must be 'position' or 'key'")
 
-    def run(batches):
+    def slices(batches):
         for pdf in batches:
+            if not batch_rows or len(pdf) <= batch_rows:
+                yield pdf
+            else:
+                for i in range(0, len(pdf), batch_rows):
+                    yield pdf.iloc[i:i + batch_rows].reset_index(drop=True)
+
+    def run(batches):
+        for pdf in slices(batches):
             res = fn(pdf)
             if len(res) != len(pdf):
                 raise RuntimeError(f"The response size {len(res)} does not match the record size {len(pdf)}")

@@ -42,6 +42,9 @@ class ConsumerConfig:
     result_schema: object = RESULT_SCHEMA
     input_cols: list | None = None
     match: str = "position"                # how results map to records: "position" or "key"
+    # records per call of the function; None = whole Arrow batches (fastest).  Set MAX_POLL_RECORDS
+    # when the function forwards to a backend that takes the original poll size.
+    batch_rows: int | None = None
     trigger: dict = field(default_factory=lambda: {"availableNow": True})
     on_batch: Callable | None = None       # observer(batch_id, results_df), e.g. for tests
 
@@ -51,7 +54,7 @@ def consume_batch(batch: DataFrame, batch_id: int, fn: Callable, cfg: ConsumerCo
     batch = batch.persist()
     results = None
     try:
-        results = process(batch, fn, cfg.result_schema, cfg.input_cols, cfg.match).persist()
+        results = process(batch, fn, cfg.result_schema, cfg.input_cols, cfg.match, cfg.batch_rows).persist()
         if cfg.on_batch:
             cfg.on_batch(batch_id, results)
         # one job: runs the function once (results cached) and decides; no row = empty batch

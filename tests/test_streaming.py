@@ -116,3 +116,15 @@ def test_process_match_by_key(spark, fx_small):
         return res
     with pytest.raises(Exception):
         process(src, missing, match="key").collect()
+
+
+def test_process_batch_rows(spark, fx_small):
+    from recordlog.operators.results import process
+
+    def sized(pdf):
+        assert len(pdf) <= 100
+        return fixture_results(pdf)
+    src = fx_small.log.select("topic", "partition_id", "log_offset", "key", "value", "event_id")
+    got = process(src, sized, batch_rows=100).select("topic", "partition_id", "log_offset", "processed")
+    exp = fx_small.results.select("topic", "partition_id", "log_offset", "processed")
+    assert sorted(got.collect()) == sorted(exp.collect())
