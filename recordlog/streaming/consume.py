@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -64,16 +65,21 @@ def consume_batch(batch: DataFrame, batch_id: int, fn: Callable, cfg: ConsumerCo
         if decision["rolled_back"]:
             raise RollbackError(f"batch {batch_id}: failed records {decision['failed']} of {decision['batch_size']} "
                                 f"reach the threshold {cfg.threshold}%")
+        writes = []
         if cfg.dead_letter_enabled:
             dl = to_dead_letters(results, cfg.ext, last_retry=cfg.last_retry,
                                  now_ms=F.lit(int(time.time() * 1000)).cast("bigint"))
-            write_dead_letters(dl, f"{cfg.out_dir}/dead_letters", batch_id)
+            writes.append(lambda: write_dead_letters(dl, f"{cfg.out_dir}/dead_letters", batch_id))
         if cfg.audit_enabled:
-            write_audit(audit_from_results(results, cfg.audit_type, cfg.service_id),
-                        f"{cfg.out_dir}/audit", batch_id, cfg.audit_target)
+            audit = audit_from_results(results, cfg.audit_type, cfg.service_id)
+            writes.append(lambda: write_audit(audit, f"{cfg.out_dir}/audit", batch_id, cfg.audit_target))
         pos = commit_positions(batch).select(F.lit(cfg.group).alias("consumer_group"), "topic", "partition_id",
                                              "log_offset", F.lit(int(batch_id)).cast("bigint").alias("committed_at"))
-        write_batch(pos, f"{cfg.out_dir}/commits", batch_id)
+        writes.append(lambda: write_batch(pos, f"{cfg.out_dir}/commits", batch_id))
+        # the sinks are independent: submit them as concurrent Spark jobs; all must succeed
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            for f in [pool.submit(w) for w in writes]:
+                f.result()
     finally:
         if results is not None:
             results.unpersist()
