@@ -3,6 +3,7 @@ a destination topic), with audit rows and per-request progress."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -42,40 +43,52 @@ def read_replay_requests(control: DataFrame, ext: str = DLQ_EXT) -> DataFrame:
 def replay_batch(control: DataFrame, batch_id: int, log_reader: Callable[[], DataFrame], fn: Callable | None,
                  cfg: ReplayConfig) -> None:
     control = control.persist()
+    cached = [control]
     try:
-        if control.isEmpty():
-            return
         reqs = read_replay_requests(control, cfg.ext)
         rel = relevant_replays(reqs.withColumn("topic_name", F.col("control_topic_name")), cfg.config_topics,
                                cfg.mode, cfg.ext).select("request_id").join(reqs, "request_id").persist()
-        write_audit(audit_from_replay(rel, "SUCCESS", "", service_id=cfg.service_id), f"{cfg.out_dir}/audit_requests",
-                    batch_id)
+        cached.append(rel)
+        if rel.isEmpty():
+            return
         req = rel.select("request_id", "topic_name", F.col("partition_id_req").alias("partition_id"),
                          "start_offset", "end_offset", "consumer_group", "dlq_indicator", "streaming_app",
                          "destination_topic")
         log = log_reader()
-        check = replay_start_check(req, log, cfg.ext)
+        check = replay_start_check(req, log, cfg.ext).persist()
+        cached.append(check)
         ok = req.join(check.filter("ok").select("request_id"), "request_id", "left_semi")
         aborted = rel.join(check.filter("not ok").select("request_id", "error_detail"), "request_id")
-        write_audit(audit_from_replay(aborted, "FAILURE", "start offset mismatch", service_id=cfg.service_id),
-                    f"{cfg.out_dir}/audit_aborted", batch_id)
         replayed = replay(ok, log, cfg.ext).persist()
-        write_batch(republish(replayed), f"{cfg.out_dir}/republished", batch_id)
+        cached.append(replayed)
+        out = cfg.out_dir
+        writes = [
+            lambda: write_audit(audit_from_replay(rel, "SUCCESS", "", service_id=cfg.service_id),
+                                f"{out}/audit_requests", batch_id),
+            lambda: write_audit(audit_from_replay(aborted, "FAILURE", "start offset mismatch",
+                                                  service_id=cfg.service_id), f"{out}/audit_aborted", batch_id),
+            lambda: write_batch(republish(replayed), f"{out}/republished", batch_id),
+            lambda: write_batch(replay_progress(ok, replayed), f"{out}/progress", batch_id),
+        ]
         if fn is not None:
             to_fn = replayed.filter(~F.coalesce(F.col("streaming_app"), F.lit(False))).select(
                 "request_id", "topic", "partition_id", "log_offset", "timestamp", "key", "value", "headers",
                 *[c for c in ("event_id",) if c in replayed.columns])
             results = process(to_fn, fn).persist()
-            write_audit(audit_from_results(results, "REACTIVE_CONSUMER", cfg.service_id), f"{cfg.out_dir}/audit",
-                        batch_id)
-            write_batch(to_dead_letters(results, cfg.ext, last_retry=cfg.last_retry), f"{cfg.out_dir}/dead_letters",
-                        batch_id)
-            results.unpersist()
-        write_batch(replay_progress(ok, replayed), f"{cfg.out_dir}/progress", batch_id)
-        replayed.unpersist()
-        rel.unpersist()
+            cached.append(results)
+            writes += [
+                lambda: write_audit(audit_from_results(results, "REACTIVE_CONSUMER", cfg.service_id),
+                                    f"{out}/audit", batch_id),
+                lambda: write_batch(to_dead_letters(results, cfg.ext, last_retry=cfg.last_retry),
+                                    f"{out}/dead_letters", batch_id),
+            ]
+        # independent sinks: concurrent Spark jobs, all must succeed
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            for f in [pool.submit(w) for w in writes]:
+                f.result()
     finally:
-        control.unpersist()
+        for d in reversed(cached):
+            d.unpersist()
 
 
 def replay_stream(control_stream: DataFrame, log_reader: Callable[[], DataFrame], fn: Callable | None,
