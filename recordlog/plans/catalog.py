@@ -787,6 +787,11 @@ _DLQ_RESULTS = """rd AS (SELECT *, record_key AS result_key,
   FROM dlq)"""
 
 STREAM_ORACLES = {
+    "agg_stream": sql("""SELECT topic, record_key AS key, count(*) AS n,
+  CAST(sum(CAST(json_extract(record_value, '$.k') AS INTEGER)) AS BIGINT) AS sum_k FROM log GROUP BY 1, 2"""),
+    "stream_static_join": sql("""SELECT CAST(l.record_key AS BIGINT) AS user_id, l.partition_id, l.log_offset,
+  c.c_name, c.c_mktsegment FROM log l JOIN customer c ON c.c_custkey = CAST(l.record_key AS BIGINT)
+  WHERE l.topic = 'ev.purchase'"""),
     "consume_stream": sql(_AUDIT_KV_BODY, "a AS (SELECT " + _AUDIT_COLS.format(svc=SERVICE_ID, typ="REACTIVE_CONSUMER")
                           + " FROM results)"),
     "replay_dead_letters": sql(_AUDIT_KV_BODY, _DLQ_RESULTS + ",\n  a AS (SELECT "

@@ -144,10 +144,41 @@ def latest_stream_q(fx) -> DataFrame:
     return t.select("topic", "key", F.unix_millis("timestamp").alias("ts_ms"), "partition_id", "event_id", "value")
 
 
-LATEST_STREAM_SQL = None  # set by the catalog (needs the SQL fixtures)
+def agg_stream_q(fx) -> DataFrame:
+    """AGG-9 as a stream: count and sum of k per (topic, key) kept in state over four
+    micro-batches; the changelog compacted to the current table."""
+    from ..streaming.push import push_query, read_table
+    spark = fx.spark
+    src = stage(fx.log.select(*LOG_COLS), "agg-src")
+    k = F.get_json_object("value", "$.k").cast("int")
+
+    def table(df):
+        return df.groupBy("topic", "key").agg(F.count(F.lit(1)).alias("n"), F.sum(k).cast("bigint").alias("sum_k"))
+    out = scratch_path(spark, "agg-changes")
+    q = push_query(_stream(spark, src), table, out, scratch_path(spark, "agg-ckpt"), output_mode="update")
+    q.awaitTermination()
+    return read_table(spark, out, ["topic", "key"])
+
+
+def stream_static_join_q(fx) -> DataFrame:
+    """JN-6 on a stream: purchase records joined with the static customer table as they arrive."""
+    from ..operators.select import subscribe
+    spark = fx.spark
+    src = stage(fx.log.select(*LOG_COLS), "join-src")
+    cust = fx.table("customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment")
+
+    def joined(df):
+        return (subscribe(df, "ev.purchase").withColumn("user_id", F.col("key").cast("bigint"))
+                .join(cust, "user_id").select("user_id", "partition_id", "log_offset", "c_name", "c_mktsegment"))
+    out = scratch_path(spark, "join-out")
+    q = push_query(_stream(spark, src), joined, out, scratch_path(spark, "join-ckpt"), output_mode="append")
+    q.awaitTermination()
+    return spark.read.parquet(out)
 
 
 ROWS_ONLY = {
+    "agg_stream": agg_stream_q,
+    "stream_static_join": stream_static_join_q,
     "dedupe_stream": dedupe_stream_q,
     "dlq_headers": dlq_headers_q,
     "consume_stream": consume_stream,
