@@ -46,7 +46,7 @@ def number_within(
         starts = (starts.join(base.select(*g, F.col("base").alias("_base")), g, "left")
                   .select(*g, "_chunk", (F.col("_start") + F.coalesce("_base", F.lit(0))).alias("_start")))
     local = Window.partitionBy(*g, "_chunk").orderBy(*order_cols)
-    ranked = d.withColumn("_rn", F.row_number().over(local))
+    ranked = d.select("*", F.row_number().over(local).alias("_rn"))
+    cols = [c for c in df.columns if c != out]
     return (ranked.join(starts, [*g, "_chunk"])
-            .withColumn(out, (F.col("_start") + F.col("_rn") - 1).cast("bigint"))
-            .drop("_chunk", "_rn", "_start"))
+            .select(*cols, (F.col("_start") + F.col("_rn") - 1).cast("bigint").alias(out)))

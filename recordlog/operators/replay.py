@@ -39,9 +39,9 @@ def validate_replays(requests: DataFrame, config_topics: str | list[str], mode:
     for rule, text in REPLAY_RULES:
         detail = (F.when(broken[rule], F.lit(text)) if detail is None
                   else detail.when(broken[rule], F.lit(text)))
-    return (requests.withColumn("error_detail", detail)
-            .withColumn("error_code", F.when(F.col("error_detail").isNotNull(), F.lit(REPLAY_ERROR_CODE)))
-            .withColumn("valid", F.col("error_detail").isNull()))
+    return requests.select("*", detail.alias("error_detail")).select(
+        "*", F.when(F.col("error_detail").isNotNull(), F.lit(REPLAY_ERROR_CODE)).alias("error_code"),
+        F.col("error_detail").isNull().alias("valid"))
 
 
 def valid_replays(requests: DataFrame, config_topics: str | list[str], mode: str = "strict") -> DataFrame:
@@ -111,15 +111,14 @@ def replay(requests: DataFrame, log: DataFrame, ext: str = DLQ_EXT, bucket: int
         F.col("end_offset").cast("bigint").alias("end_offset"), "streaming_app", "destination_topic")
     bounds = log.groupBy(*TP).agg(F.min("log_offset").alias("_lo"), (F.max("log_offset") + 1).alias("_hi"))
     b = F.lit(bucket)
-    r = (req.join(bounds, TP)
-         .withColumn("_lo", F.greatest("start_offset", "_lo"))
-         .withColumn("_hi", F.least("end_offset", "_hi"))
-         .filter(F.col("_lo") < F.col("_hi"))
-         .withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("_lo") / b).cast("bigint"),
-                                                      F.floor((F.col("_hi") - 1) / b).cast("bigint"))))
-         .drop("_lo", "_hi"))
+    lo = F.greatest("start_offset", "_lo")
+    hi = F.least("end_offset", "_hi")
+    buckets = F.sequence(F.floor(lo / b).cast("bigint"), F.floor((hi - 1) / b).cast("bigint"))
+    r = (req.join(bounds, TP).filter(lo < hi)
+         .select(*req.columns, F.explode(buckets).alias("_bucket")))
     clash = [c for c in req.columns if c in log.columns and c not in TP]
-    lg = log.drop(*clash).withColumn("_bucket", F.floor(F.col("log_offset") / b).cast("bigint"))
+    keep = [c for c in log.columns if c not in clash]
+    lg = log.select(*keep, F.floor(F.col("log_offset") / b).cast("bigint").alias("_bucket"))
     return (lg.join(r, [*TP, "_bucket"])
             .filter((F.col("log_offset") >= F.col("start_offset")) & (F.col("log_offset") < F.col("end_offset")))
             .drop("_bucket"))
