@@ -25,15 +25,28 @@ def partition_bounds(df: DataFrame) -> DataFrame:
             .withColumn("next_offset", F.col("last_offset") + 1))
 
 
+_SHIFT = 10 ** 19  # > any non-negative BIGINT offset
+
+
+def _pack(major: str, minor: str) -> F.Column:
+    """(major BIGINT, minor non-negative BIGINT) as one DECIMAL(38,0) with the same order;
+    any BIGINT pair fits (|major| * 1e19 + 1e19 < 1e38)."""
+    return F.col(major).cast("decimal(38,0)") * _shift() + F.col(minor).cast("decimal(38,0)")
+
+
+def _shift() -> F.Column:
+    return F.lit(str(_SHIFT)).cast("decimal(38,0)")
+
+
 def latest_commits(commits: DataFrame, group: str | None = None) -> DataFrame:
     """Last write wins: per (group, topic, partition) the commit with the greatest
-    ``committed_at`` (ties: greatest offset).  A max over a struct aggregates
-    partially, so hot partitions cost one row per map task."""
+    ``committed_at`` (ties: greatest offset).  The pair is packed into one decimal so
+    a plain ``max`` aggregates in a hash map, partially before the shuffle."""
     c = commits if group is None else commits.filter(F.col("consumer_group") == group)
-    return (c.groupBy("consumer_group", *TP)
-            .agg(F.max(F.struct("committed_at", "log_offset")).alias("_m"))
-            .select("consumer_group", *TP, F.col("_m.log_offset").alias("log_offset"),
-                    F.col("_m.committed_at").alias("committed_at")))
+    g = c.groupBy("consumer_group", *TP).agg(F.max(_pack("committed_at", "log_offset")).alias("_m"))
+    off = F.pmod(F.col("_m"), _shift())
+    at = (F.col("_m") - off) / _shift()
+    return g.select("consumer_group", *TP, off.cast("bigint").alias("log_offset"), at.cast("bigint").alias("committed_at"))
 
 
 def committed(commits: DataFrame, group: str, partitions) -> DataFrame:

@@ -47,3 +47,15 @@ def test_numbering_property(spark):
         exp = df.withColumn("n", (F.row_number().over(w) - 1).cast("bigint"))
         assert sorted(got.collect()) == sorted(exp.collect())
     check()
+
+
+def test_latest_commits_packing(spark):
+    from recordlog.operators.offsets import latest_commits
+    df = spark.createDataFrame(
+        [("g", "t", 0, 5, 100), ("g", "t", 0, 7, 100), ("g", "t", 0, 9, 50), ("g", "t", 1, 3, -4), ("g", "t", 1, 2, -3),
+         ("g", "u", 0, 9223372036854775807, 9223372036854775807), ("g", "u", 0, 1, -9223372036854775808)],
+        "consumer_group string, topic string, partition_id int, log_offset bigint, committed_at bigint")
+    got = {(r.topic, r.partition_id): (r.log_offset, r.committed_at) for r in latest_commits(df).collect()}
+    assert got == {("t", 0): (7, 100), ("t", 1): (2, -3),
+                   ("u", 0): (9223372036854775807, 9223372036854775807)}
+    assert "SortAggregate" not in latest_commits(df)._jdf.queryExecution().executedPlan().toString()
