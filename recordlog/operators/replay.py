@@ -17,8 +17,10 @@ REQUEST_DDL = ("request_id bigint, topic_name string, partition_id int, start_of
                "consumer_group string, dlq_indicator boolean, streaming_app boolean, destination_topic string")
 CONTROL_SCHEMA = ("topicName string, partition int, startOffset bigint, endOffset bigint, consumerGroup string, "
                   "streamingApp boolean, destinationTopic string, dlqIndicator boolean")
-# offsets per bucket of the range join; a request is cut into the buckets it covers
+# offsets per bucket of the range join (the least width); a request is cut into the buckets it covers
 REPLAY_BUCKET = 4096
+# rows the bucketed request side aims at; wider buckets when the requests cover more offsets
+REPLAY_TARGET_ROWS = 2_000_000
 
 
 def validate_replays(requests: DataFrame, config_topics: str | list[str], mode: str = "strict") -> DataFrame:
@@ -95,30 +97,42 @@ def invalid_topics(requested, configured: str | list[str]):
     return F.array_except(r, F.array(*[F.lit(t) for t in conf]))
 
 
-def replay(requests: DataFrame, log: DataFrame, ext: str = DLQ_EXT, bucket: int = REPLAY_BUCKET) -> DataFrame:
+def replay(requests: DataFrame, log: DataFrame, ext: str = DLQ_EXT, bucket: int = REPLAY_BUCKET,
+           target_rows: int = REPLAY_TARGET_ROWS) -> DataFrame:
     """All records of all requests in one pass: ``start <= log_offset < end`` on the
     requested topic-partition (its dead-letter topic when flagged).
 
-    Range join as an equi-join: each request is clamped to the partition's real
-    offsets and cut into the ``bucket``-wide offset buckets it covers; log rows
-    join on (topic, partition_id, bucket) and keep the exact range.  The exploded
-    request side has at most (covered offsets / bucket + 1) rows per request, so
-    hot partitions and many requests per partition stay parallel and a log row
-    only meets the requests of its own bucket."""
+    Range join as an equi-join.  Each request is clamped to its partition's real
+    offsets; the clamped requests (one row each) are checkpointed to the shared
+    folder and measured in one job, which also yields the requested topics (a
+    static partition filter on the log).  The bucket width is ``bucket`` or wider,
+    so that the requests cut into buckets stay near ``target_rows`` rows: a few huge
+    ranges do not explode, and the bucketed request side stays small enough to
+    broadcast, so the log is not shuffled.  Log rows join on (topic, partition_id,
+    bucket) and keep the exact range: a log row meets only the requests of its
+    bucket."""
+    from ..session import checkpoint_root
     req = requests.select(
         "request_id", "consumer_group", F.col("topic_name").alias("origin_topic"), read_topic(ext).alias("topic"),
         "partition_id", F.col("start_offset").cast("bigint").alias("start_offset"),
         F.col("end_offset").cast("bigint").alias("end_offset"), "streaming_app", "destination_topic")
     bounds = log.groupBy(*TP).agg(F.min("log_offset").alias("_lo"), (F.max("log_offset") + 1).alias("_hi"))
-    b = F.lit(bucket)
     lo = F.greatest("start_offset", "_lo")
     hi = F.least("end_offset", "_hi")
-    buckets = F.sequence(F.floor(lo / b).cast("bigint"), F.floor((hi - 1) / b).cast("bigint"))
-    r = (req.join(bounds, TP).filter(lo < hi)
-         .select(*req.columns, F.explode(buckets).alias("_bucket")))
+    checkpoint_root(log.sparkSession)
+    clamped = (req.join(bounds, TP).filter(lo < hi)
+               .select(*req.columns, lo.alias("_lo"), hi.alias("_hi"))).checkpoint(eager=True)
+    stats = clamped.agg(F.sum(F.col("_hi") - F.col("_lo")).alias("n"),
+                        F.collect_set("topic").alias("topics")).first()
+    total, topics = int(stats["n"] or 0), list(stats["topics"] or [])
+    w = max(bucket, -(-total // max(target_rows, 1)))
+    b = F.lit(w)
+    buckets = F.sequence(F.floor(F.col("_lo") / b).cast("bigint"), F.floor((F.col("_hi") - 1) / b).cast("bigint"))
+    r = clamped.select(*req.columns, F.explode(buckets).alias("_bucket"))
     clash = [c for c in req.columns if c in log.columns and c not in TP]
     keep = [c for c in log.columns if c not in clash]
-    lg = log.select(*keep, F.floor(F.col("log_offset") / b).cast("bigint").alias("_bucket"))
+    lg = log.filter(F.col("topic").isin(topics)).select(
+        *keep, F.floor(F.col("log_offset") / b).cast("bigint").alias("_bucket"))
     return (lg.join(r, [*TP, "_bucket"])
             .filter((F.col("log_offset") >= F.col("start_offset")) & (F.col("log_offset") < F.col("end_offset")))
             .drop("_bucket"))

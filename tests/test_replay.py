@@ -22,6 +22,8 @@ def test_overlapping_ranges_match_brute_force(spark, fx_small):
         (3, "ev.click", 0, 0, 10**12, "g", False, False, None),   # far beyond the end: clamped, not exploded
         (4, "ev.view", 2, 17, 18, "g", False, False, None)], REQUEST_DDL)
     got = sorted((r.request_id, r.log_offset) for r in replay(req, fx_small.log, bucket=8).collect())
+    wide = sorted((r.request_id, r.log_offset) for r in replay(req, fx_small.log, bucket=8, target_rows=3).collect())
+    assert wide == got
     exp = []
     for rid, t, p, s, e in [(1, "ev.click", 0, 3, 40), (2, "ev.click", 0, 10, 11), (3, "ev.click", 0, 0, 10**12),
                             (4, "ev.view", 2, 17, 18)]:
