@@ -128,3 +128,23 @@ def test_process_batch_rows(spark, fx_small):
     got = process(src, sized, batch_rows=100).select("topic", "partition_id", "log_offset", "processed")
     exp = fx_small.results.select("topic", "partition_id", "log_offset", "processed")
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_function_error_rolls_back_and_retries(spark, fx_small):
+    """A raising function (the backend answered with an error) fails the batch; the consumer
+    restarts from the checkpoint and the same batch is processed once it succeeds."""
+    from recordlog.streaming.consume import run_consumer
+    root = tempfile.mkdtemp(prefix="consume-raise-")
+    path = _stage(fx_small, root)
+    marker = os.path.join(root, "failed-once")
+
+    def fn(pdf):
+        if not os.path.exists(marker):
+            open(marker, "w").close()
+            raise RuntimeError("backend answered 503")
+        return fixture_results(pdf)
+    cfg = ConsumerConfig(out_dir=os.path.join(root, "out"), checkpoint=os.path.join(root, "ckpt"))
+    attempts = run_consumer(lambda: _stream(spark, path), fn, cfg, max_attempts=3)
+    assert attempts == 2
+    audit = spark.read.parquet(os.path.join(cfg.out_dir, "audit"))
+    assert audit.count() == fx_small.log.count()
