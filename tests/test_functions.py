@@ -99,3 +99,12 @@ def test_kafka_reader_without_jar(spark):
     from recordlog.sources.log import kafka_options, read_kafka
     with pytest.raises(RuntimeError):
         read_kafka(spark, kafka_options("localhost:9092", topics="a"))
+
+
+def test_inject_headers_replaces_same_name(spark):
+    from recordlog.functions.headers import inject_headers
+    df = spark.createDataFrame([({"Authorization": "old", "X-Correlation-Id": "c"},), (None,)],
+                               "headers map<string,string>")
+    got = [r.h for r in df.select(inject_headers("headers", "Bearer new", "svc").alias("h")).collect()]
+    assert got[0] == {"X-Correlation-Id": "c", "Authorization": "Bearer new", "X-Caller-Id": "svc"}
+    assert got[1] == {"Authorization": "Bearer new", "X-Caller-Id": "svc"}
