@@ -409,6 +409,16 @@ def _(fx):
     return R.relevant_replays(ctl, "ev.error, ev.view").select("request_id", "topic_name")
 
 
+@query("relevant_replays_compat", sql("""SELECT request_id, json_extract_string(value, '$.topicName') AS topic_name FROM ctl
+  WHERE (json_extract(value, '$.dlqIndicator')::BOOLEAN
+         AND contains('ev.views,ev.error', split_part(json_extract_string(value, '$.topicName'), '.dlq', 1)))
+     OR contains('ev.views,ev.error', json_extract_string(value, '$.topicName'))""", _CONTROL))
+def _(fx):
+    """Relevance with the original substring test: configured ``ev.views`` also admits ``ev.view``."""
+    ctl = R.requests_from_control(R.replay_control_record(fx.valid_requests))
+    return R.relevant_replays(ctl, "ev.views,ev.error", mode="compat").select("request_id", "topic_name")
+
+
 @query("validate_replays", sql("""SELECT request_id, CASE WHEN error_detail IS NULL THEN NULL ELSE 'ERR12218' END AS error_code,
   error_detail, error_detail IS NULL AS valid FROM validated"""))
 def _(fx):
