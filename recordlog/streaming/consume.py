@@ -51,8 +51,8 @@ class ConsumerConfig:
 
 
 def consume_batch(batch: DataFrame, batch_id: int, fn: Callable, cfg: ConsumerConfig) -> None:
-    """Body of one micro-batch (also usable on a static DataFrame)."""
-    batch = batch.persist()
+    """Body of one micro-batch (also usable on a static DataFrame).  Only the results are
+    cached: they carry the records' keys, so commit positions come from them too."""
     results = None
     try:
         results = process(batch, fn, cfg.result_schema, cfg.input_cols, cfg.match, cfg.batch_rows).persist()
@@ -73,7 +73,7 @@ def consume_batch(batch: DataFrame, batch_id: int, fn: Callable, cfg: ConsumerCo
         if cfg.audit_enabled:
             audit = audit_from_results(results, cfg.audit_type, cfg.service_id)
             writes.append(lambda: write_audit(audit, f"{cfg.out_dir}/audit", batch_id, cfg.audit_target))
-        pos = commit_positions(batch).select(F.lit(cfg.group).alias("consumer_group"), "topic", "partition_id",
+        pos = commit_positions(results).select(F.lit(cfg.group).alias("consumer_group"), "topic", "partition_id",
                                              "log_offset", F.lit(int(batch_id)).cast("bigint").alias("committed_at"))
         writes.append(lambda: write_batch(pos, f"{cfg.out_dir}/commits", batch_id))
         # the sinks are independent: submit them as concurrent Spark jobs; all must succeed
@@ -83,7 +83,6 @@ def consume_batch(batch: DataFrame, batch_id: int, fn: Callable, cfg: ConsumerCo
     finally:
         if results is not None:
             results.unpersist()
-        batch.unpersist()
 
 
 def consume(stream_log: DataFrame, fn: Callable, cfg: ConsumerConfig):
