@@ -1,11 +1,16 @@
-"""Every query with an oracle equals its DuckDB text on the driver tables (sf0.001)."""
+"""Every query with an oracle equals its DuckDB text on the driver tables (sf0.001;
+``ORACLE_SF_DIR=/root/testdata/sf0.01`` reproduces the driver's gate)."""
+import os
+
 import duckdb
 import pytest
 
 import __spark_entry__ as E
 from tools.oracle_check import TABLES, rows_of
 
-from .conftest import SF_SMALL
+from .conftest import SF_SMALL as _SMALL
+
+SF_SMALL = os.environ.get("ORACLE_SF_DIR", _SMALL)
 
 ORACLES = E.oracle_sql()
 
