@@ -1,4 +1,10 @@
 """Operators of a training-data pipeline: one module per operator, ``queries`` registers them.
 
-Nothing else in the library imports this subpackage.
+Nothing else in the library imports this subpackage.  Functions that run inside tasks are
+sent to the executors by value, so the package need not be installed there.
 """
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,13 +6,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlog.llm import mixing, simhash
+from recordlog.llm import mixing, packing, simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary that packing counts tokens with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
     sized = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
@@ -20,13 +27,25 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      "finish_time", "copies")
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed",
+                        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack_documents(docs, tokenizer_path()).select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc32").alias("ids_crc32"), "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op6_simhash)
+    f.__name__: f for f in (op1_mixing, op3_substrings, op6_simhash, op9_packing)
 }
 ORACLES: dict[str, str] = {}
