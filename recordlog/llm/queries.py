@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlog.llm import mixing, packing, simhash, substrings
+from recordlog.llm import mixing, packing, quality, simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -33,6 +33,12 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    found = quality.classify(docs, _table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -46,6 +52,6 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op3_substrings, op6_simhash, op9_packing)
+    f.__name__: f for f in (op1_mixing, op3_substrings, op5_quality, op6_simhash, op9_packing)
 }
 ORACLES: dict[str, str] = {}
