@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlog.llm import mixing, packing, quality, simhash, substrings
+from recordlog.llm import mixing, packing, quality, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -33,6 +33,11 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.classify(docs, _table(spark, sf_dir, "labels", "doc_id", "toxic")).withColumnRenamed("id", "doc_id")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     found = quality.classify(docs, _table(spark, sf_dir, "labels", "doc_id", "quality"))
@@ -52,6 +57,6 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op3_substrings, op5_quality, op6_simhash, op9_packing)
+    f.__name__: f for f in (op1_mixing, op3_substrings, op4_toxicity, op5_quality, op6_simhash, op9_packing)
 }
 ORACLES: dict[str, str] = {}
