@@ -33,10 +33,13 @@ CHAR_BITS = 15
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 #: Windows that are computed at once.
 STEP_WINDOWS = 512
+#: First step size of the vectors; the layers' is a third of it.
+RATE = 0.1
 
 
 def plain(word: bytes) -> bytes:
-    return word.lower().strip(PUNCTUATION) or word
+    """A word in lower case without punctuation around it."""
+    return word.decode("utf-8", "replace").lower().encode().strip(PUNCTUATION) or word
 
 
 def char_runs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -167,12 +170,14 @@ class Network:
             dvectors += dinput @ wx.T
         return g, dvectors
 
-    def fit(self, docs: list[list[list[bytes]]], labels: np.ndarray, epochs: int = 4, batch: int = 24, seed: int = 5) -> "Network":
-        """``docs``: windows of words of each document."""
+    def fit(self, docs: list[list[list[bytes]]], labels: np.ndarray, epochs: int = 4, batch: int = 24, steps: int = 200,
+            seed: int = 5) -> "Network":
+        """``docs``: windows of words of each document; at least ``steps`` steps, so small samples go round oftener."""
         r = np.random.default_rng(seed)
         seen = {k: np.zeros_like(v, dtype=np.float64) for k, v in self.p.items()}
+        epochs = max(epochs, -(-steps * batch // max(1, len(docs))))
         for epoch in range(epochs):
-            rate = 0.15 / (1 + epoch)
+            rate = RATE / (1 + 3 * epoch / epochs)
             order = r.permutation(len(docs))
             for lo in range(0, len(order), batch):
                 some = order[lo:lo + batch]
@@ -196,7 +201,7 @@ class Network:
                 dvectors[0] = 0
                 for k, v in g.items():
                     seen[k] += v ** 2
-                    self.p[k] -= (rate * v / (np.sqrt(seen[k]) + 1e-6)).astype(np.float32)
+                    self.p[k] -= (0.3 * rate * v / (np.sqrt(seen[k]) + 1e-4)).astype(np.float32)
                 count = np.diff(begin)
                 dchar = np.repeat(dvectors[:, VECTOR:] / np.sqrt(np.maximum(1, count))[:, None], count, axis=0)
                 for k, at, v in (("words", word, dvectors[:, :VECTOR]), ("chars", runs, dchar)):
@@ -204,7 +209,7 @@ class Network:
                     total_v = np.zeros((len(rows), VECTOR))
                     np.add.at(total_v, back, v)
                     seen[k][rows] += total_v ** 2
-                    self.p[k][rows] -= (rate * total_v / (np.sqrt(seen[k][rows]) + 1e-6)).astype(np.float32)
+                    self.p[k][rows] -= (rate * total_v / (np.sqrt(seen[k][rows]) + 1e-4)).astype(np.float32)
         return self
 
     def score(self, top: np.ndarray, mean: np.ndarray) -> np.ndarray:
