@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlog.llm import mixing, packing, quality, simhash, substrings, toxicity
+from recordlog.llm import fingerprints, mixing, packing, quality, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -56,7 +56,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc32").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.compare(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), F.length("text").cast("long").alias("n_chars"),
+                        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+                        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op3_substrings, op4_toxicity, op5_quality, op6_simhash, op9_packing)
+    f.__name__: f for f in (op1_mixing, op3_substrings, op4_toxicity, op5_quality, op6_simhash, op9_packing, op10_fingerprints)
 }
 ORACLES: dict[str, str] = {}
