@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlog.llm import fingerprints, mixing, packing, quality, simhash, substrings, toxicity
+from recordlog.llm import fingerprints, mixing, packing, personal, quality, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -27,6 +27,15 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      "finish_time", "copies")
 
 
+def op2_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    counts = [personal.count_of(F.col("base"), k).alias(f"n_{k}") for k in personal.KINDS]
+    every = F.array_sort(F.concat("base", "added"))
+    return found.select(F.col("id").alias("doc_id"), *counts,
+                        F.sha2(personal.as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        personal.as_text(every).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.dedup(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed",
@@ -65,6 +74,6 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op3_substrings, op4_toxicity, op5_quality, op6_simhash, op9_packing, op10_fingerprints)
+    f.__name__: f for f in (op1_mixing, op2_personal, op3_substrings, op4_toxicity, op5_quality, op6_simhash, op9_packing, op10_fingerprints)
 }
 ORACLES: dict[str, str] = {}
