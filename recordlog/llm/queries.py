@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlog.llm import embeddings, fingerprints, mixing, packing, personal, quality, simhash, substrings, toxicity
+from recordlog.llm import embeddings, fingerprints, lines, mixing, packing, personal, quality, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -59,6 +59,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.judged(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
+                        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
+
+
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.links(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
@@ -80,6 +86,6 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_personal, op3_substrings, op4_toxicity, op5_quality, op6_simhash, op8_embeddings, op9_packing, op10_fingerprints)
+    f.__name__: f for f in (op1_mixing, op2_personal, op3_substrings, op4_toxicity, op5_quality, op6_simhash, op7_lines, op8_embeddings, op9_packing, op10_fingerprints)
 }
 ORACLES: dict[str, str] = {}
