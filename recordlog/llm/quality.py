@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlog.llm.common import clear_of, store, utf8
+from recordlog.llm.common import bounded_sample, clear_of, store, utf8
 
 FEATURES = ("words", "word_length", "upper", "digits", "punctuation", "exclamation", "symbols", "distinct_words",
             "distinct_lines", "line_words", "non_ascii", "stops", "spaces", "longest_word", "repeats")
@@ -179,7 +179,7 @@ def fit(scanned: DataFrame, labels: DataFrame, fit_rows: int = 20_000, mod: int
     """``scanned``: (id, x); ``labels``: (id, label).  Learns from at most ``fit_rows`` labelled rows
     whose crc32(id) mod ``mod`` is not ``rest``."""
     known = labels.toDF("id", "label").filter(F.col("label").isNotNull() & ~held_out(F.col("id"), mod, rest))
-    rows = scanned.join(known, "id").orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("x", "label").collect()
+    rows = bounded_sample(scanned.join(known, "id").select("id", "label", "x"), fit_rows, "id").select("x", "label").collect()
     x = np.array([r[0] for r in rows], dtype=float).reshape(-1, len(FEATURES))
     return Gam().fit(x, np.array([float(r[1]) for r in rows]))
 
