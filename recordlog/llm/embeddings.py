@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlog.llm.common import store
+from recordlog.llm.common import bounded_sample, store
 from recordlog.llm.components import components
 
 SEGMENT = 16
@@ -83,8 +83,7 @@ def _signed(x: int) -> int:
 def _coded(reps: DataFrame, fit_rows: int) -> DataFrame:
     """``reps`` with the code of each vector."""
     dim = reps.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    sample = [] if dim is None else reps.filter(F.size("vec") == dim[0]).orderBy(F.xxhash64("rep"), "rep").limit(fit_rows) \
-        .select("vec").collect()
+    sample = [] if dim is None else bounded_sample(reps.filter(F.size("vec") == dim[0]), fit_rows, "rep").select("vec").collect()
     sample = np.array([r[0] for r in sample], dtype=np.float64).reshape(len(sample), -1)
     rotation = Rotation(sample / np.linalg.norm(sample, axis=1, keepdims=True) if len(sample) else np.zeros((0, 1)))
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlog.llm.common import store, utf8
+from recordlog.llm.common import bounded_sample, store, utf8
 from recordlog.llm.quality import held_out
 
 #: Words of a window, words between the starts of windows, size of a state and of each vector.
@@ -294,7 +294,7 @@ def _sample(docs: DataFrame, labels: DataFrame, fit_docs: int, mod: int, rest: i
     known = labels.toDF("id", "label").filter(F.col("label").isin(0, 1) & ~held_out(F.col("id"), mod, rest))
     ids = None
     for value in (0, 1):
-        one = known.filter(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(fit_docs)
+        one = bounded_sample(known.filter(F.col("label") == value), fit_docs, "id")
         ids = one if ids is None else ids.union(one)
     return docs.join(F.broadcast(ids), "id")  # two times ``fit_docs`` rows of two numbers at most
 
