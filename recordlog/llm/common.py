@@ -85,6 +85,16 @@ class Hashes(dict):
         return value
 
 
+def whole_rows(df: DataFrame, **more: Column) -> DataFrame:
+    """``df`` as one struct column _row beside the given columns, so that none of its columns can clash with them."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[v.alias(k) for k, v in more.items()])
+
+
+def from_rows(df: DataFrame, like: DataFrame, **other: Column) -> DataFrame:
+    """The columns of ``like`` out of _row, some of them replaced."""
+    return df.select(*[(other[c] if c in other else F.col("_row").getField(c)).alias(c) for c in like.columns])
+
+
 def clear_of(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns of these names: results take the place of clashing input columns."""
     have = {c.lower() for c in names}

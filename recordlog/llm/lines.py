@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordlog.llm.common import store, utf8
+from recordlog.llm.common import from_rows, store, utf8, whole_rows
 from recordlog.llm.substrings import A, B, NO_ID, STEP_WORDS, _first, _mixed, _word_hashes, grams
 
 #: Counters of the token counts, a fixed table of 512 KB.
@@ -36,15 +36,14 @@ LINE = "h1 bigint, h2 bigint, id bigint, at bigint, n int, b1 bigint, b2 bigint,
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with _id and _key, never null; the key tells rows without an id and rows that share one apart."""
+    """``docs`` as _row with id and key, never null; the key tells rows without an id and rows that share one apart."""
     key = F.shiftleft(F.col(id_col).isNull().cast("long"), NONE_AT).bitwiseOR(
         F.shiftleft(F.xxhash64(text_col).bitwiseAND(F.lit((1 << 24) - 1)), TIE_AT))
-    return docs.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn("_key", F.coalesce(key, F.lit(0)))
+    return whole_rows(docs, id=F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), key=F.coalesce(key, F.lit(0)), text=F.col(text_col))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return _keyed(docs, id_col, text_col).select(F.col("_id").alias("id"), F.col("_key").alias("key"),
-                                                 F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return _keyed(docs, id_col, text_col).select("id", "key", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def _shingles(batches, words: int, wanted=None):
@@ -230,9 +229,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
             out.append(None if gone is None else b"\n".join(line for n, line in enumerate(text.split(b"\n")) if n not in gone))
         return pa.array(out, pa.binary()).cast(pa.string())
 
-    found = repeated(docs, id_col, text_col, words, threshold).select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("removed").alias("_removed"))
-    joined = _keyed(docs, id_col, text_col).join(found, ["_id", "_key"], "left")
-    touched = F.col("_removed").isNotNull()
-    left = cut(F.when(touched, F.col(text_col)), F.col("_removed"))  # texts that lose nothing stay on the JVM's side
-    return joined.withColumn("_left", left).withColumn(text_col, F.when(touched, F.col("_left")).otherwise(F.col(text_col))) \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = _keyed(docs, id_col, text_col).join(repeated(docs, id_col, text_col, words, threshold), ["id", "key"], "left")
+    touched = F.col("removed").isNotNull()
+    found = found.withColumn("left", cut(F.when(touched, F.col("text")), F.col("removed")))  # other texts stay on the JVM's side
+    return from_rows(found, docs, **{text_col: F.when(touched, F.col("left")).otherwise(F.col("text"))})

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlog.llm.common import bounded_sample, clear_of, store, utf8
+from recordlog.llm.common import bounded_sample, from_rows, store, utf8, whole_rows
 
 FEATURES = ("words", "word_length", "upper", "digits", "punctuation", "exclamation", "symbols", "distinct_words",
             "distinct_lines", "line_words", "non_ascii", "stops", "spaces", "longest_word", "repeats")
@@ -214,5 +214,5 @@ def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     def score(texts: pa.Array) -> pa.Array:
         return pa.array(model.score(np.array([text_features(t) for t in utf8(texts)], dtype=float).reshape(-1, len(FEATURES))))
 
-    clean = clear_of(docs, "_score").columns
-    return docs.withColumn("_score", score(F.col(text_col))).filter(F.col("_score") >= threshold).select(*[F.col(f"`{c}`") for c in clean])
+    scored = whole_rows(docs, score=score(F.col(text_col)))
+    return from_rows(scored.filter(F.col("score") >= threshold), docs)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordlog.llm.common import store, utf8
+from recordlog.llm.common import from_rows, store, utf8, whole_rows
 from recordlog.llm.components import components
 
 #: Bits of each byte value, lowest first.
@@ -51,9 +51,9 @@ def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with a row key that is never null: the id, and a hash of the text and of the id being null."""
-    return docs.withColumn("_key", F.coalesce(F.col(id_col).cast("long"), F.lit(0))) \
-        .withColumn("_tie", F.xxhash64(F.col(text_col), F.col(id_col).isNull()))
+    """``docs`` as _row with a key that is never null: the id, and a hash of the text and of the id being null."""
+    return whole_rows(docs, id=F.col(id_col).cast("long"), key=F.coalesce(F.col(id_col).cast("long"), F.lit(0)),
+                      tie=F.xxhash64(F.col(text_col), F.col(id_col).isNull()), text=F.col(text_col))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
@@ -63,9 +63,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = pa.array([fingerprint(t, words, seed) for t in utf8(b.column(2))], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fp], ["id", "tie", "fp"])
 
-    ids = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    ids = _keyed(ids, "id", "text").select("id", F.col("_tie").alias("tie"), "text")
-    return ids.mapInArrow(scan, "id bigint, tie bigint, fp bigint")
+    return _keyed(docs, id_col, text_col).select("id", "tie", "text").mapInArrow(scan, "id bigint, tie bigint, fp bigint")
 
 
 def _signed(mask: int) -> int:
@@ -111,6 +109,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
           seed: int = 42) -> DataFrame:
     """``docs`` with one row of each group, the one with the smallest id; columns as given."""
     _, _, roots = _grouped(docs, id_col, text_col, words, bits, seed)
-    first = roots.select(F.coalesce("first.id", F.lit(0)).alias("_key"), F.col("first.tie").alias("_tie"))
-    return _keyed(docs, id_col, text_col).join(first, ["_key", "_tie"], "left_semi") \
-        .dropDuplicates(["_key", "_tie"]).drop("_key", "_tie")
+    first = roots.select(F.coalesce("first.id", F.lit(0)).alias("key"), F.col("first.tie").alias("tie"))
+    kept = _keyed(docs, id_col, text_col).select("_row", "key", "tie").join(first, ["key", "tie"], "left_semi")
+    return from_rows(kept.dropDuplicates(["key", "tie"]), docs)
