@@ -84,8 +84,8 @@ def _coded(reps: DataFrame, fit_rows: int) -> DataFrame:
     """``reps`` with the code of each vector."""
     dim = reps.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()
     sample = [] if dim is None else bounded_sample(reps.filter(F.size("vec") == dim[0]), fit_rows, "rep").select("vec").collect()
-    sample = np.array([r[0] for r in sample], dtype=np.float64).reshape(len(sample), -1)
-    rotation = Rotation(sample / np.linalg.norm(sample, axis=1, keepdims=True) if len(sample) else np.zeros((0, 1)))
+    sample = np.array([r[0] for r in sample], dtype=np.float64) if sample else np.zeros((0, 1))
+    rotation = Rotation(sample / np.linalg.norm(sample, axis=1, keepdims=True))
 
     def code(batches):
         for b in batches:

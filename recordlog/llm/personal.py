@@ -47,7 +47,7 @@ LOOSE = {
 LOOSE_HINT = {"email": r"[\[(]at[\])]", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:[0-9A-Fa-f]{1,4}:", "card": HINT["card"],
               "phone": r"[0-9]{3}[\x20.-][0-9]{4}"}
 SHAPE = {
-    "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}$", "ip": r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$|:",
+    "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}$", "ip": r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$|:",
     "card": r"^[0-9]{16}$|^[0-9]{4}(?:([\x20-])[0-9]{4})(?:\1[0-9]{4}){2}$", "phone": r"^(?:\+[0-9]{1,3}\x20?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}$",
 }
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -118,7 +118,8 @@ def _voted(spans: DataFrame) -> DataFrame:
         return F.when(yes, YES).otherwise(F.lit(NO)) if no is None else F.when(yes, YES).when(no, NO).otherwise(ABSTAIN)
 
     found, before, none = F.col("found"), F.col("before"), F.lit(False)
-    first = F.regexp_extract("found", r"^0*([0-9]{1,3})\.", 1).cast("int")
+    octet = F.regexp_extract("found", r"^0*([0-9]{1,3})\.", 1)
+    first = F.when(octet != "", octet).cast("int")
     shape = vote(_by_kind({k: found.rlike(SHAPE[k]) for k in KINDS}))
     check = vote(_by_kind({"email": ~found.contains(".."), "ip": in_range | found.contains(":"), "card": F.col("luhn"), "phone": n.between(10, 13)}))
     known = _by_kind({"email": vote(found.rlike(rf"(?i)\.(?:{DOMAINS})$"), none), "ip": vote(first.between(1, 223) | found.contains(":"), first.isNotNull()),
