@@ -16,6 +16,9 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.driver.memory", "4g")
+         .config("spark.sql.ui.retainedExecutions", "10")
+         .config("spark.ui.retainedJobs", "50").config("spark.ui.retainedStages", "50")
          .config("spark.ui.showConsoleProgress", "false")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
