@@ -2,7 +2,7 @@
 
 Per micro-batch (one batch of records): run the user function once (batch and
 results persisted), check sizes, decide rollback on the failed share, and only
-then write dead letters, audit rows and commit positions.  A rollback raises:
+then write dead letters and audit rows, and after both the commit positions.  A rollback raises:
 the query stops without committing the batch in its checkpoint, and a restart
 reads exactly the same records again.  Writes are idempotent per batch id.
 """
@@ -65,21 +65,23 @@ def consume_batch(batch: DataFrame, batch_id: int, fn: Callable, cfg: ConsumerCo
         if decision["rolled_back"]:
             raise RollbackError(f"batch {batch_id}: failed records {decision['failed']} of {decision['batch_size']} "
                                 f"reach the threshold {cfg.threshold}%")
+        now = int(time.time() * 1000)
         writes = []
         if cfg.dead_letter_enabled:
-            dl = to_dead_letters(results, cfg.ext, last_retry=cfg.last_retry,
-                                 now_ms=F.lit(int(time.time() * 1000)).cast("bigint"))
+            dl = to_dead_letters(results, cfg.ext, last_retry=cfg.last_retry, now_ms=F.lit(now).cast("bigint"))
             writes.append(lambda: write_dead_letters(dl, f"{cfg.out_dir}/dead_letters", batch_id))
         if cfg.audit_enabled:
             audit = audit_from_results(results, cfg.audit_type, cfg.service_id)
             writes.append(lambda: write_audit(audit, f"{cfg.out_dir}/audit", batch_id, cfg.audit_target))
+        # dead letters and audit are independent: concurrent Spark jobs; all must succeed before anything is committed
+        if writes:
+            with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+                for f in [pool.submit(w) for w in writes]:
+                    f.result()
+        # last and alone: no reader can resume past records whose dead letters were not written
         pos = commit_positions(results).select(F.lit(cfg.group).alias("consumer_group"), "topic", "partition_id",
-                                             "log_offset", F.lit(int(batch_id)).cast("bigint").alias("committed_at"))
-        writes.append(lambda: write_batch(pos, f"{cfg.out_dir}/commits", batch_id))
-        # the sinks are independent: submit them as concurrent Spark jobs; all must succeed
-        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-            for f in [pool.submit(w) for w in writes]:
-                f.result()
+                                             "log_offset", F.lit(now).cast("bigint").alias("committed_at"))
+        write_batch(pos, f"{cfg.out_dir}/commits", batch_id)
     finally:
         if results is not None:
             results.unpersist()

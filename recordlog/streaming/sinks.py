@@ -1,6 +1,6 @@
 """Sinks used inside ``foreachBatch``: every write is keyed by the micro-batch id and
-overwrites only that id's partition, so a re-run batch replaces its own output
-instead of duplicating it."""
+overwrites exactly that id's folder, so a re-run batch replaces its own output, also
+when it has none this time."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
@@ -10,10 +10,9 @@ from ..operators.results import audit_kv, audit_lines
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Idempotent write of one micro-batch's rows under ``path/batch_id=<id>``."""
-    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").format(fmt).save(path))
+    """Idempotent write of one micro-batch's rows to ``path/batch_id=<id>``; no rows clear what
+    an earlier attempt left there.  Readers of ``path`` see ``batch_id`` as a partition column."""
+    df.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={int(batch_id)}")
 
 
 def write_dead_letters(dead_letters: DataFrame, path: str, batch_id: int) -> None:
