@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..config import MAX_POLL_RECORDS
 from ._args import as_frame, join_checked
-from .numbering import chunk_of, number_within
+from .numbering import chunk_of, floor_div, number_within
 
 TP = ["topic", "partition_id"]
 COMMITS_DDL = "consumer_group string, topic string, partition_id int, log_offset bigint, committed_at bigint"
@@ -66,7 +66,7 @@ def commit(commits: DataFrame, positions: DataFrame, group: str, committed_at: i
 
 def with_batches(df: DataFrame, size: int = MAX_POLL_RECORDS, col: str = "batch_no") -> DataFrame:
     """Batch number of each record: ``log_offset div size`` -- a projection, no shuffle."""
-    return df.withColumn(col, F.floor(F.col("log_offset") / F.lit(size)).cast("bigint"))
+    return df.withColumn(col, floor_div(F.col("log_offset"), size))
 
 
 def append(df: DataFrame, log: DataFrame, seq: str = "seq", chunk: Column | None = None) -> DataFrame:

@@ -3,15 +3,13 @@
 Spark's batch ``session_window`` sorts and merges all events of a key in one
 task.  Here events are cut into (key, time chunk) groups:
 
-1. the predecessor of every event is found inside its chunk (window ``lag``);
-   the first event of a chunk takes the last time of the key's previous
-   non-empty chunk from a small per-chunk table;
-2. an event opens a session when it has no predecessor or comes more than
-   ``gap`` after it (an event exactly ``gap`` later joins, as in Spark);
-3. session ids are prefix counts of the openings: per-chunk counts, prefix-summed
-   over the chunks of a key, plus the running count inside the chunk;
-4. sessions are a plain group-by on (key, session id), which aggregates
-   partially before its shuffle.
+1. inside a chunk an event opens a session when it comes more than ``gap`` after its
+   predecessor (an event exactly ``gap`` later joins, as in Spark), and openings are
+   counted as they come;
+2. a small table with one row per (key, chunk) settles each chunk's first event against
+   the key's previous non-empty chunk and prefix-sums the openings over the chunks;
+3. sessions are a plain group-by on (key, session id), which aggregates partially
+   before its shuffle.
 
 The largest task holds one key's events of one chunk.
 """
@@ -22,9 +20,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import floor_div, null_safe_join
+
 DEFAULT_CHUNK_US = 3_600_000_000  # one hour of event time per chunk
-# largest number of events of one key that Spark's own session_window may sort in one task
-MAX_KEY_ROWS = 2_000_000
 
 
 def _interval_us(text: str) -> int:
@@ -34,48 +32,31 @@ def _interval_us(text: str) -> int:
     return spark.range(1).select(F.expr(f"unix_micros(timestamp_micros(0) + interval {text})")).first()[0]
 
 
-def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the most frequent key (a partial aggregation and one row to the driver)."""
-    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(r or 0)
-
-
 def sessionize(df: DataFrame, keys: Sequence[str], ts_col: str, gap: str | int,
-               aggs: Mapping[str, Column], chunk_us: int = DEFAULT_CHUNK_US, strategy: str = "auto",
-               max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
+               aggs: Mapping[str, Column], chunk_us: int = DEFAULT_CHUNK_US) -> DataFrame:
     """Session aggregates per key: ``window_start`` (first event), ``window_end`` (last
     event + gap) and ``aggs`` (expressions over the session's rows; they must be
     re-aggregatable by a plain group-by, e.g. count/sum/min/max).
 
-    ``strategy='auto'`` measures the largest key first: when every key has at most
-    ``max_key_rows`` events, Spark's ``session_window`` (one sort per key) is used;
-    otherwise the chunked plan below.  ``'native'`` / ``'chunked'`` force one."""
+    One plan for every size.  A null key is a key; events without a time belong to no
+    session, as with Spark's own ``session_window``."""
     keys = list(keys)
-    if strategy == "auto":
-        strategy = "native" if largest_key(df, keys) <= max_key_rows else "chunked"
     gap_us = gap if isinstance(gap, int) else _interval_us(gap)
-    if strategy == "native":
-        w = F.session_window(F.col(ts_col), f"{gap_us} microseconds")
-        g = df.groupBy(w.alias("_w"), *keys).agg(*[c.alias(n) for n, c in aggs.items()])
-        return g.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-                        *keys, *aggs.keys())
-    d = df.withColumn("_t", F.unix_micros(F.col(ts_col))).withColumn("_c", F.floor(F.col("_t") / F.lit(chunk_us)))
-    # 1. predecessor inside the chunk, and the last time of each (key, chunk)
+    d = df.withColumn("_t", F.unix_micros(F.col(ts_col))).filter("_t IS NOT NULL").withColumn("_c", floor_div(F.col("_t"), chunk_us))
     in_chunk = Window.partitionBy(*keys, "_c").orderBy("_t")
-    d = d.withColumn("_prev", F.lag("_t").over(in_chunk))
-    last = d.groupBy(*keys, "_c").agg(F.max("_t").alias("_last"))
     chunks = Window.partitionBy(*keys).orderBy("_c")
-    carry = last.select(*keys, "_c", F.lag("_last").over(chunks).alias("_carry"))
-    d = d.join(carry, [*keys, "_c"])
-    prev = F.coalesce(F.col("_prev"), F.col("_carry"))
-    d = d.withColumn("_new", (prev.isNull() | (F.col("_t") - prev > F.lit(gap_us))).cast("int"))
-    # 3. session id = openings before this event within the key
-    opened = d.groupBy(*keys, "_c").agg(F.sum("_new").alias("_k"))
-    base = opened.select(*keys, "_c", F.coalesce(F.sum("_k").over(
-        chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    run = F.sum("_new").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0))
-    d = d.withColumn("_run", run).join(base, [*keys, "_c"]).withColumn("_sid", F.col("_base") + F.col("_run"))
-    # 4. sessions
+    upto = in_chunk.rowsBetween(Window.unboundedPreceding, 0)
+    # 1. openings inside a chunk, all of it from one shuffled frame; a chunk's first event is judged in step 2
+    prev = F.lag("_t").over(in_chunk)
+    d = d.withColumn("_new", F.when(F.col("_t") - prev > F.lit(gap_us), 1).otherwise(0)).withColumn("_run", F.sum("_new").over(upto))
+    # 2. one row per (key, chunk): does its first event open a session, and how many were opened before it
+    per = d.groupBy(*keys, "_c").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.max("_run").alias("_k"))
+    before = F.lag("_last").over(chunks)
+    per = per.withColumn("_opens", F.when(before.isNull() | (F.col("_first") - before > F.lit(gap_us)), 1).otherwise(0))
+    earlier = F.sum(F.col("_k") + F.col("_opens")).over(chunks.rowsBetween(Window.unboundedPreceding, -1))
+    per = per.select(*keys, "_c", (F.coalesce(earlier, F.lit(0)) + F.col("_opens")).alias("_base"))
+    d = null_safe_join(d, per, [*keys, "_c"]).withColumn("_sid", F.col("_base") + F.col("_run"))
+    # 3. sessions
     g = d.groupBy(*keys, "_sid").agg(F.min("_t").alias("_s"), F.max("_t").alias("_e"),
                                      *[c.alias(n) for n, c in aggs.items()])
     return g.select(F.timestamp_micros("_s").alias("window_start"),

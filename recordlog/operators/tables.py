@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .numbering import number_within
+from .numbering import floor_div, number_within
 
 TP = ["topic", "partition_id"]
 LATEST_ORDER = ("timestamp", "partition_id", "log_offset")
@@ -118,5 +118,5 @@ def rekey(df: DataFrame, key: Column, n: int, topic: str | Column | None = None,
                   key.cast("string").alias("key"), "value", "headers",
                   F.col("topic").alias("source_topic"), F.col("partition_id").alias("source_partition"),
                   F.col("log_offset").alias("source_offset"))
-    chunk = F.floor(F.unix_micros("timestamp") / F.lit(chunk_us)).cast("bigint")
+    chunk = floor_div(F.unix_micros("timestamp"), chunk_us)
     return number_within(d, TP, ["timestamp", "source_topic", "source_partition", "source_offset"], chunk)

@@ -102,7 +102,8 @@ def write_log(df: DataFrame, path: str, mode: str = "errorifexists", segment_row
     skip row groups by their min/max statistics.  Hash partitioning on the segment
     needs no sampling pass and spreads a hot partition over many tasks."""
     from ..config import OFFSET_CHUNK
-    seg = F.floor(F.col("log_offset") / F.lit(segment_rows or OFFSET_CHUNK))
+    from ..operators.numbering import floor_div
+    seg = floor_div(F.col("log_offset"), segment_rows or OFFSET_CHUNK)
     cols = [F.col("topic"), F.col("partition_id"), seg]
     d = df.repartition(num_files, *cols) if num_files else df.repartition(*cols)
     d.sortWithinPartitions("topic", "partition_id", "log_offset").write.mode(mode).partitionBy("topic").parquet(path)

@@ -59,3 +59,21 @@ def test_latest_commits_packing(spark):
     assert got == {("t", 0): (7, 100), ("t", 1): (2, -3),
                    ("u", 0): (9223372036854775807, 9223372036854775807)}
     assert "SortAggregate" not in latest_commits(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_with_nulls_are_numbered(spark):
+    from recordlog.operators.numbering import chunk_of, number_within
+    rows = [("t", 0, 5), ("t", 0, None), ("t", None, 7), (None, None, 1), ("t", 0, 2**60)]
+    df = spark.createDataFrame(rows, "topic string, partition_id int, seq bigint")
+    got = number_within(df, ["topic", "partition_id"], ["seq"], chunk_of("seq", 4)).collect()
+    assert sorted(map(str, ((r.topic, r.partition_id, r.seq, r.log_offset) for r in got))) == sorted(map(str, [
+        ("t", 0, None, 0), ("t", 0, 5, 1), ("t", 0, 2**60, 2), ("t", None, 7, 0), (None, None, 1, 0)]))
+
+
+def test_chunks_are_exact_for_large_numbers(spark):
+    from recordlog.operators.numbering import chunk_of
+    from recordlog.operators.offsets import with_batches
+    n = 2**53 * 100 + 99
+    df = spark.createDataFrame([(n,), (n + 1,)], "log_offset bigint")
+    assert [r.batch_no for r in with_batches(df, 100).orderBy("log_offset").collect()] == [2**53, 2**53 + 1]
+    assert [r[0] for r in df.select(chunk_of("log_offset", 100)).orderBy("log_offset").collect()] == [2**53, 2**53 + 1]

@@ -8,8 +8,7 @@ from recordlog.operators.sessions import sessionize
 @pytest.mark.parametrize("chunk_us", [60_000_000, 600_000_000, 3_600_000_000 * 24 * 40])
 def test_sessionize_matches_session_window(fx_small, chunk_us):
     log = fx_small.log
-    got = sessionize(log, ["key"], "timestamp", "3 hours", {"n": F.count(F.lit(1))}, chunk_us=chunk_us,
-                     strategy="chunked")
+    got = sessionize(log, ["key"], "timestamp", "3 hours", {"n": F.count(F.lit(1))}, chunk_us=chunk_us)
     exp = log.groupBy(F.session_window("timestamp", "3 hours").alias("w"), "key").agg(F.count(F.lit(1)).alias("n")) \
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "key", "n")
     a = sorted(tuple(r) for r in got.collect())
@@ -22,16 +21,14 @@ def test_exact_gap_joins_session(spark):
     t0 = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame([("k", t0), ("k", t0 + dt.timedelta(hours=1)), ("k", t0 + dt.timedelta(hours=2, seconds=1))],
                                "key string, ts timestamp")
-    for strategy in ("chunked", "native", "auto"):
-        rows = sessionize(df, ["key"], "ts", "1 hour", {"n": F.count(F.lit(1))}, chunk_us=1_800_000_000,
-                          strategy=strategy).collect()
-        assert sorted(r.n for r in rows) == [1, 2]
+    rows = sessionize(df, ["key"], "ts", "1 hour", {"n": F.count(F.lit(1))}, chunk_us=1_800_000_000).collect()
+    assert sorted(r.n for r in rows) == [1, 2]
 
 
-def test_auto_picks_chunked_for_hot_key(fx_small):
-    from recordlog.operators.sessions import largest_key
-    log = fx_small.log
-    n = largest_key(log, ["key"])
-    a = sessionize(log, ["key"], "timestamp", "3 hours", {"n": F.count(F.lit(1))}, max_key_rows=n - 1)
-    b = sessionize(log, ["key"], "timestamp", "3 hours", {"n": F.count(F.lit(1))}, strategy="native")
-    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+def test_null_keys_have_sessions_and_null_times_none(spark):
+    import datetime as dt
+    t0 = dt.datetime(1969, 12, 31, 23)
+    df = spark.createDataFrame([("a", t0), (None, t0), (None, t0 + dt.timedelta(minutes=50)), (None, t0 + dt.timedelta(hours=9)),
+                                ("a", None), (None, None)], "key string, ts timestamp")
+    rows = sessionize(df, ["key"], "ts", "1 hour", {"n": F.count(F.lit(1))}, chunk_us=1_800_000_000).collect()
+    assert sorted((str(r.key), r.n) for r in rows) == [("None", 1), ("None", 2), ("a", 1)]
