@@ -42,6 +42,12 @@ def base_topic(col: str | Column, ext: str = DLQ_EXT) -> Column:
     return F.substring_index(_c(col), ext, 1)
 
 
+def without_suffix(col: str | Column, ext: str = DLQ_EXT) -> Column:
+    """The name without ``ext`` at its end; an ``ext`` inside the name stays."""
+    c = _c(col)
+    return F.when(c.endswith(ext), F.substring(c, F.lit(1), F.length(c) - len(ext))).otherwise(c)
+
+
 def parse_bool(col: str | Column) -> Column:
     """Only a case-insensitive ``true`` is true; anything else, null included, is false."""
     return F.coalesce(F.lower(_c(col)) == F.lit("true"), F.lit(False))

@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# rows of a Python list that may be broadcast; size that a measured row counts with
 BROADCAST_ROWS = 100_000
+ROW_BYTES = 200
 
 
 def small_frame(spark: SparkSession, rows, ddl: str) -> DataFrame:
@@ -24,15 +26,25 @@ def as_frame(df_like: DataFrame, arg, ddl: str) -> DataFrame:
     return small_frame(df_like.sparkSession, arg, ddl)
 
 
-def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_bytes(spark: SparkSession) -> int:
+    """The session's broadcast threshold; 0 when broadcasts are off."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if text.lstrip("-").isdigit():
+        return max(0, int(text))
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join a table with one row per topic-partition (or per request) to a log.
 
-    The small side is counted first; only when that count is within ``max_rows``
-    is it broadcast, so the log is not shuffled by (topic, partition_id) and a hot
-    partition cannot pile up in one task.  Beyond it the join is left to the
-    planner (sort-merge with AQE skew splitting)."""
-    n = small.count()
-    if n <= max_rows:
+    The small side is computed once (a checkpoint in the shared folder) and measured; when
+    its rows, counted with ``ROW_BYTES`` each, fit the session's broadcast threshold it is
+    broadcast, so the log is not shuffled by (topic, partition_id) and a hot partition
+    cannot pile up in one task.  Beyond it the join is left to the planner (sort-merge with
+    AQE skew splitting).  The rows are the same either way."""
+    from ..session import checkpoint_root
+    checkpoint_root(big.sparkSession)
+    small = small.checkpoint(eager=True)
+    if small.count() * ROW_BYTES <= broadcast_bytes(big.sparkSession):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

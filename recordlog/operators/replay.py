@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DLQ_EXT, REPLAY_ERROR_CODE, REPLAY_RULES, REPLAY_START_MISMATCH
+from ._args import broadcast_bytes
+from .numbering import floor_div
 from ..functions.names import base_topic, dlq_topic, is_empty, parse_topic_list, topic_in
 
 TP = ["topic", "partition_id"]
@@ -21,6 +23,8 @@ CONTROL_SCHEMA = ("topicName string, partition int, startOffset bigint, endOffse
 REPLAY_BUCKET = 4096
 # rows the bucketed request side aims at; wider buckets when the requests cover more offsets
 REPLAY_TARGET_ROWS = 2_000_000
+# size that a bucketed request row counts with against the broadcast threshold (names included)
+REQUEST_ROW_BYTES = 400
 
 
 def validate_replays(requests: DataFrame, config_topics: str | list[str], mode: str = "strict") -> DataFrame:
@@ -56,6 +60,13 @@ def read_topic(ext: str = DLQ_EXT):
         .otherwise(F.col("topic_name"))
 
 
+def topic_read(requests: DataFrame, ext: str = DLQ_EXT):
+    """The topic of a control record as it stands, where ``requests`` carry it, else ``read_topic``."""
+    if "control_topic_name" in requests.columns:
+        return F.coalesce("control_topic_name", read_topic(ext))
+    return read_topic(ext)
+
+
 def replay_control_record(requests: DataFrame, ext: str = DLQ_EXT) -> DataFrame:
     """Control-topic record of each request: key = topic to read, value = the metadata as JSON
     (topic name already suffixed for dead-letter replays)."""
@@ -100,39 +111,45 @@ def invalid_topics(requested, configured: str | list[str]):
 def replay(requests: DataFrame, log: DataFrame, ext: str = DLQ_EXT, bucket: int = REPLAY_BUCKET,
            target_rows: int = REPLAY_TARGET_ROWS) -> DataFrame:
     """All records of all requests in one pass: ``start <= log_offset < end`` on the
-    requested topic-partition (its dead-letter topic when flagged).
-
-    Range join as an equi-join.  Each request is clamped to its partition's real
-    offsets; the clamped requests (one row each) are checkpointed to the shared
-    folder and measured in one job, which also yields the requested topics (a
-    static partition filter on the log).  The bucket width is ``bucket`` or wider,
-    so that the requests cut into buckets stay near ``target_rows`` rows: a few huge
-    ranges do not explode, and the bucketed request side stays small enough to
-    broadcast, so the log is not shuffled.  Log rows join on (topic, partition_id,
-    bucket) and keep the exact range: a log row meets only the requests of its
-    bucket."""
+    requested topic-partition (its dead-letter topic when flagged; a control record's
+    ``control_topic_name`` is read as it stands).
+
+    Range join as an equi-join.  The requests are checkpointed to the shared folder and
+    measured first: their topics, partitions and the hull of their offsets become filters
+    of the log's scan (folders and row groups outside are skipped), and only that part of
+    the log is asked for its bounds.  Requests are clamped to those bounds and cut into
+    offset buckets, ``bucket`` wide or wider so that a few huge ranges stay near
+    ``target_rows`` rows; log rows join on (topic, partition_id, bucket) and keep the exact
+    range.  The bucketed requests are broadcast when their measured number of rows fits
+    the session's broadcast threshold, so the log is not shuffled; beyond it both sides
+    are shuffled by bucket, which no hot partition can pile up."""
     from ..session import checkpoint_root
     req = requests.select(
-        "request_id", "consumer_group", F.col("topic_name").alias("origin_topic"), read_topic(ext).alias("topic"),
+        "request_id", "consumer_group", F.col("topic_name").alias("origin_topic"), topic_read(requests, ext).alias("topic"),
         "partition_id", F.col("start_offset").cast("bigint").alias("start_offset"),
         F.col("end_offset").cast("bigint").alias("end_offset"), "streaming_app", "destination_topic")
+    checkpoint_root(log.sparkSession)
+    req = req.checkpoint(eager=True)
+    hull = req.agg(F.min("start_offset").alias("lo"), F.max("end_offset").alias("hi"), F.min("partition_id").alias("p0"),
+                   F.max("partition_id").alias("p1"), F.collect_set("topic").alias("topics")).first()
+    log = log.filter(F.col("topic").isin(list(hull["topics"]))
+                     & F.col("log_offset").between(hull["lo"], (hull["hi"] or 0) - 1)
+                     & F.col("partition_id").between(hull["p0"], hull["p1"])) if hull["lo"] is not None else log.limit(0)
     bounds = log.groupBy(*TP).agg(F.min("log_offset").alias("_lo"), (F.max("log_offset") + 1).alias("_hi"))
     lo = F.greatest("start_offset", "_lo")
     hi = F.least("end_offset", "_hi")
-    checkpoint_root(log.sparkSession)
     clamped = (req.join(bounds, TP).filter(lo < hi)
                .select(*req.columns, lo.alias("_lo"), hi.alias("_hi"))).checkpoint(eager=True)
-    stats = clamped.agg(F.sum(F.col("_hi") - F.col("_lo")).alias("n"),
-                        F.collect_set("topic").alias("topics")).first()
-    total, topics = int(stats["n"] or 0), list(stats["topics"] or [])
+    stats = clamped.agg(F.sum(F.col("_hi") - F.col("_lo")).alias("n"), F.count("*").alias("requests")).first()
+    total = int(stats["n"] or 0)
     w = max(bucket, -(-total // max(target_rows, 1)))
-    b = F.lit(w)
-    buckets = F.sequence(F.floor(F.col("_lo") / b).cast("bigint"), F.floor((F.col("_hi") - 1) / b).cast("bigint"))
-    r = clamped.select(*req.columns, F.explode(buckets).alias("_bucket"))
+    r = clamped.select(*req.columns, F.explode(F.sequence(floor_div(F.col("_lo"), w), floor_div(F.col("_hi") - 1, w))).alias("_bucket"))
+    rows = total // w + 2 * stats["requests"]
+    if rows * REQUEST_ROW_BYTES <= broadcast_bytes(log.sparkSession):
+        r = F.broadcast(r)
     clash = [c for c in req.columns if c in log.columns and c not in TP]
     keep = [c for c in log.columns if c not in clash]
-    lg = log.filter(F.col("topic").isin(topics)).select(
-        *keep, F.floor(F.col("log_offset") / b).cast("bigint").alias("_bucket"))
+    lg = log.select(*keep, floor_div(F.col("log_offset"), w).alias("_bucket"))
     return (lg.join(r, [*TP, "_bucket"])
             .filter((F.col("log_offset") >= F.col("start_offset")) & (F.col("log_offset") < F.col("end_offset")))
             .drop("_bucket"))
@@ -145,7 +162,7 @@ def replay_start_check(requests: DataFrame, log: DataFrame, ext: str = DLQ_EXT)
     is at ``start`` exactly when a record with that offset exists: an equi-join,
     not a range scan.  Nothing there means not ok."""
     from ._args import join_checked
-    req = requests.select("request_id", read_topic(ext).alias("topic"), "partition_id",
+    req = requests.select("request_id", topic_read(requests, ext).alias("topic"), "partition_id",
                           F.col("start_offset").cast("bigint").alias("log_offset"))
     # probe the log with the start positions (broadcast when few), then attach to the requests
     starts = req.select(*TP, "log_offset").distinct()

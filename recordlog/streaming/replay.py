@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DLQ_EXT
-from ..functions.names import base_topic
+from ..functions.names import without_suffix
 from ..operators.replay import (relevant_replays, replay, replay_progress, replay_start_check, republish,
                                 requests_from_control)
 from ..operators.results import audit_from_replay, audit_from_results, process, to_dead_letters
@@ -37,7 +37,7 @@ def read_replay_requests(control: DataFrame, ext: str = DLQ_EXT) -> DataFrame:
     dlq = F.coalesce(F.col("dlq_indicator"), F.lit(False))
     return (r.withColumn("request_id", F.xxhash64("topic", "partition_id", "log_offset"))
             .withColumn("control_topic_name", F.col("topic_name"))
-            .withColumn("topic_name", F.when(dlq, base_topic("topic_name", ext)).otherwise(F.col("topic_name"))))
+            .withColumn("topic_name", F.when(dlq, without_suffix("topic_name", ext)).otherwise(F.col("topic_name"))))
 
 
 def replay_batch(control: DataFrame, batch_id: int, log_reader: Callable[[], DataFrame], fn: Callable | None,
@@ -46,12 +46,12 @@ def replay_batch(control: DataFrame, batch_id: int, log_reader: Callable[[], Dat
     cached = [control]
     try:
         reqs = read_replay_requests(control, cfg.ext)
-        rel = relevant_replays(reqs.withColumn("topic_name", F.col("control_topic_name")), cfg.config_topics,
-                               cfg.mode, cfg.ext).select("request_id").join(reqs, "request_id").persist()
+        rel = relevant_replays(reqs.withColumn("_named", F.col("topic_name")).withColumn("topic_name", F.col("control_topic_name")),
+                               cfg.config_topics, cfg.mode, cfg.ext).withColumn("topic_name", F.col("_named")).drop("_named").persist()
         cached.append(rel)
         if rel.isEmpty():
             return
-        req = rel.select("request_id", "topic_name", F.col("partition_id_req").alias("partition_id"),
+        req = rel.select("request_id", "topic_name", "control_topic_name", F.col("partition_id_req").alias("partition_id"),
                          "start_offset", "end_offset", "consumer_group", "dlq_indicator", "streaming_app",
                          "destination_topic")
         log = log_reader()

@@ -37,7 +37,10 @@ def test_log_order_is_global(spark, fx_small):
 def test_join_checked_both_paths(spark, fx_small):
     small = fx_small.log.groupBy("topic", "partition_id").agg(F.max("log_offset").alias("m"))
     a = join_checked(fx_small.log, small, ["topic", "partition_id"])
-    b = join_checked(fx_small.log, small, ["topic", "partition_id"], max_rows=0)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")  # fewer bytes than the small side counts with
+    b = join_checked(fx_small.log, small, ["topic", "partition_id"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     hint = "strategy=broadcast"
     assert hint in a._jdf.queryExecution().analyzed().toString()
     assert hint not in b._jdf.queryExecution().analyzed().toString()
