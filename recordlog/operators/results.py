@@ -163,11 +163,11 @@ def reconcile(sent: DataFrame, results: DataFrame, key: Sequence[str] = KEY) ->
     result) or ``unexpected_result`` (result, never sent); ``n_unexpected`` counts
     the results beyond the first (duplicates) or all of them when never sent."""
     k = list(key)
-    s = sent.select(*k).distinct().withColumn("_sent", F.lit(True))
-    r = results.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"))
-    j = s.join(r, k, "full_outer")
-    n = F.coalesce(F.col("_n"), F.lit(0))
-    was_sent = F.coalesce(F.col("_sent"), F.lit(False))
+    # both sides as one table with partial aggregation: one exchange, and null keys meet null keys
+    rows = sent.select(*k, F.lit(1).alias("_s"), F.lit(0).alias("_r")).unionByName(
+        results.select(*k, F.lit(0).alias("_s"), F.lit(1).alias("_r")))
+    j = rows.groupBy(*k).agg(F.max("_s").alias("_s"), F.sum("_r").alias("_n"))
+    was_sent, n = F.col("_s") == 1, F.col("_n")
     status = (F.when(was_sent & (n > 0), "matched").when(was_sent, "missing_result")
               .otherwise("unexpected_result"))
     return j.select(*k, status.alias("status"),

@@ -56,9 +56,12 @@ def materialize_agg(df: DataFrame, keys: Sequence[str | Column], aggs: Mapping[s
 
 
 def word_count(df: DataFrame, col: str = "text", pattern: str = WORD_PATTERN) -> DataFrame:
-    """Lower-cased words (maximal runs matching ``pattern``) of whole texts and their counts."""
+    """Lower-cased words (maximal runs matching ``pattern``) of whole texts and their counts.
+
+    On a stream the counts are the state: run it with output mode ``update`` or ``complete``."""
     from .parallel import spread
-    words = spread(df.select(col)).select(
+    texts = df.select(col)
+    words = (texts if df.isStreaming else spread(texts)).select(
         F.explode(F.regexp_extract_all(F.lower(F.col(col)), F.lit(pattern), 0)).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -102,8 +105,16 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("log_offs
     return df.groupBy(*keys).agg(m).select(*keys, *[F.col(f"_m.{c}").alias(c) for c in (*order, *rest)])
 
 
-def dedupe_stream(df: DataFrame, keys: Sequence[str], ts_col: str, within: str) -> DataFrame:
-    """Streaming duplicates dropped while both copies are inside the watermark delay."""
+def dedupe_stream(df: DataFrame, keys: Sequence[str], ts_col: str | None = None, within: str | None = None) -> DataFrame:
+    """Streaming duplicates dropped.
+
+    Without ``within`` every repeat is dropped, in however many micro-batches the rows come;
+    the state keeps each distinct key (use a disk-backed state store).  With ``within`` the
+    state is bounded: a repeat is dropped while the first copy is inside the watermark delay,
+    and a key that comes again after it counts as new, so the rows then depend on how far the
+    watermark had moved."""
+    if within is None:
+        return df.dropDuplicates(list(keys))
     return df.withWatermark(ts_col, within).dropDuplicatesWithinWatermark(list(keys))
 
 

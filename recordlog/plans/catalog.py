@@ -809,6 +809,12 @@ STREAM_ORACLES = {
     "query_state": sql("SELECT topic, count(*) AS n FROM log GROUP BY topic"),
     "push_query": sql("""SELECT (ts_ms // 86400000) * 86400000 AS window_start_ms, topic, count(*) AS n
   FROM log GROUP BY 1, 2"""),
+    "word_count_stream": """SELECT word, count(*) AS n FROM (
+  SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS word FROM documents) GROUP BY 1""",
+    "consume_commits": sql("""SELECT 'g-stream' AS consumer_group, topic, partition_id, max(log_offset) AS log_offset
+  FROM log GROUP BY ALL"""),
+    "consume_dead_letters": sql("""SELECT l.topic || '.dlq' AS topic, l.partition_id, l.record_key, l.record_value
+  FROM results l WHERE processed IS NOT TRUE"""),
     "dedupe_stream": sql("SELECT DISTINCT topic, record_key AS key, record_value AS value FROM log"),
     "replay_stream": sql("""SELECT r.topic_name, r.partition_id, r.start_offset, r.end_offset, r.consumer_group,
   r.dlq_indicator, g.n AS n_records, g.last_offset, g.last_offset + 1 AS next_offset,

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.offsets import COMMITS_DDL, commit, latest_commits
 from ..operators.results import fixture_results, posted_dead_letters
 from ..operators.select import read_dead_letters
 from ..session import scratch_path
-from ..sources.log import events_as_records, stream_events
+from ..sources.log import events_as_records
 from ..streaming.consume import ConsumerConfig, run_consumer
 from ..streaming.push import push_query, query_state
 from ..streaming.replay import ReplayConfig, replay_stream
@@ -33,6 +34,20 @@ def _stream(spark, path: str, max_files: int = 1) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
+def stage_in_order(df: DataFrame, ts_col: str, name: str, n_files: int = 4) -> str:
+    """Write ``df`` as ``n_files`` slices of its time range, the earliest first, so that a stream
+    reads them in that order, one a micro-batch."""
+    path = scratch_path(df.sparkSession, name)
+    t = F.unix_micros(ts_col)
+    cuts = df.agg(F.percentile_approx(t, [k / n_files for k in range(1, n_files)], 1000)).first()[0] or []
+    edges = [None, *sorted(set(cuts)), None]
+    for low, high in zip(edges, edges[1:]):
+        part = df if low is None else df.filter(t >= low)
+        part = part if high is None else part.filter(t < high)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def consume_stream(fx) -> DataFrame:
     """STR-1/2: the fixture log as a 4-file stream through the consume loop; the audit topic."""
     spark = fx.spark
@@ -43,6 +58,32 @@ def consume_stream(fx) -> DataFrame:
     return spark.read.parquet(f"{cfg.out_dir}/audit").select("key", "value")
 
 
+def consume_commits(fx) -> DataFrame:
+    """STR-1 / STR-9: the commits that the consume loop leaves, joined by an older drain of the same group:
+    the last write of each partition wins."""
+    spark = fx.spark
+    path = stage(fx.log.select(*LOG_COLS), "log")
+    cfg = ConsumerConfig(out_dir=scratch_path(spark, "commits-out"), checkpoint=scratch_path(spark, "commits-ckpt"),
+                         group="g-stream", service_id=SERVICE_ID, audit_enabled=False)
+    drained = commit(spark.createDataFrame([], COMMITS_DDL),
+                     fx.log.groupBy("topic", "partition_id").agg(F.min("log_offset").alias("log_offset")), "g-stream", NOW_MS)
+    run_consumer(lambda: _stream(spark, path), fixture_results, cfg)
+    cols = ["consumer_group", "topic", "partition_id", "log_offset", "committed_at"]
+    streamed = spark.read.parquet(f"{cfg.out_dir}/commits").select(*cols)
+    return latest_commits(drained.select(*cols).union(streamed)).drop("committed_at")
+
+
+def consume_dead_letters(fx) -> DataFrame:
+    """STR-1: the dead letters that the consume loop writes."""
+    spark = fx.spark
+    path = stage(fx.log.select(*LOG_COLS), "log")
+    cfg = ConsumerConfig(out_dir=scratch_path(spark, "dlq-out"), checkpoint=scratch_path(spark, "dlq-ckpt"),
+                         group="g-stream", service_id=SERVICE_ID, audit_enabled=False)
+    run_consumer(lambda: _stream(spark, path), fixture_results, cfg)
+    return spark.read.parquet(f"{cfg.out_dir}/dead_letters").select(
+        "topic", "partition_id", F.col("key").cast("string").alias("record_key"), F.col("value").cast("string").alias("record_value"))
+
+
 def replay_dead_letters(fx) -> DataFrame:
     """STR-10: the dead-letter topics streamed through the consume loop on the last retry:
     failures are audited, not queued again."""
@@ -74,9 +115,10 @@ def replay_stream_query(fx) -> DataFrame:
 
 
 def push_query_q(fx) -> DataFrame:
-    """STR-4: records per topic and day over the events stream, changes pushed per batch."""
+    """STR-4: records per topic and day over the events stream, changes pushed in each of four
+    micro-batches that follow in time."""
     spark = fx.spark
-    recs = events_as_records(stream_events(spark, fx.sf_dir))
+    recs = _stream(spark, stage_in_order(events_as_records(fx.table("events")), "timestamp", "push-log"))
 
     def per_day(df):
         return (df.withWatermark("timestamp", "1 hour")
@@ -91,9 +133,9 @@ def push_query_q(fx) -> DataFrame:
 
 
 def query_state_q(fx) -> DataFrame:
-    """STR-8: state of a running count per topic, read from its checkpoint."""
+    """STR-8: state of a running count per topic, carried over four micro-batches and read from its checkpoint."""
     spark = fx.spark
-    recs = events_as_records(stream_events(spark, fx.sf_dir))
+    recs = _stream(spark, stage(events_as_records(fx.table("events")), "state-log"))
     ckpt = scratch_path(spark, "state-ckpt")
     counts = recs.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
@@ -117,18 +159,34 @@ def dlq_headers_q(fx) -> DataFrame:
 
 
 def dedupe_stream_q(fx) -> DataFrame:
-    """STR-6 on a stream: repeated (topic, key, value) dropped within a 1-day watermark."""
+    """STR-6 on a stream: repeated (topic, key, value) dropped, the records coming in four micro-batches."""
     from ..operators.tables import dedupe_stream
     spark = fx.spark
-    recs = events_as_records(stream_events(spark, fx.sf_dir))
+    recs = _stream(spark, stage(events_as_records(fx.table("events")).select("topic", "partition_id", "key", "value", "timestamp"),
+                                "dedupe-log"))
     out = scratch_path(spark, "dedupe-out")
-    q = push_query(recs, lambda df: dedupe_stream(df, ["topic", "key", "value"], "timestamp", "1 day")
-                   .select("topic", "key", "value"),
+    q = push_query(recs, lambda df: dedupe_stream(df, ["topic", "key", "value"]).select("topic", "key", "value"),
                    out, scratch_path(spark, "dedupe-ckpt"), output_mode="append")
     q.awaitTermination()
     return spark.read.parquet(out)
 
 
+def word_count_stream_q(fx) -> DataFrame:
+    """AGG-10 as the stateful stream it is: counts kept over four micro-batches of documents."""
+    from ..operators.tables import word_count
+    from ..streaming.sinks import write_batch
+    spark = fx.spark
+    path = scratch_path(spark, "words-in")
+    fx.table("documents").select("doc_id", "text").repartition(4, "doc_id").write.parquet(path)
+    out = scratch_path(spark, "words-out")
+    # complete mode: each micro-batch replaces the whole table, so the last one is the answer
+    q = (word_count(_stream(spark, path)).writeStream.outputMode("complete")
+         .foreachBatch(lambda df, bid: write_batch(df, out, 0))
+         .option("checkpointLocation", scratch_path(spark, "words-ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select("word", "n")
+
+
 def latest_stream_q(fx) -> DataFrame:
     """AGG-5 / STR-4 as a stream: latest record per (topic, user) kept in state from the
     events stream (four micro-batches), read back as the table."""
@@ -180,8 +238,11 @@ ROWS_ONLY = {
     "agg_stream": agg_stream_q,
     "stream_static_join": stream_static_join_q,
     "dedupe_stream": dedupe_stream_q,
+    "word_count_stream": word_count_stream_q,
     "dlq_headers": dlq_headers_q,
     "consume_stream": consume_stream,
+    "consume_commits": consume_commits,
+    "consume_dead_letters": consume_dead_letters,
     "replay_stream": replay_stream_query,
     "push_query": push_query_q,
     "query_state": query_state_q,

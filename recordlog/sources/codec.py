@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT_FORMAT, FORMATS
+from ..functions.names import parse_bool
 
 RECORD_DDL = "key string, value string"
 PRODUCE_REQUEST_DDL = ("keyFormat string, valueFormat string, keySchemaId int, valueSchemaId int, "
@@ -155,14 +156,15 @@ def write_kafka(df: DataFrame, bootstrap: str, topic: str | None = None, options
 _RECORD_FIELDS = ("topic string, key string, value string, partition int, offset bigint, "
                   "headers map<string,string>, timestamp bigint")
 RESULT_LIST_DDL = (f"array<struct<record:struct<{_RECORD_FIELDS}>, consumerRecord:struct<{_RECORD_FIELDS}>, "
-                   "processed:boolean, stacktrace:string, correlationId:string, traceabilityId:string, key:string>>")
+                   "processed:string, stacktrace:string, correlationId:string, traceabilityId:string, key:string>>")
 
 
 def results_from_json(df: DataFrame, col: str = "body", mode: str = "FAILFAST") -> DataFrame:
     """A backend's response body (JSON list of per-record results) -> results DataFrame.
 
     The record may come as ``record`` or as ``consumerRecord`` (both names occur);
-    a missing ``processed`` stays null (not counted as failed, still a dead letter)."""
+    ``processed`` may be a JSON boolean or text (``true`` in any case is true, anything else
+    false); missing it stays null (not counted as failed, still a dead letter)."""
     keep = [c for c in df.columns if c != col]
     r = df.select(*keep, F.explode(F.from_json(F.col(col), RESULT_LIST_DDL, {"mode": mode})).alias("_r"))
     rec = F.coalesce(F.col("_r.record"), F.col("_r.consumerRecord"))
@@ -171,5 +173,5 @@ def results_from_json(df: DataFrame, col: str = "body", mode: str = "FAILFAST")
         rec["offset"].alias("log_offset"), F.timestamp_millis(rec["timestamp"]).alias("timestamp"),
         rec["key"].alias("key"), rec["value"].alias("value"), rec["headers"].alias("headers"),
         F.col("_r.key").alias("result_key"), F.col("_r.correlationId").alias("correlation_id"),
-        F.col("_r.traceabilityId").alias("traceability_id"), F.col("_r.processed").alias("processed"),
+        F.col("_r.traceabilityId").alias("traceability_id"), F.when(F.col("_r.processed").isNotNull(), parse_bool("_r.processed")).alias("processed"),
         F.col("_r.stacktrace").alias("stacktrace"))

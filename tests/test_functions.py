@@ -108,3 +108,13 @@ def test_inject_headers_replaces_same_name(spark):
     got = [r.h for r in df.select(inject_headers("headers", "Bearer new", "svc").alias("h")).collect()]
     assert got[0] == {"X-Correlation-Id": "c", "Authorization": "Bearer new", "X-Caller-Id": "svc"}
     assert got[1] == {"Authorization": "Bearer new", "X-Caller-Id": "svc"}
+
+
+def test_results_from_json_accepts_text_booleans(spark):
+    from recordlog.sources.codec import results_from_json
+    body = ('[{"record": {"topic": "t", "partition": 0, "offset": 1}, "processed": "false"},'
+            ' {"record": {"topic": "t", "partition": 0, "offset": 2}, "processed": "TRUE"},'
+            ' {"record": {"topic": "t", "partition": 0, "offset": 3}, "processed": true},'
+            ' {"record": {"topic": "t", "partition": 0, "offset": 4}}]')
+    got = results_from_json(spark.createDataFrame([(body,)], "body string")).orderBy("log_offset").collect()
+    assert [r.processed for r in got] == [False, True, True, None]
