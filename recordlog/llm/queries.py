@@ -88,4 +88,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixing, op2_personal, op3_substrings, op4_toxicity, op5_quality, op6_simhash, op7_lines, op8_embeddings, op9_packing, op10_fingerprints)
 }
-ORACLES: dict[str, str] = {}
+#: DuckDB has no XXH64 with a seed, tokenizer, network or boosting: the other operators are held
+#: against brute force in tests/llm.
+ORACLES: dict[str, str] = {
+    "op3_substrings": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+starts AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS s,
+                  unnest([sha256(array_to_string(ws[s:s + 19], ' ')) for s in range(1, len(ws) - 18)]) AS t FROM w),
+ranked AS (SELECT doc_id, s, row_number() OVER (PARTITION BY t ORDER BY doc_id, s) AS nth FROM starts),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM ranked WHERE nth > 1),
+words AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - COALESCE(kept.n, 0) AS BIGINT) AS n_removed,
+       sha256(COALESCE(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""",
+}
