@@ -2,6 +2,7 @@
 a destination topic), with audit rows and per-request progress."""
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -9,11 +10,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DLQ_EXT
+from ..config import DLQ_EXT, ROLLBACK_THRESHOLD_PCT
 from ..functions.names import without_suffix
+from ..operators.offsets import commit_positions
 from ..operators.replay import (relevant_replays, replay, replay_progress, replay_start_check, republish,
                                 requests_from_control)
-from ..operators.results import audit_from_replay, audit_from_results, process, to_dead_letters
+from ..operators.results import audit_from_replay, audit_from_results, process, rollback_decision, to_dead_letters
 from .sinks import write_audit, write_batch
 
 
@@ -26,6 +28,10 @@ class ReplayConfig:
     ext: str = DLQ_EXT
     service_id: str = "recordlog"
     last_retry: bool = False
+    threshold: float = ROLLBACK_THRESHOLD_PCT   # failed share at which a request's results are rolled back
+    rollback_mode: str = "compat"
+    dead_letter_enabled: bool = True
+    audit_enabled: bool = True
     trigger: dict = field(default_factory=lambda: {"availableNow": True})
 
 
@@ -70,22 +76,44 @@ def replay_batch(control: DataFrame, batch_id: int, log_reader: Callable[[], Dat
             lambda: write_batch(republish(replayed), f"{out}/republished", batch_id),
             lambda: write_batch(replay_progress(ok, replayed), f"{out}/progress", batch_id),
         ]
+        results = None
         if fn is not None:
             to_fn = replayed.filter(~F.coalesce(F.col("streaming_app"), F.lit(False))).select(
                 "request_id", "topic", "partition_id", "log_offset", "timestamp", "key", "value", "headers",
                 *[c for c in ("event_id",) if c in replayed.columns])
             results = process(to_fn, fn).persist()
             cached.append(results)
-            writes += [
-                lambda: write_audit(audit_from_results(results, "REACTIVE_CONSUMER", cfg.service_id),
-                                    f"{out}/audit", batch_id),
-                lambda: write_batch(to_dead_letters(results, cfg.ext, last_retry=cfg.last_retry),
-                                    f"{out}/dead_letters", batch_id),
-            ]
+            try:
+                results.count()
+            except Exception as error:  # the function failed: its requests are audited, nothing of theirs is kept
+                reason = str(error)
+                reason = reason if len(reason) <= 4000 else f"{reason[:1000]} ... {reason[-3000:]}"
+                asked = rel.filter(~F.coalesce(F.col("streaming_app"), F.lit(False)))
+                writes.append(lambda: write_audit(audit_from_replay(asked, "FAILURE", reason, service_id=cfg.service_id),
+                                                  f"{out}/audit_failed", batch_id))
+                results = None
+        if results is not None:
+            # the rules of the consume loop, request by request
+            decision = rollback_decision(results, ["request_id"], cfg.threshold, cfg.rollback_mode).persist()
+            cached.append(decision)
+            undone = rel.join(decision.filter("rolled_back").select("request_id"), "request_id", "left_semi")
+            kept = results.join(decision.filter("not rolled_back").select("request_id"), "request_id", "left_semi")
+            writes.append(lambda: write_audit(audit_from_replay(undone, "FAILURE", "rolled back", service_id=cfg.service_id),
+                                              f"{out}/audit_rolled_back", batch_id))
+            if cfg.audit_enabled:
+                writes.append(lambda: write_audit(audit_from_results(kept, "REACTIVE_CONSUMER", cfg.service_id),
+                                                  f"{out}/audit", batch_id))
+            if cfg.dead_letter_enabled:
+                writes.append(lambda: write_batch(to_dead_letters(kept, cfg.ext, last_retry=cfg.last_retry),
+                                                  f"{out}/dead_letters", batch_id))
         # independent sinks: concurrent Spark jobs, all must succeed
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
             for f in [pool.submit(w) for w in writes]:
                 f.result()
+        if results is not None:  # last and alone, as in the consume loop
+            pos = commit_positions(kept.join(req.select("request_id", "consumer_group"), "request_id"), "consumer_group")
+            write_batch(pos.select("consumer_group", "topic", "partition_id", "log_offset",
+                                   F.lit(int(time.time() * 1000)).cast("bigint").alias("committed_at")), f"{out}/commits", batch_id)
     finally:
         for d in reversed(cached):
             d.unpersist()

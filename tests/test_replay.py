@@ -57,3 +57,62 @@ def test_replay_batch_aborts_on_start_mismatch(spark, fx_small):
     assert aborted.count() == 1
     prog = spark.read.parquet(os.path.join(root, "progress")).collect()
     assert len(prog) == 1 and prog[0].n_records == 5 and prog[0].finished
+
+
+def _control(spark, requests):
+    from recordlog.operators.offsets import append
+    from recordlog.operators.replay import replay_control_record
+    req = spark.createDataFrame(requests, REQUEST_DDL)
+    ctl = replay_control_record(req).select(F.lit("ctl").alias("topic"), F.lit(0).alias("partition_id"), "request_id", "key", "value",
+                                            F.create_map().cast("map<string,string>").alias("headers"))
+    none = ctl.limit(0).select("topic", "partition_id", F.lit(0).cast("bigint").alias("log_offset"))
+    return append(ctl, none, "request_id").drop("request_id")
+
+
+def test_replayed_results_follow_the_consume_rules(spark, fx_small):
+    """A request whose results fail too often is rolled back and audited; the other one writes dead
+    letters, audit and, after them, its commit."""
+    import tempfile
+
+    from recordlog.operators.results import fixture_results
+    from recordlog.streaming.replay import ReplayConfig, replay_batch
+    ctl = _control(spark, [(1, "ev.click", 0, 0, 20, "g1", False, False, None), (2, "ev.view", 1, 0, 20, "g2", False, False, None)])
+
+    def half_bad(pdf):
+        res = fixture_results(pdf)
+        res["processed"] = [t != "ev.view" and o % 10 != 0 for t, o in zip(pdf["topic"], pdf["log_offset"])]
+        return res
+    root = tempfile.mkdtemp(prefix="replay-rules-")
+    cfg = ReplayConfig(out_dir=root, checkpoint=f"{root}/ckpt", config_topics="ev.click,ev.view", threshold=30)
+    replay_batch(ctl, 0, lambda: fx_small.log, half_bad, cfg)
+    commits = spark.read.parquet(f"{root}/commits").collect()
+    assert [(r.consumer_group, r.topic, r.log_offset) for r in commits] == [("g1", "ev.click", 19)]
+    assert {r.origin_topic for r in spark.read.parquet(f"{root}/dead_letters").collect()} == {"ev.click"}
+    assert spark.read.parquet(f"{root}/dead_letters").count() == 2 and spark.read.parquet(f"{root}/audit").count() == 20
+    assert spark.read.parquet(f"{root}/audit_rolled_back").count() == 1
+
+
+def test_a_failing_function_is_audited(spark, fx_small):
+    import os
+    import tempfile
+
+    from recordlog.streaming.replay import ReplayConfig, replay_batch
+
+    def broken(pdf):
+        raise ValueError("backend down")
+    root = tempfile.mkdtemp(prefix="replay-broken-")
+    cfg = ReplayConfig(out_dir=root, checkpoint=f"{root}/ckpt", config_topics="ev.click")
+    replay_batch(_control(spark, [(1, "ev.click", 0, 0, 5, "g", False, False, None)]), 0, lambda: fx_small.log, broken, cfg)
+    rows = spark.read.parquet(f"{root}/audit_failed").collect()
+    assert len(rows) == 1 and "backend down" in rows[0].value
+    assert not os.path.exists(f"{root}/commits") and not os.path.exists(f"{root}/dead_letters")
+
+
+def test_control_topics_are_read_as_they_stand(spark):
+    from recordlog.streaming.replay import read_replay_requests
+    from recordlog.operators.replay import topic_read
+    from recordlog.functions.names import without_suffix
+    df = spark.createDataFrame([("a.dlqx.dlq",), ("a.dlq",), ("a",)], "t string")
+    assert [r[0] for r in df.select(without_suffix("t")).collect()] == ["a.dlqx", "a", "a"]
+    reqs = read_replay_requests(_control(spark, [(1, "a.dlqx", 0, 0, 5, "g", True, False, None)]))
+    assert reqs.select("topic_name", topic_read(reqs)).first()[:] == ("a.dlqx", "a.dlqx.dlq")
