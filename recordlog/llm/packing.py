@@ -17,9 +17,12 @@ others, each with its own places; an empty table gives no pieces; extra columns
 from __future__ import annotations
 
 import math
+import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -38,28 +41,53 @@ BUCKET_ROWS = 4096
 
 # -- tokens ---------------------------------------------------------------------------------
 
-class TokenBytes:
-    """Ids of a UTF-8 text as little-endian unsigned 32-bit integers.  The vocabulary never joins
-    across ASCII white space, so the text is put together from its space-separated parts; the
-    parts seen last are kept, and all new parts of a batch are encoded in one call."""
+_DIGITS = re.compile(rb"[0-9]")
 
-    def __init__(self, path: str, most: int = 300_000):
-        from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+class TokenBytes:
+    """Ids of a UTF-8 text as little-endian unsigned 32-bit integers.
 
-    def of(self, texts: list[bytes]) -> Iterator[bytes]:
-        for text in texts:
-            parts = text.split()
-            new = set(parts) - self.known.keys()
-            if new:
-                if len(self.known) > self.most:
-                    self.known.clear()
-                    new = set(parts)
-                self._learn(list(new))
-            yield b"".join(map(self.known.__getitem__, parts))
+    The vocabulary never joins across ASCII white space and does not tell upper from lower case, so
+    a text is put together from its space-separated parts in lower case.  Parts seen last are kept;
+    the new parts of many texts are encoded in one call, parted by a digit, which always is a token
+    of its own.  Texts that may hold a special token's string keep their case."""
+
+    def __init__(self, path: str, most: int = 600_000, at_once: int = 256):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
+        from tokenizers import Tokenizer
 
-    def _learn(self, parts: list[bytes]) -> None:
+        self.tokenizer, self.most, self.at_once, self.known = Tokenizer.from_file(path), most, at_once, {}
+        self.digit = self.tokenizer.encode("0", add_special_tokens=False).ids
+
+    def of(self, texts: Iterator[bytes]) -> Iterator[bytes]:
+        for some in batched(texts, self.at_once):
+            split = [(t if b"<|" in t else t.lower()).split() for t in some]
+            if len(self.known) > self.most:
+                self.known.clear()
+            self._learn({p for parts in split for p in parts if p not in self.known})
+            for parts in split:
+                yield b"".join(map(self.known.__getitem__, parts))
+
+    def _learn(self, parts: set[bytes]) -> None:
+        # a comma or full stop after a letter is a token run of its own
+        tails = {p for p in parts if p[-1:] in b",." and p[-2:-1].isalpha() and b"'" not in p and b"<|" not in p}
+        new = (parts - tails | {p[:-1] for p in tails} | {b",", b"."} if tails else parts) - self.known.keys()
+        numbers = set(filter(_DIGITS.search, new))
+        plain = list(new - numbers)
+        self._encode(list(numbers))
+        if plain:
+            text = b" 0 ".join(plain).decode("utf-8", "replace")
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(ids == self.digit[0])
+            if len(self.digit) == 1 and len(cuts) == len(plain) - 1:
+                every = ids.tobytes()
+                self.known.update((p, every[4 * a:4 * b]) for p, a, b in
+                                  zip(plain, np.append(0, cuts + 1).tolist(), np.append(cuts, len(ids)).tolist()))
+            else:  # other digits' tokens among them
+                self._encode(plain)
+        self.known.update((p, self.known[p[:-1]] + self.known[p[-1:]]) for p in tails)
+
+    def _encode(self, parts: list[bytes]) -> None:
         found = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in parts], add_special_tokens=False)
         self.known.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(parts, found))
 
