@@ -106,6 +106,7 @@ def _classes(reps: DataFrame, angle: float, rounds: int) -> DataFrame:
     done, rest = None, reps
     for k in range(rounds):
         leaders = rest.groupBy("code", F.size("vec").alias("d")).agg(F.min("rep").alias("class"), F.min_by("vec", "rep").alias("lead"))
+        leaders = store(leaders, "vector-leads")  # a table of its own, so that the join below may split a hot code
         led = rest.withColumn("d", F.size("vec")).join(leaders, ["code", "d"]).select("rep", "n", "vec", "code", "class", "lead")
 
         def measure(batches):
