@@ -130,16 +130,34 @@ def resume(df: DataFrame, commits: DataFrame, group: str, reset: str = "earliest
 
 
 def fetch(df: DataFrame, max_records: int = MAX_POLL_RECORDS) -> DataFrame:
-    """The first ``max_records`` records of each partition (after positioning).
-
-    ``row_number() <= n`` lets Spark insert a per-task group limit before the
-    shuffle, so at most n rows per partition and task are exchanged."""
+    """The first ``max_records`` records of each partition (after positioning): an offset filter,
+    then a rank over the few rows that pass it (see ``_ranked``)."""
     return _ranked(df, max_records).drop("_rank")
 
 
 def _ranked(df: DataFrame, max_records: int) -> DataFrame:
+    """The first ``max_records`` rows of each partition with their rank.
+
+    Offsets grow by one where nothing is missing, so the rows wanted lie below first offset +
+    ``max_records``: a filter, whose highest value reaches the scan, instead of a sort of the
+    whole log.  Partitions that come up short of it (gaps in their offsets) are ranked whole."""
+    from ..session import checkpoint_root
     w = Window.partitionBy(*TP).orderBy("log_offset")
-    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= max_records)
+    rank = F.row_number().over(w)
+    checkpoint_root(df.sparkSession)
+    ends = df.groupBy(*TP).agg(F.min("log_offset").alias("_first"), F.max("log_offset").alias("_last")).checkpoint(eager=True)
+    top = ends.agg(F.max("_first")).first()[0]
+    if top is None:
+        return df.limit(0).withColumn("_rank", F.lit(1))
+    near = join_checked(df.filter(F.col("log_offset") < top + max_records), ends, TP) \
+        .filter(F.col("log_offset") < F.col("_first") + max_records)
+    short = near.groupBy(*TP, "_first", "_last").agg(F.count(F.lit(1)).alias("_n")) \
+        .filter((F.col("_n") < max_records) & (F.col("_last") >= F.col("_first") + max_records)).select(*TP).checkpoint(eager=True)
+    found = near.drop("_first", "_last").withColumn("_rank", rank)
+    if short.isEmpty():
+        return found
+    whole = join_checked(df, short, TP, "left_semi").withColumn("_rank", rank).filter(F.col("_rank") <= max_records)
+    return join_checked(found, short, TP, "left_anti").select(*whole.columns).unionByName(whole)
 
 
 def record_bytes() -> F.Column:

@@ -77,3 +77,22 @@ def test_chunks_are_exact_for_large_numbers(spark):
     df = spark.createDataFrame([(n,), (n + 1,)], "log_offset bigint")
     assert [r.batch_no for r in with_batches(df, 100).orderBy("log_offset").collect()] == [2**53, 2**53 + 1]
     assert [r[0] for r in df.select(chunk_of("log_offset", 100)).orderBy("log_offset").collect()] == [2**53, 2**53 + 1]
+
+
+def test_fetch_of_partitions_with_gaps(spark):
+    from recordlog.operators.select import fetch, first_n
+    rows = [("a", 0, o) for o in (5, 6, 7, 8, 9)] + [("a", 1, o) for o in (3, 50, 51, 900, 901)] + [("b", 0, 2)] + [("b", 1, o) for o in range(100)]
+    df = spark.createDataFrame(rows, "topic string, partition_id int, log_offset bigint")
+    for n in (1, 3, 4, 1000):
+        got = sorted(tuple(r) for r in fetch(df, n).select("topic", "partition_id", "log_offset").collect())
+        want = sorted(x for t, p in {r[:2] for r in rows} for x in sorted(r for r in rows if r[:2] == (t, p))[:n])
+        assert got == want
+    assert first_n(df.limit(0), 3).count() == 0
+
+
+def test_fetch_filters_the_scan(spark, tmp_path):
+    from recordlog.operators.select import fetch
+    path = str(tmp_path / "log")
+    spark.range(1000).selectExpr("'t' AS topic", "0 AS partition_id", "id AS log_offset", "'v' AS value").write.parquet(path)
+    plan = fetch(spark.read.parquet(path), 10)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(log_offset,10)" in plan
