@@ -91,9 +91,8 @@ def seek_timestamps(df: DataFrame, timestamps) -> DataFrame:
     """Records from the first offset at or after the given time, per listed partition."""
     pos = timestamp_positions(df, timestamps)
     if not isinstance(timestamps, DataFrame):
-        # at most one position per listed partition: a proven bound, broadcast as is
         p = pos.select(*TP, F.col("log_offset").alias("_pos"))
-        return df.join(F.broadcast(p), TP).filter(F.col("log_offset") >= F.col("_pos")).drop("_pos")
+        return join_checked(df, p, TP).filter(F.col("log_offset") >= F.col("_pos")).drop("_pos")
     return seek(df, pos)
 
 

@@ -22,11 +22,17 @@ def run_app(name: str, df: DataFrame) -> DataFrame:
     return df.transform(_APPS[name])
 
 
-def push_query(stream_df: DataFrame, transform: Callable[[DataFrame], DataFrame] | None, path: str, checkpoint: str,
-               output_mode: str = "append", offset: str = "earliest", trigger: dict | None = None, fmt: str = "parquet"):
-    """Continuous query on changes written to ``path``.  ``offset='latest'`` is the
-    source's business (e.g. Kafka ``startingOffsets``); ``availableNow`` (default) ends
-    the query once the input is drained, giving a finite result."""
+def push_query(stream_df: DataFrame, transform: Callable[[DataFrame], DataFrame] | str | None, path: str, checkpoint: str,
+               output_mode: str = "append", trigger: dict | None = None, fmt: str = "parquet"):
+    """Continuous query on changes written to ``path``.  ``transform`` is a DataFrame function or
+    a SQL text that names the stream as ``{changes}``.  Where to start is the source's own option (e.g.
+    Kafka's ``startingOffsets``); ``availableNow`` (default) ends the query once the input is
+    drained, giving a finite result."""
+    if isinstance(transform, str):
+        text = transform
+
+        def transform(df: DataFrame) -> DataFrame:
+            return df.sparkSession.sql(text, changes=df)
     out = transform(stream_df) if transform else stream_df
     w = out.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if output_mode in ("update", "complete") and fmt != "memory":

@@ -202,3 +202,12 @@ def test_stream_and_drain_commits_share_one_clock(spark, fx_small):
     want = batch.groupBy("topic", "partition_id").agg(F.max("log_offset").alias("log_offset"))
     cols = ["topic", "partition_id", "log_offset"]
     assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
+
+
+def test_push_query_takes_sql(spark, fx_small):
+    from recordlog.streaming.push import push_query
+    root = tempfile.mkdtemp(prefix="push-sql-")
+    fx_small.log.select("topic", "log_offset").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("topic string, log_offset bigint").parquet(f"{root}/in")
+    push_query(stream, "SELECT topic, log_offset FROM {changes} WHERE topic = 'ev.click'", f"{root}/out", f"{root}/ckpt").awaitTermination()
+    assert spark.read.parquet(f"{root}/out").count() == fx_small.log.filter("topic = 'ev.click'").count()
