@@ -1,6 +1,7 @@
 """Line dedup: an exact set-similarity join of lines.
 
-A line's tokens are its distinct shingles of five words.  All tokens are put in one order, rarest
+A line's tokens are its distinct shingles of five words; with ``short``, a line of one to four words
+has one token, its whole word sequence, so it matches exact repeats.  All tokens are put in one order, rarest
 first: counts over every document in hashed counters, ties by hash.  Two lines with a Jaccard
 similarity of t or more share a token among the first n - ceil(t n) + 1 of both (prefix filter);
 lengths and the token's positions bound their overlap (length and positional filter), and so
@@ -13,8 +14,8 @@ all stays.  Each token's lines are compared with the earliest of them, which set
 near copies in time linear in its size; only lines that this left open are compared with the
 other lines of their tokens.
 
-Defined results: lines are cut at line feeds; lines of fewer than ``words`` words are never
-compared or removed; null and empty texts lose nothing (null stays null); documents are ordered by id, null
+Defined results: lines are cut at line feeds; without ``short`` lines of fewer
+than ``words`` words, and always lines without any word, are never compared or removed; null and empty texts lose nothing (null stays null); documents are ordered by id, null
 ids last, rows that share an id by a hash of the text; rows equal in id and text count as one
 document; an empty table gives no rows; extra columns are kept as they are.
 """
@@ -30,6 +31,8 @@ from recordlog.llm.substrings import A, B, NO_ID, STEP_WORDS, _first, _mixed, _w
 
 #: Counters of the token counts, a fixed table of 512 KB.
 COUNTER_BITS = 16
+#: Fills a short line up to a shingle; stands for no word.
+FILL = np.uint64(0x9E3779B97F4A7C15)
 #: A line's place: no id (1 bit), hash of the text (24), line number (38).
 TIE_AT, NONE_AT = 38, 62
 LINE = "h1 bigint, h2 bigint, id bigint, at bigint, n int, b1 bigint, b2 bigint, prefix array<bigint>, later boolean"
@@ -46,9 +49,10 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return _keyed(docs, id_col, text_col).select("id", "key", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def _shingles(batches, words: int, wanted=None):
+def _shingles(batches, words: int, short: bool, wanted=None):
     """Shingle hashes of steps of documents: (hash, number of the line, ids, places) of lines that have any.
     ``wanted``: column of line numbers to read, else all."""
+    least = 1 if short else words
     known = _word_hashes()
     found, size, ids, ats = [], [], [], []
 
@@ -66,10 +70,12 @@ def _shingles(batches, words: int, wanted=None):
             lines = text.split(b"\n")
             for n in lines_of[i] if lines_of else range(len(lines)):
                 parts = lines[n].split()
-                if len(parts) < words:
+                if len(parts) < least:
                     continue
-                found.append(np.fromiter(map(known.__getitem__, parts), dtype=np.uint64, count=len(parts)))
-                size.append(len(parts))
+                hashes = np.full(max(len(parts), words), FILL)
+                hashes[:len(parts)] = np.fromiter(map(known.__getitem__, parts), dtype=np.uint64, count=len(parts))
+                found.append(hashes)
+                size.append(len(hashes))
                 ids.append(d)
                 ats.append(k | n)
                 held += len(parts)
@@ -80,11 +86,11 @@ def _shingles(batches, words: int, wanted=None):
         yield step()
 
 
-def _counts(rows: DataFrame, words: int) -> np.ndarray:
+def _counts(rows: DataFrame, words: int, short: bool) -> np.ndarray:
     """Number of shingles of all lines in each counter."""
     def count(batches):
         total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
-        for hashed, *_ in _shingles(batches, words):
+        for hashed, *_ in _shingles(batches, words, short):
             total += np.bincount((hashed >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["counter", "n"])
@@ -103,7 +109,7 @@ def _distinct(tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.nda
     return tokens[new], owner[new]
 
 
-def _index(counts: np.ndarray, words: int, threshold: float):
+def _index(counts: np.ndarray, words: int, threshold: float, short: bool):
     """Lines of a task with their prefix; of equal lines the earliest, the others as later."""
     mean = max(1.0, counts.sum() / len(counts))
     # rarity class of a counter: 0 up to twice the mean, then by powers of two
@@ -112,7 +118,7 @@ def _index(counts: np.ndarray, words: int, threshold: float):
 
     def scan(batches):
         lists, rows = [], []
-        for hashed, owner, ids, ats in _shingles(batches, words):
+        for hashed, owner, ids, ats in _shingles(batches, words, short):
             token, owner = _distinct(rarity[(hashed >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)] << np.uint64(58) | hashed & low, owner)
             begin = np.searchsorted(owner, np.arange(len(ids)))
             n = np.diff(begin, append=len(owner))
@@ -160,7 +166,7 @@ def _earlier(x: str = "x", y: str = "y") -> Column:
     return (F.col(f"{x}.id") < F.col(f"{y}.id")) | ((F.col(f"{x}.id") == F.col(f"{y}.id")) & (F.col(f"{x}.at") < F.col(f"{y}.at")))
 
 
-def _verified(rows: DataFrame, pairs: DataFrame, words: int, threshold: float) -> DataFrame:
+def _verified(rows: DataFrame, pairs: DataFrame, words: int, threshold: float, short: bool) -> DataFrame:
     """(id, at) of the later lines of pairs that match on their full token sets."""
     pairs = store(pairs.distinct(), "line-pairs")
     number = F.lit((1 << TIE_AT) - 1)
@@ -169,7 +175,7 @@ def _verified(rows: DataFrame, pairs: DataFrame, words: int, threshold: float) -
         .groupBy("id", "key").agg(F.collect_set("line").alias("lines"))
 
     def read(batches):
-        for hashed, owner, ids, ats in _shingles(batches, words, wanted=3):
+        for hashed, owner, ids, ats in _shingles(batches, words, short, wanted=3):
             token, owner = _distinct(hashed, owner)
             begin = np.searchsorted(owner, np.arange(len(ids) + 1))
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ats), pa.ListArray.from_arrays(
@@ -188,10 +194,11 @@ def _verified(rows: DataFrame, pairs: DataFrame, words: int, threshold: float) -
                  .select(F.col("y_id").alias("id"), F.col("y_at").alias("at")).distinct(), "line-matches")
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: float = 0.8) -> DataFrame:
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: float = 0.8,
+             short: bool = False) -> DataFrame:
     """(id, key, removed): the numbers (from 0) of the lines that go, of documents that lose any."""
     rows = _rows(docs, id_col, text_col)
-    lines = rows.mapInArrow(_index(_counts(rows, words), words, threshold), LINE)
+    lines = rows.mapInArrow(_index(_counts(rows, words, short), words, threshold, short), LINE)
     first = F.rank().over(Window.partitionBy("h1", "h2").orderBy("id", "at")) == 1
     lines = store(lines.withColumn("later", F.col("later") | ~first).drop("h1", "h2"), "lines")
     entries = lines.filter("not later").select("id", "at", "n", "b1", "b2", F.posexplode("prefix").alias("pos", "token"))
@@ -201,25 +208,27 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     place = [F.col("x.id").alias("x_id"), F.col("x.at").alias("x_at"), F.col("y.id").alias("y_id"), F.col("y.at").alias("y_at")]
     lead = entries.groupBy("token").agg(F.min(F.struct("id", "at", "n", "pos", "b1", "b2")).alias("lead")).select("token", "lead.*")
     led = entries.alias("y").join(lead.alias("x"), "token").filter(_earlier() & _may_match(threshold)).select(*place)
-    matched = _verified(rows, led, words, threshold)
+    matched = _verified(rows, led, words, threshold, short)
     open_lines = entries.join(matched, ["id", "at"], "left_anti")
     rest = open_lines.alias("y").join(entries.alias("x"), "token").filter(_earlier() & _may_match(threshold)).select(*place)
-    matched = matched.union(_verified(rows, rest, words, threshold))
+    matched = matched.union(_verified(rows, rest, words, threshold, short))
     gone = lines.filter("later").select("id", "at").union(matched)
     number = F.lit((1 << TIE_AT) - 1)
     return gone.groupBy("id", F.col("at").bitwiseAND(F.lit(~((1 << TIE_AT) - 1))).alias("key")) \
         .agg(F.array_sort(F.collect_set(F.col("at").bitwiseAND(number))).alias("removed"))
 
 
-def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: float = 0.8) -> DataFrame:
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: float = 0.8,
+           short: bool = False) -> DataFrame:
     """(id, n_lines, removed) of every row of ``docs``; removed: line numbers, in order."""
     rows = _rows(docs, id_col, text_col).select("id", "key", F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n"))).alias("n_lines"))
-    found = rows.join(repeated(docs, id_col, text_col, words, threshold), ["id", "key"], "left")
+    found = rows.join(repeated(docs, id_col, text_col, words, threshold, short), ["id", "key"], "left")
     none = F.col("key").bitwiseAND(F.lit(1 << NONE_AT)) != 0
     return found.select(F.when(~none, F.col("id")).alias("id"), "n_lines", F.coalesce("removed", F.array().cast("array<bigint>")).alias("removed"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: float = 0.8) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: float = 0.8,
+          short: bool = False) -> DataFrame:
     """``docs`` with the repeated lines cut out of the text, columns as given."""
     @F.arrow_udf("string")
     def cut(texts: pa.Array, removed: pa.Array) -> pa.Array:
@@ -229,7 +238,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
             out.append(None if gone is None else b"\n".join(line for n, line in enumerate(text.split(b"\n")) if n not in gone))
         return pa.array(out, pa.binary()).cast(pa.string())
 
-    found = _keyed(docs, id_col, text_col).join(repeated(docs, id_col, text_col, words, threshold), ["id", "key"], "left")
+    found = _keyed(docs, id_col, text_col).join(repeated(docs, id_col, text_col, words, threshold, short), ["id", "key"], "left")
     touched = F.col("removed").isNotNull()
     found = found.withColumn("left", cut(F.when(touched, F.col("text")), F.col("removed")))  # other texts stay on the JVM's side
     return from_rows(found, docs, **{text_col: F.when(touched, F.col("left")).otherwise(F.col("text"))})

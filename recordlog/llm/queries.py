@@ -60,7 +60,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.judged(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    found = lines.judged(_table(spark, sf_dir, "documents", "doc_id", "text"), short=True)
     return found.select(F.col("id").alias("doc_id"), F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
                         F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
 

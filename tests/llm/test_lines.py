@@ -49,3 +49,32 @@ def test_dedup_cuts_the_lines_out(spark):
 def test_empty_table(spark):
     assert lines.judged(frame(spark, [])).count() == 0
     assert lines.dedup(frame(spark, [])).count() == 0
+
+
+def brute_short(rows, size=5, threshold=0.8):
+    """``brute`` with the exact repeats among lines of one to four words."""
+    gone = {k: set(v) for k, v in brute(rows, size, threshold).items()}
+    tie = {(i, t): xxhash.xxh64_intdigest((t or "").encode(), 42) if t is not None else 42 for i, t, *_ in rows}
+    seen = set()
+    for i, t in sorted(tie, key=lambda k: (k[0] is None, k[0] or 0, tie[k] & (1 << 24) - 1)):
+        for n, line in enumerate((t or "").split("\n")):
+            w = tuple(words(line))
+            if 0 < len(w) < size:
+                if w in seen:
+                    gone.setdefault((i, t), set()).add(n)
+                seen.add(w)
+    return {k: sorted(v) for k, v in gone.items()}
+
+
+def test_short_lines_lose_their_repeats(spark):
+    rows = documents()
+    rows += [(50_000 + k, f"Read more\n \nread more\n Read  more\nmore Read\nunique{k}\none two three four\none two three four five\n\n", "en", "s", 1)
+             for k in range(30)]
+    want = brute_short(rows)
+    got = lines.judged(frame(spark, rows), short=True).collect()
+    assert sorted((str(r["id"]), str(list(r["removed"]))) for r in got) == sorted((str(i), str(want.get((i, t), []))) for i, t, *_ in rows)
+
+    def left(i, t):
+        return t if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in want.get((i, t), []))
+    assert sorted(str((r["doc_id"], r["text"])) for r in lines.dedup(frame(spark, rows), short=True).collect()) \
+        == sorted(str((i, left(i, t))) for i, t, *_ in rows)

@@ -13,6 +13,7 @@ from recordlog.llm.common import store
 from recordlog.llm.queries import QUERIES, tokenizer_path
 
 from .test_lines import brute as brute_lines
+from .test_lines import brute_short
 from .test_simhash import components, fingerprint
 
 SF = "/root/testdata/sf0.001"
@@ -59,6 +60,15 @@ def test_line_stage(kept):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+def test_line_stage_drops_repeats_of_short_lines(kept):
+    before, after = kept[1]
+    rows = [tuple(r) for r in before.select("doc_id", "text").collect()]
+    gone = brute_short(rows)
+    want = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone.get((i, t), [])) for i, t in rows}
+    assert {r["doc_id"]: r["text"] for r in after.collect()} == want
+    assert sum(map(len, gone.values())) > sum(map(len, brute_lines(rows).values()))
+
+
 def test_near_copy_stage(kept):
     before, after = kept[2]
     fp = {r["doc_id"]: fingerprint(r["text"]) for r in before.collect()}
