@@ -47,8 +47,10 @@ _DIGITS = re.compile(rb"[0-9]")
 class TokenBytes:
     """Ids of a UTF-8 text as little-endian unsigned 32-bit integers.
 
-    The vocabulary never joins across ASCII white space and does not tell upper from lower case, so
-    a text is put together from its space-separated parts in lower case.  Parts seen last are kept;
+    The vocabulary never joins across ASCII white space and does not tell upper from lower case in
+    ASCII, so a text is put together from its space-separated parts, those that are all ASCII in lower
+    case; others stay as they are, for a small letter may compose with a mark where the capital does
+    not.  Parts seen last are kept;
     the new parts of many texts are encoded in one call, parted by a digit, which always is a token
     of its own.  Texts that may hold a special token's string keep their case."""
 
@@ -61,13 +63,21 @@ class TokenBytes:
 
     def of(self, texts: Iterator[bytes]) -> Iterator[bytes]:
         for some in batched(texts, self.at_once):
-            split = [(t if b"<|" in t else t.lower()).split() for t in some]
+            split = [self._parts(t) for t in some]
             if len(self.known) > self.most:
                 self.known.clear()
             self._learn({p for parts in split for p in parts if p not in self.known})
             for parts in split:
                 yield b"".join(map(self.known.__getitem__, parts))
 
+    @staticmethod
+    def _parts(text: bytes) -> list[bytes]:
+        if b"<|" in text:
+            return text.split()
+        if text.isascii():
+            return text.lower().split()
+        return [p.lower() if p.isascii() else p for p in text.split()]
+
     def _learn(self, parts: set[bytes]) -> None:
         # a comma or full stop after a letter is a token run of its own
         tails = {p for p in parts if p[-1:] in b",." and p[-2:-1].isalpha() and b"'" not in p and b"<|" not in p}

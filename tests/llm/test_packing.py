@@ -23,6 +23,14 @@ def test_part_tokens_equal_the_whole_texts():
         assert np.frombuffer(ids, dtype="<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_capitals_before_a_mark_are_not_lowered():
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = ["J\u030c", "H\u0331abc", "T\u0308", "W\u030a", "Y\u030a", "a J\u030c, H\u0331ABC. Plain ÉCOLE, e\u0301 E\u0301"]
+    texts += [t.lower() for t in texts]
+    for t, ids in zip(texts, packing.TokenBytes(PATH).of(iter([t.encode() for t in texts]))):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def test_documents_round_trip(spark):
     rows = documents()
     docs = frame(spark, rows, extra="length int,piece string")
