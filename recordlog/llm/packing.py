@@ -6,7 +6,9 @@ the size of the corpus, and a packing is a short list of fillings with the numbe
 each is used.  The driver searches that list: best-fit decreasing gives the first solution;
 then, around the largest length left, undominated fillings are enumerated in order of waste,
 each used as often as the counts allow, and a branch ends when its waste alone already rules
-out a better solution.  The tasks then deal the pieces of each length out to the fillings'
+out a better solution.  A first pass tries the few most promising fillings of each branch; what
+is left of the steps goes to a second one over all undominated fillings, each used as often as
+possible or once, so the search only ends at its steps, a proof, or the end of the tree.  The tasks then deal the pieces of each length out to the fillings'
 places by their rank among the pieces of that length.  Ranks are counted in buckets of a hash
 of the key, so a length that a third of all pieces share is never gathered in one task.
 
@@ -23,6 +25,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from itertools import batched
+from operator import length_hint
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +36,8 @@ from recordlog.llm.common import store, utf8
 
 #: One filling of a sequence: ((length, how many), ...), longest first.
 Filling = tuple[tuple[int, int], ...]
-#: Steps of the search for better packings and of one enumeration of fillings.  They bound the
-#: driver's time; the packing is whole wherever the search ends.
+#: Steps of the search for better packings, and in its first pass of one enumeration of fillings and
+#: its branches.  They bound the driver's time; the packing is whole wherever the search ends.
 SEARCH_NODES, FILLING_STEPS, BRANCHES = 8_000, 400, 3
 BUCKET_ROWS = 4096
 
@@ -177,6 +180,33 @@ def best_fit(counts: dict[int, int], capacity: int) -> dict[Filling, int]:
     return found
 
 
+def _dominated(counts: dict[int, int], lengths: list[int], chosen: tuple, waste: int) -> bool:
+    used = dict(chosen)
+    for length, _ in chosen:
+        k = bisect_left(lengths, length + 1)
+        while k < len(lengths) and lengths[k] <= length + waste:
+            if counts[lengths[k]] > used.get(lengths[k], 0):
+                return True
+            k += 1
+    return any(counts[x] > used.get(x, 0) for x in lengths[:bisect_left(lengths, waste + 1)])
+
+
+def _every_filling(counts: dict[int, int], lengths: list[int], room: int) -> Iterator[tuple[int, Filling] | None]:
+    """All undominated fillings of ``room``, one at a time, and None for each step between them."""
+    stack = [(len(lengths), room, ())]
+    while stack:
+        upto, room, chosen = stack.pop()
+        at = bisect_left(lengths, room + 1, 0, upto)
+        if at == 0:
+            yield None if _dominated(counts, lengths, chosen, room) else (room, chosen)
+            continue
+        yield None
+        # with at least one of the longest that fits, the most first, or none of it
+        length = lengths[at - 1]
+        stack.append((at - 1, room, chosen))
+        stack += [(at - 1, room - n * length, (*chosen, (length, n))) for n in range(1, min(counts[length], room // length) + 1)]
+
+
 def _fillings(counts: dict[int, int], lengths: list[int], room: int) -> list[tuple[int, Filling]]:
     """Undominated fillings of ``room``, least waste first: no length in one can be exchanged for a
     longer one that is left, and nothing that is left still fits."""
@@ -188,7 +218,7 @@ def _fillings(counts: dict[int, int], lengths: list[int], room: int) -> list[tup
         steps += 1
         at = bisect_left(lengths, room + 1, 0, upto)
         if at == 0:
-            if not dominated(chosen, room):
+            if not _dominated(counts, lengths, chosen, room):
                 found.append((room, chosen))
             return room == 0 or steps > FILLING_STEPS
         for k in range(at - 1, max(-1, at - 1 - BRANCHES), -1):
@@ -200,16 +230,6 @@ def _fillings(counts: dict[int, int], lengths: list[int], room: int) -> list[tup
                         return True
         return False
 
-    def dominated(chosen: tuple, waste: int) -> bool:
-        used = dict(chosen)
-        for length, _ in chosen:
-            k = bisect_left(lengths, length + 1)
-            while k < len(lengths) and lengths[k] <= length + waste:
-                if counts[lengths[k]] > used.get(lengths[k], 0):
-                    return True
-                k += 1
-        return any(counts[x] > used.get(x, 0) for x in lengths[:bisect_left(lengths, waste + 1)])
-
     grow(len(lengths), room, ())
     return sorted(set(found))[:BRANCHES]
 
@@ -221,33 +241,57 @@ def plan(counts: dict[int, int], capacity: int) -> dict[Filling, int]:
     best = best_fit(counts, capacity)
     least = max(-(-total // capacity), sum(n for k, n in counts.items() if 2 * k > capacity))
     nodes = 0
-    # a stack of branches: lengths left, fillings so far, bins used, waste so far, and the choices not tried yet
-    stack = [(dict(counts), {}, 0, 0, None)]
-    while stack and sum(best.values()) > least and nodes < SEARCH_NODES:
-        left, used, bins, waste, choices = stack.pop()
-        spare = (sum(best.values()) - 1) * capacity - total  # waste that a better packing may have
-        if waste > spare:
-            continue
-        if not left:
-            best = used
-            continue
-        if choices is None:
+
+    def few(rest: dict[int, int], lengths: list[int], room: int) -> Iterator:
+        return iter([(w, f, False) for w, f in _fillings(rest, lengths, room) or [(room, ())]])
+
+    def every(rest: dict[int, int], lengths: list[int], room: int) -> Iterator:
+        for found in _every_filling(rest, lengths, room):
+            yield found and (*found, False)
+            if found:
+                yield (*found, True)
+
+    for choose in (few, every):
+        # a stack of branches: lengths left, fillings so far (the earlier ones, the last, how often), bins used,
+        # waste so far, and the choices not tried yet
+        stack = [(dict(counts), None, 0, 0, None)]
+        while stack and sum(best.values()) > least and nodes < SEARCH_NODES:
+            left, used, bins, waste, choices = stack.pop()
+            spare = (sum(best.values()) - 1) * capacity - total  # waste that a better packing may have
+            if waste > spare:
+                continue
+            if not left:
+                best = {}
+                while used:
+                    used, key, times = used
+                    best[key] = best.get(key, 0) + times
+                continue
             longest = max(left)
-            rest = {**left, longest: left[longest] - 1}
-            lengths = sorted(k for k, n in rest.items() if n)
-            choices = [(w, longest, f) for w, f in _fillings(rest, lengths, capacity - longest)] or [(capacity - longest, longest, ())]
-        (w, longest, filling), later = choices[0], choices[1:]
-        if later:
-            stack.append((left, used, bins, waste, later))
-        nodes += 1
-        take = dict(filling)
-        take[longest] = take.get(longest, 0) + 1
-        times = min(left[k] // n for k, n in take.items())
-        if w:  # a filling with waste is used no oftener than a better packing could bear
-            times = max(1, min(times, (spare - waste) // w))
-        key = tuple(sorted(take.items(), reverse=True))
-        after = {k: n - times * take.get(k, 0) for k, n in left.items()}
-        stack.append(({k: n for k, n in after.items() if n}, {**used, key: used.get(key, 0) + times}, bins + times, waste + w * times, None))
+            if choices is None:
+                rest = {**left, longest: left[longest] - 1}
+                choices = choose(rest, sorted(k for k, n in rest.items() if n), capacity - longest)
+            choice = next(choices, False)
+            if choice is False:
+                continue
+            nodes += 1
+            if length_hint(choices, 1):
+                stack.append((left, used, bins, waste, choices))
+            if choice is None:  # a step without a filling
+                continue
+            w, filling, once = choice
+            if waste + w > spare:
+                continue
+            take = dict(filling)
+            take[longest] = take.get(longest, 0) + 1
+            times = min(left[k] // n for k, n in take.items())
+            if w:  # a filling with waste is used no oftener than a better packing could bear
+                times = max(1, min(times, (spare - waste) // w))
+            if once and times == 1:  # tried already
+                continue
+            times = 1 if once else times
+            key = tuple(sorted(take.items(), reverse=True))
+            after = {k: n - times * take.get(k, 0) for k, n in left.items()}
+            stack.append(({k: n for k, n in after.items() if n}, (used, key, times), bins + times, waste + w * times, None))
     return best
 
 

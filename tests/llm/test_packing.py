@@ -114,3 +114,20 @@ def test_hot_length_is_dealt_in_buckets(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert packing.pack_documents(frame(spark, []), PATH).count() == 0
+
+
+@pytest.mark.parametrize("capacity, want, lengths", [
+    (1000, 5, [129, 152, 168, 170, 198, 239, 264, 315, 323, 419, 425, 469, 496, 537, 662]),
+    (100, 5, [11, 13, 15, 21, 22, 23, 26, 27, 30, 38, 40, 42, 50, 65, 66]),
+    (1000, 6, [198, 210, 224, 234, 240, 262, 286, 328, 354, 366, 383, 479, 521, 564, 615, 658])])
+def test_plan_looks_beyond_the_promising_fillings(capacity, want, lengths):
+    found = packing.plan(Counter(lengths), capacity)
+    assert sum(found.values()) == want == -(-sum(lengths) // capacity)
+    assert all(sum(a * n for a, n in f) <= capacity for f in found)
+    assert sum((Counter({a: n * bins for a, n in f}) for f, bins in found.items()), Counter()) == Counter(lengths)
+
+
+def test_every_filling_is_enumerated():
+    counts = {3: 2, 4: 2, 5: 1, 7: 1}
+    found = {f for x in packing._every_filling(counts, [3, 4, 5, 7], 11) if x for f in [x[1]]}
+    assert found == {((7, 1), (4, 1)), ((5, 1), (3, 2)), ((4, 2), (3, 1))}
