@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlog.llm import embeddings, fingerprints, lines, mixing, packing, personal, quality, simhash, substrings, toxicity
+from recordlog.llm import embeddings, fingerprints, lines, mixing, packing, personal, quality, simhash, substrings, toxicity, trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -85,8 +85,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                         fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return trie.trie(trie.rebuilt(trie.sequences(turns)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_personal, op3_substrings, op4_toxicity, op5_quality, op6_simhash, op7_lines, op8_embeddings, op9_packing, op10_fingerprints)
+    f.__name__: f for f in (op1_mixing, op2_personal, op3_substrings, op4_toxicity, op5_quality, op6_simhash, op7_lines, op8_embeddings, op9_packing, op10_fingerprints,
+                              op12_prefix_trie)
 }
 #: DuckDB has no XXH64 with a seed, tokenizer, network or boosting: the other operators are held
 #: against brute force in tests/llm.
@@ -102,4 +108,36 @@ kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM w
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - COALESCE(kept.n, 0) AS BIGINT) AS n_removed,
        sha256(COALESCE(kept.t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)""",
+    "op12_prefix_trie": r"""
+WITH turns AS (
+  SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({'role': role, 'text': text}
+                       ORDER BY turn NULLS FIRST, role, sha256(concat(length(role), ':', role, text))[1:32]) AS ts
+  FROM turns GROUP BY conv_id),
+h AS (
+  SELECT conv_id, ts, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)),
+    CAST(4294967295 AS BIGINT)) % 4 AS INTEGER) AS h
+  FROM own),
+convs AS (
+  SELECT a.conv_id, list_concat(COALESCE(list_slice(b.ts, 1, a.h), []), list_slice(a.ts, a.h + 1, len(a.ts))) AS ts
+  FROM h a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+prefixes AS (SELECT conv_id, len(ts) AS n, unnest(range(0, len(ts) + 1)) AS depth, ts FROM convs),
+keyed AS (SELECT conv_id, n, depth, ts, sha256(CAST(to_json(list_slice(ts, 1, depth)) AS VARCHAR)) AS k,
+                 CASE WHEN depth > 0 THEN sha256(CAST(to_json(list_slice(ts, 1, depth - 1)) AS VARCHAR)) END AS pk FROM prefixes),
+nodes AS (
+  SELECT k, any_value(pk) AS pk, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         CASE WHEN any_value(depth) > 0 THEN (count(*) - 1) * len(regexp_extract_all(any_value(ts[depth].text), '[^\x20\x09-\x0D]+')) ELSE 0 END AS v,
+         sha256(COALESCE(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends
+  FROM keyed GROUP BY k),
+children AS (SELECT pk AS k, count(*) AS c FROM nodes WHERE pk IS NOT NULL GROUP BY pk),
+-- each node with its ancestors and itself, by the prefixes of its smallest member
+above AS (
+  SELECT a.k, nodes.v, CASE WHEN children.c IS NULL THEN 1 ELSE 0 END AS leaf
+  FROM nodes LEFT JOIN children USING (k) JOIN keyed a ON a.conv_id = nodes.conv_id AND a.depth <= nodes.depth),
+sums AS (SELECT k, sum(v) AS saved, sum(leaf) AS leaves FROM above GROUP BY k)
+SELECT nodes.conv_id, nodes.depth, p.conv_id AS parent_conv_id, nodes.n_convs, COALESCE(children.c, 0) AS n_children,
+       CAST(sums.leaves AS BIGINT) AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, nodes.ends AS ends_sha256
+FROM nodes LEFT JOIN nodes p ON p.k = nodes.pk LEFT JOIN children ON children.k = nodes.k JOIN sums ON sums.k = nodes.k""",
 }
