@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlog.llm import embeddings, fingerprints, lines, mixing, packing, personal, quality, simhash, substrings, toxicity, trie
+from recordlog.llm import divergence, embeddings, fingerprints, lines, mixing, packing, personal, quality, simhash, substrings, toxicity, trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -90,9 +90,13 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie(trie.rebuilt(trie.sequences(turns)))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixing, op2_personal, op3_substrings, op4_toxicity, op5_quality, op6_simhash, op7_lines, op8_embeddings, op9_packing, op10_fingerprints,
-                              op12_prefix_trie)
+                              op12_prefix_trie, op13_divergence)
 }
 #: DuckDB has no XXH64 with a seed, tokenizer, network or boosting: the other operators are held
 #: against brute force in tests/llm.
@@ -140,4 +144,36 @@ sums AS (SELECT k, sum(v) AS saved, sum(leaf) AS leaves FROM above GROUP BY k)
 SELECT nodes.conv_id, nodes.depth, p.conv_id AS parent_conv_id, nodes.n_convs, COALESCE(children.c, 0) AS n_children,
        CAST(sums.leaves AS BIGINT) AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, nodes.ends AS ends_sha256
 FROM nodes LEFT JOIN nodes p ON p.k = nodes.pk LEFT JOIN children ON children.k = nodes.k JOIN sums ON sums.k = nodes.k""",
+    "op13_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+         regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+words AS (SELECT i, lang, source, unnest(ts) AS t FROM d),
+kept AS (SELECT lang, t FROM words GROUP BY lang, t HAVING count(DISTINCT i) >= 3),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, t, count(*) AS c FROM words JOIN kept USING (lang, t) GROUP BY lang, source, t),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, COALESCE(sum(c), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (
+  SELECT lang, source, t, COALESCE(c.c, 0) AS c, 1 + CAST(1000000000 AS HUGEINT) * (COALESCE(c.c, 0) + 1) // (n.n + v.v) AS p
+  FROM n JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, t)),
+ln AS (SELECT lang, sum(c) AS n FROM c GROUP BY lang),
+q AS (
+  SELECT lang, t, 1 + CAST(1000000000 AS HUGEINT) * (sum(c.c) + 1) // (any_value(ln.n) + any_value(v.v)) AS q
+  FROM c JOIN ln USING (lang) JOIN v USING (lang) GROUP BY lang, t),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, COALESCE(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.t = x.t
+  GROUP BY a.lang, a.source, b.source),
+term AS (SELECT lang, source, t AS item, (p - q) * (p - q) // q AS value FROM p JOIN q USING (lang, t) WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT *, 'pair' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pair
+  UNION ALL
+  SELECT *, 'term', row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM term)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200""",
 }
