@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlog.llm import divergence, embeddings, fingerprints, lines, mixing, packing, personal, quality, simhash, substrings, toxicity, trie
+from recordlog.llm import divergence, embeddings, fingerprints, language_model, lines, mixing, packing, personal, quality, simhash, substrings, toxicity, trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -85,6 +85,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                         fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(_table(spark, sf_dir, "documents", "doc_id", "text")).withColumnRenamed("id", "doc_id")
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     return trie.trie(trie.rebuilt(trie.sequences(turns)))
@@ -96,7 +100,7 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixing, op2_personal, op3_substrings, op4_toxicity, op5_quality, op6_simhash, op7_lines, op8_embeddings, op9_packing, op10_fingerprints,
-                              op12_prefix_trie, op13_divergence)
+                              op11_language_model, op12_prefix_trie, op13_divergence)
 }
 #: DuckDB has no XXH64 with a seed, tokenizer, network or boosting: the other operators are held
 #: against brute force in tests/llm.
