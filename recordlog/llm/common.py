@@ -37,6 +37,16 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(table: DataFrame) -> None:
+    """Delete a table that ``store`` wrote, once nothing reads it any more."""
+    spark = table.sparkSession
+    root = shared_root(spark)
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        if path.split(":", 1)[-1].lstrip("/").startswith(root.split(":", 1)[-1].lstrip("/")):
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def bounded_sample(df: DataFrame, rows: int, *key: str) -> DataFrame:
     """At most ``rows`` rows of ``df``, those with a small hash of the key columns, the same in every run.
 

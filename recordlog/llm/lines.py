@@ -9,8 +9,10 @@ does the parity of their tokens' bits (a bitmap of 128 bits, which never rejects
 passes is verified on the full token sets.  A line goes if an earlier line of the corpus, by
 document and line number, matches it; lines are judged on the input, not on what is left.
 
-Equal lines first become one: a task passes on the earliest of its own, then the earliest of
-all stays.  Each token's lines are compared with the earliest of them, which settles a group of
+Equal lines first become one: a task settles its own and passes on the earliest by a digest of
+128 bits, then the earliest of all stays.  The same reading fills the counters.  The prefixes
+cross the network once, as token and line number; tokens that stand in one line only end there.
+Each token's lines are compared with the earliest of them, which settles a group of
 near copies in time linear in its size; only lines that this left open are compared with the
 other lines of their tokens.
 
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordlog.llm.common import from_rows, store, utf8, whole_rows
+from recordlog.llm.common import drop, from_rows, store, utf8, whole_rows
 from recordlog.llm.substrings import A, B, NO_ID, STEP_WORDS, _first, _mixed, _word_hashes, grams
 
 #: Counters of the token counts, a fixed table of 512 KB.
@@ -35,7 +37,12 @@ COUNTER_BITS = 16
 FILL = np.uint64(0x9E3779B97F4A7C15)
 #: A line's place: no id (1 bit), hash of the text (24), line number (38).
 TIE_AT, NONE_AT = 38, 62
-LINE = "h1 bigint, h2 bigint, id bigint, at bigint, n int, b1 bigint, b2 bigint, prefix array<bigint>, later boolean"
+LINE = "line bigint, id bigint, at bigint, n int, b1 bigint, b2 bigint, prefix array<bigint>"
+#: A line's number: the task's (23 bits) and its own (24); an entry adds the token's place in the prefix, up to 16 bits.
+TASK_LINES, POS_BITS = 24, 16
+FIRST, LATER, COUNTS = range(3)
+#: Stands for a line's end: a byte that UTF-8 never uses.
+CUT, CUT_SPACED, CUT_HASH = b"\xff", b" \xff ", np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -54,51 +61,86 @@ def _shingles(batches, words: int, short: bool, wanted=None):
     ``wanted``: column of line numbers to read, else all."""
     least = 1 if short else words
     known = _word_hashes()
-    found, size, ids, ats = [], [], [], []
+    of_word = known.of
+    known.of = lambda w: int(CUT_HASH) if w == CUT else of_word(w)
+    parts, ids, keys, lines_of, picked = [], [], [], [], []
 
     def step():
-        every = np.concatenate(found)
-        length = np.array(size)
-        owner = np.repeat(np.arange(len(length)), length)
-        starts = np.flatnonzero(np.repeat(np.cumsum(length), length)[:len(every) - words + 1] - np.arange(len(every) - words + 1) >= words)
-        return _mixed(grams(every, words, A))[starts], owner[starts], np.array(ids, dtype=np.int64), np.array(ats, dtype=np.int64)
+        every = np.fromiter(map(known.__getitem__, parts), dtype=np.uint64, count=len(parts))
+        ends = np.flatnonzero(every == CUT_HASH)
+        length = np.diff(ends, prepend=-1) - 1
+        count = np.array(lines_of)
+        doc = np.repeat(np.arange(len(count)), count)
+        number = np.arange(len(ends)) - np.repeat(np.cumsum(count) - count, count)
+        keep = length >= least
+        if wanted is not None:
+            asked = np.zeros(len(ends), dtype=bool)
+            for begin, numbers in zip((np.cumsum(count) - count).tolist(), picked):
+                asked[begin + np.array(numbers, dtype=np.int64)] = True
+            keep &= asked
+        keep = np.flatnonzero(keep)
+        length, begin = length[keep], ends[keep] - length[keep]
+        size = np.maximum(length, words)
+        if not len(keep):
+            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        filled = np.full(size.sum(), FILL)
+        inside = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        filled[np.repeat(np.cumsum(size) - size, length) + inside] = every[np.repeat(begin, length) + inside]
+        owner = np.repeat(np.arange(len(size)), size)
+        starts = np.flatnonzero(np.repeat(np.cumsum(size), size)[:len(filled) - words + 1] - np.arange(len(filled) - words + 1) >= words)
+        of = doc[keep]
+        return _mixed(grams(filled, words, A))[starts], owner[starts], np.array(ids, dtype=np.int64)[of], np.array(keys, dtype=np.int64)[of] | number[keep]
 
-    held = 0
     for b in batches:
-        lines_of = b.column(wanted).to_pylist() if wanted is not None else None
+        asked = b.column(wanted).to_pylist() if wanted is not None else None
         for i, (d, k, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2)))):
-            lines = text.split(b"\n")
-            for n in lines_of[i] if lines_of else range(len(lines)):
-                parts = lines[n].split()
-                if len(parts) < least:
-                    continue
-                hashes = np.full(max(len(parts), words), FILL)
-                hashes[:len(parts)] = np.fromiter(map(known.__getitem__, parts), dtype=np.uint64, count=len(parts))
-                found.append(hashes)
-                size.append(len(hashes))
-                ids.append(d)
-                ats.append(k | n)
-                held += len(parts)
-            if held >= STEP_WORDS:
-                yield step()
-                found, size, ids, ats, held = [], [], [], [], 0
+            parts += text.replace(b"\n", CUT_SPACED).split()
+            parts.append(CUT)
+            ids.append(d)
+            keys.append(k)
+            lines_of.append(text.count(b"\n") + 1)
+            if asked is not None:
+                picked.append(asked[i])
+            if len(parts) >= STEP_WORDS:
+                found = step()
+                if len(found[2]):
+                    yield found
+                parts, ids, keys, lines_of, picked = [], [], [], [], []
     if ids:
-        yield step()
+        found = step()
+        if len(found[2]):
+            yield found
 
 
-def _counts(rows: DataFrame, words: int, short: bool) -> np.ndarray:
-    """Number of shingles of all lines in each counter."""
-    def count(batches):
+def _line_digests(hashed: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each line's shingles, with their repeats."""
+    begin = np.searchsorted(owner, np.arange(n))
+    one = _mixed(hashed * B)
+    return np.add.reduceat(one, begin), np.add.reduceat(_mixed(one + A), begin)
+
+
+def _scan(words: int, short: bool):
+    """One reading of all lines: counts of their shingles in counters (kind COUNTS), each task's earliest of equal
+    lines (FIRST) and the others (LATER)."""
+    def scan(batches):
         total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
-        for hashed, *_ in _shingles(batches, words, short):
+        rows = []
+        for hashed, owner, ids, ats in _shingles(batches, words, short):
             total += np.bincount((hashed >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(total))
+            h1, h2 = _line_digests(hashed, owner, len(ids))
+            rows.append((h1.view(np.int64), h2.view(np.int64), ids, ats))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["counter", "n"])
-
-    table = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
-    for r in rows.mapInArrow(count, "counter bigint, n bigint").groupBy("counter").agg(F.sum("n")).collect():
-        table[r[0]] = r[1]  # one row a counter
-    return table
+        none = np.zeros(len(at), dtype=np.int64)
+        found = [(at, total[at], none, none, np.full(len(at), COUNTS, dtype=np.int32))]
+        if rows:
+            h1, h2, ids, ats = (np.concatenate(c) for c in zip(*rows))
+            h1, h2, ids, ats, begins, later = _first(h1, h2, ids, ats)
+            keep = begins | later  # rows that repeat a line's place count once
+            found.append(tuple(c[keep] for c in (h1, h2, ids, ats)) + (np.where(later[keep], LATER, FIRST).astype(np.int32),))
+        for part in found:
+            for lo in range(0, len(part[0]), 65_536):
+                yield pa.RecordBatch.from_arrays([pa.array(c[lo:lo + 65_536]) for c in part], ["h1", "h2", "id", "at", "kind"])
+    return scan
 
 
 def _distinct(tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,20 +152,22 @@ def _distinct(tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _index(counts: np.ndarray, words: int, threshold: float, short: bool):
-    """Lines of a task with their prefix; of equal lines the earliest, the others as later."""
+    """Lines of a task with their prefix; of equal lines the earliest only."""
     mean = max(1.0, counts.sum() / len(counts))
     # rarity class of a counter: 0 up to twice the mean, then by powers of two
     rarity = np.minimum(63, np.maximum(0, np.floor(np.log2(np.maximum(counts, 1) / mean)))).astype(np.uint64)
     low = np.uint64((1 << 58) - 1)
 
     def scan(batches):
+        from pyspark import TaskContext
+
         lists, rows = [], []
         for hashed, owner, ids, ats in _shingles(batches, words, short):
+            h1, h2 = _line_digests(hashed, owner, len(ids))
             token, owner = _distinct(rarity[(hashed >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)] << np.uint64(58) | hashed & low, owner)
             begin = np.searchsorted(owner, np.arange(len(ids)))
             n = np.diff(begin, append=len(owner))
             mixed = _mixed(token * B)
-            h1, h2 = np.add.reduceat(mixed, begin), np.bitwise_xor.reduceat(_mixed(mixed + A), begin)
             bit, half = np.uint64(1) << (mixed & np.uint64(63)), (mixed >> np.uint64(6)) & np.uint64(1)
             b1, b2 = (np.bitwise_xor.reduceat(np.where(half == np.uint64(k), bit, np.uint64(0)), begin) for k in (0, 1))
             most = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
@@ -134,25 +178,47 @@ def _index(counts: np.ndarray, words: int, threshold: float, short: bool):
             return
         h1, h2, ids, ats, n, b1, b2 = (np.concatenate(c) for c in zip(*rows))
         flat, most = np.concatenate([x for x, _ in lists]), np.concatenate([x for _, x in lists])
-        *_, begins, later = _first(h1, h2, ids, ats)
         order = np.lexsort((ats, ids, h2, h1))
-        keep = np.sort(order[begins | later])
-        is_later = np.zeros(len(ids), dtype=bool)
-        is_later[order[later]] = True
-        pass_on = _mixed(ids.view(np.uint64) * A + ats.view(np.uint64) * B).view(np.int64)
-        h1, h2 = np.where(is_later, pass_on, h1), np.where(is_later, pass_on, h2)
+        keep = np.sort(order[_first(h1, h2, ids, ats)[4]])
         ends = np.cumsum(most)
+        number = (TaskContext.get().partitionId() << TASK_LINES) + np.arange(len(keep))
         for lo in range(0, len(keep), 16_384):
             some = keep[lo:lo + 16_384]
-            size = np.where(is_later[some], 0, most[some])
-            at = np.repeat(ends[some] - most[some], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            size = most[some]
+            at = np.repeat(ends[some] - size, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(flat[at]))
-            yield pa.RecordBatch.from_arrays([*(pa.array(c[some]) for c in (h1, h2, ids, ats)), pa.array(n[some].astype(np.int32)), pa.array(b1[some]),
-                                              pa.array(b2[some]), prefix, pa.array(is_later[some])],
-                                             ["h1", "h2", "id", "at", "n", "b1", "b2", "prefix", "later"])
+            yield pa.RecordBatch.from_arrays([pa.array(number[lo:lo + 16_384]), *(pa.array(c[some]) for c in (ids, ats)), pa.array(n[some].astype(np.int32)),
+                                              pa.array(b1[some]), pa.array(b2[some]), prefix], ["line", "id", "at", "n", "b1", "b2", "prefix"])
     return scan
 
 
+def _met(batches):
+    """Of entries in order of their tokens, those whose token another entry has too."""
+    held, last = None, None  # the rows of the last token of a batch, and what they belong to
+
+    def out(tokens, refs):
+        return pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(refs)], ["token", "ref"])
+
+    for b in batches:
+        tokens, refs = b.column(0).to_numpy(), b.column(1).to_numpy()
+        if not len(tokens):
+            continue
+        same = tokens[1:] == tokens[:-1]
+        meets = np.zeros(len(tokens), dtype=bool)
+        meets[1:] |= same
+        meets[:-1] |= same
+        if last is not None and tokens[0] == last:
+            meets[0] = True
+            if held is not None:
+                yield out(np.array([last]), np.array([held]))
+            held = None
+        last = tokens[-1]
+        alone = not meets[-1]
+        held = refs[-1] if alone else None
+        if meets.any():
+            yield out(tokens[meets], refs[meets])
+
+
 def _may_match(threshold: float) -> Column:
     """Length, positional and bitmap filter of a pair with a common token."""
     nx, ny = F.col("x.n"), F.col("y.n")
@@ -198,12 +264,23 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
              short: bool = False) -> DataFrame:
     """(id, key, removed): the numbers (from 0) of the lines that go, of documents that lose any."""
     rows = _rows(docs, id_col, text_col)
-    lines = rows.mapInArrow(_index(_counts(rows, words, short), words, threshold, short), LINE)
-    first = F.rank().over(Window.partitionBy("h1", "h2").orderBy("id", "at")) == 1
-    lines = store(lines.withColumn("later", F.col("later") | ~first).drop("h1", "h2"), "lines")
-    entries = lines.filter("not later").select("id", "at", "n", "b1", "b2", F.posexplode("prefix").alias("pos", "token"))
-    shared = entries.groupBy("token").agg(F.count("*").alias("lines")).filter("lines > 1").select("token")
-    entries = store(entries.join(shared, "token"), "line-entries")  # tokens that stand in one line only match nothing
+    seen = store(rows.mapInArrow(_scan(words, short), "h1 bigint, h2 bigint, id bigint, at bigint, kind int"), "line-digests")
+    counts = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    for r in seen.filter(F.col("kind") == COUNTS).groupBy("h1").agg(F.sum("h2")).collect():  # one row a counter
+        counts[r[0]] = r[1]
+    nth = F.rank().over(Window.partitionBy("h1", "h2").orderBy("id", "at"))
+    later = store(seen.filter(F.col("kind") == LATER).select("id", "at")
+                  .union(seen.filter(F.col("kind") == FIRST).withColumn("nth", nth).filter("nth > 1").select("id", "at")), "line-repeats")
+    drop(seen)
+    lines = store(rows.mapInArrow(_index(counts, words, threshold, short), LINE), "lines")
+    # an entry: token, and the line's number with the token's place; tokens that stand in one line only match nothing
+    entries = lines.select(F.posexplode("prefix").alias("pos", "token"), "line") \
+        .select("token", F.shiftleft("line", POS_BITS).bitwiseOR(F.least("pos", F.lit((1 << POS_BITS) - 1)).cast("long")).alias("ref"))
+    met = store(entries.repartition("token").sortWithinPartitions("token").mapInArrow(_met, "token bigint, ref bigint"), "line-tokens-met") \
+        .select("token", F.col("ref").bitwiseAND(F.lit((1 << POS_BITS) - 1)).cast("int").alias("pos"), F.shiftright("ref", POS_BITS).alias("line"))
+    firsts = lines.drop("prefix").join(later, ["id", "at"], "left_anti")
+    entries = store(met.join(firsts, "line").drop("line"), "line-entries")
+    drop(lines)
 
     place = [F.col("x.id").alias("x_id"), F.col("x.at").alias("x_at"), F.col("y.id").alias("y_id"), F.col("y.at").alias("y_at")]
     lead = entries.groupBy("token").agg(F.min(F.struct("id", "at", "n", "pos", "b1", "b2")).alias("lead")).select("token", "lead.*")
@@ -212,7 +289,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     open_lines = entries.join(matched, ["id", "at"], "left_anti")
     rest = open_lines.alias("y").join(entries.alias("x"), "token").filter(_earlier() & _may_match(threshold)).select(*place)
     matched = matched.union(_verified(rows, rest, words, threshold, short))
-    gone = lines.filter("later").select("id", "at").union(matched)
+    gone = later.union(matched)
     number = F.lit((1 << TIE_AT) - 1)
     return gone.groupBy("id", F.col("at").bitwiseAND(F.lit(~((1 << TIE_AT) - 1))).alias("key")) \
         .agg(F.array_sort(F.collect_set(F.col("at").bitwiseAND(number))).alias("removed"))

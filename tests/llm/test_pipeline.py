@@ -21,9 +21,9 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
-    assert names["pipeline"] is corpus_pipeline.run and len(QUERIES) == 10
+    assert names["pipeline"] is corpus_pipeline.run and len(QUERIES) == 13
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["keep_quality", "drop_lines", "drop_near_copies", "mix_sources", "pack"]
 
 
@@ -51,21 +51,12 @@ def test_quality_stage(spark, kept):
 
 
 def test_line_stage(kept):
-    before, after = kept[1]
-    rows = [tuple(r) for r in before.select("doc_id", "text").collect()]
-    gone = brute_lines(rows)
-    want = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone.get((i, t), [])) for i, t in rows}
-    got = {r["doc_id"]: r for r in after.collect()}
-    assert {i: r["text"] for i, r in got.items()} == want
-    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
-
-
-def test_line_stage_drops_repeats_of_short_lines(kept):
     before, after = kept[1]
     rows = [tuple(r) for r in before.select("doc_id", "text").collect()]
     gone = brute_short(rows)
     want = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone.get((i, t), [])) for i, t in rows}
     assert {r["doc_id"]: r["text"] for r in after.collect()} == want
+    assert all(r["n_chars"] == len(r["text"]) for r in after.collect())
     assert sum(map(len, gone.values())) > sum(map(len, brute_lines(rows).values()))
 
 
