@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordlog.llm.common import drop, from_rows, store, utf8, whole_rows
-from recordlog.llm.substrings import A, B, NO_ID, STEP_WORDS, _first, _mixed, _word_hashes, grams
+from recordlog.llm.substrings import A, B, NO_ID, _first, _mixed, grams
 
 #: Counters of the token counts, a fixed table of 512 KB.
 COUNTER_BITS = 16
@@ -41,8 +41,11 @@ LINE = "line bigint, id bigint, at bigint, n int, b1 bigint, b2 bigint, prefix a
 #: A line's number: the task's (23 bits) and its own (24); an entry adds the token's place in the prefix, up to 16 bits.
 TASK_LINES, POS_BITS = 24, 16
 FIRST, LATER, COUNTS = range(3)
-#: Stands for a line's end: a byte that UTF-8 never uses.
-CUT, CUT_SPACED, CUT_HASH = b"\xff", b" \xff ", np.uint64(0xC2B2AE3D27D4EB4F)
+#: Ends a document: a byte that UTF-8 never uses.
+DOCUMENT = b"\xff"
+SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E), DOCUMENT[0]])
+#: Bytes that are hashed in one step; bits of the filter of documents that a join needs.
+STEP_BYTES, FILTER_BITS = 1 << 20, 22
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -56,56 +59,79 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return _keyed(docs, id_col, text_col).select("id", "key", F.coalesce("text", F.lit("")).alias("text"))
 
 
+class WordHashes:
+    """64-bit hashes of all words of many texts at once, from running sums over their bytes."""
+
+    def __init__(self):
+        self.of_byte = _mixed(np.arange(1, 257, dtype=np.uint64) * A)
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if len(self.up) < n:
+            for name, base in (("up", int(B)), ("down", pow(int(B), -1, 1 << 64))):
+                powers = np.full(n, base, dtype=np.uint64)
+                powers[0] = 1
+                setattr(self, name, np.cumprod(powers))
+
+    def of(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, hash) of every word; data ends with white space."""
+        self._powers(len(data))
+        inside = ~SPACES[data]
+        begin = np.flatnonzero(inside & ~np.append(False, inside[:-1]))
+        end = np.flatnonzero(inside[:-1] & ~inside[1:])
+        total = np.cumsum(self.of_byte[data] * self.up[:len(data)])
+        before = np.where(begin > 0, total[begin - 1], np.uint64(0))
+        return begin, _mixed((total[end] - before) * self.down[begin] + (end - begin).astype(np.uint64))
+
+
 def _shingles(batches, words: int, short: bool, wanted=None):
     """Shingle hashes of steps of documents: (hash, number of the line, ids, places) of lines that have any.
     ``wanted``: column of line numbers to read, else all."""
     least = 1 if short else words
-    known = _word_hashes()
-    of_word = known.of
-    known.of = lambda w: int(CUT_HASH) if w == CUT else of_word(w)
-    parts, ids, keys, lines_of, picked = [], [], [], [], []
+    hashes = WordHashes()
+    texts, ids, keys, picked, held = [], [], [], [], 0
 
     def step():
-        every = np.fromiter(map(known.__getitem__, parts), dtype=np.uint64, count=len(parts))
-        ends = np.flatnonzero(every == CUT_HASH)
-        length = np.diff(ends, prepend=-1) - 1
-        count = np.array(lines_of)
+        data = np.frombuffer(DOCUMENT.join([*texts, b""]), dtype=np.uint8)
+        begin, every = hashes.of(data)
+        ends = np.flatnonzero((data == 0x0A) | (data == DOCUMENT[0]))
+        count = np.diff(np.searchsorted(ends, np.flatnonzero(data == DOCUMENT[0]), side="right"), prepend=0)
+        upto = np.searchsorted(begin, ends)
+        length = np.diff(upto, prepend=0)
         doc = np.repeat(np.arange(len(count)), count)
         number = np.arange(len(ends)) - np.repeat(np.cumsum(count) - count, count)
         keep = length >= least
         if wanted is not None:
             asked = np.zeros(len(ends), dtype=bool)
-            for begin, numbers in zip((np.cumsum(count) - count).tolist(), picked):
-                asked[begin + np.array(numbers, dtype=np.int64)] = True
+            for first, numbers in zip((np.cumsum(count) - count).tolist(), picked):
+                asked[first + np.array(numbers, dtype=np.int64)] = True
             keep &= asked
         keep = np.flatnonzero(keep)
-        length, begin = length[keep], ends[keep] - length[keep]
+        length, first = length[keep], upto[keep] - length[keep]
         size = np.maximum(length, words)
-        if not len(keep):
-            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         filled = np.full(size.sum(), FILL)
         inside = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-        filled[np.repeat(np.cumsum(size) - size, length) + inside] = every[np.repeat(begin, length) + inside]
+        filled[np.repeat(np.cumsum(size) - size, length) + inside] = every[np.repeat(first, length) + inside]
         owner = np.repeat(np.arange(len(size)), size)
-        starts = np.flatnonzero(np.repeat(np.cumsum(size), size)[:len(filled) - words + 1] - np.arange(len(filled) - words + 1) >= words)
+        starts = np.flatnonzero(np.repeat(np.cumsum(size), size)[:max(0, len(filled) - words + 1)] - np.arange(max(0, len(filled) - words + 1)) >= words)
         of = doc[keep]
-        return _mixed(grams(filled, words, A))[starts], owner[starts], np.array(ids, dtype=np.int64)[of], np.array(keys, dtype=np.int64)[of] | number[keep]
+        hashed = _mixed(grams(filled, words, A))[starts] if len(keep) else filled
+        return hashed, owner[starts], np.array(ids, dtype=np.int64)[of], np.array(keys, dtype=np.int64)[of] | number[keep]
 
     for b in batches:
         asked = b.column(wanted).to_pylist() if wanted is not None else None
         for i, (d, k, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2)))):
-            parts += text.replace(b"\n", CUT_SPACED).split()
-            parts.append(CUT)
+            texts.append(text)
             ids.append(d)
             keys.append(k)
-            lines_of.append(text.count(b"\n") + 1)
             if asked is not None:
                 picked.append(asked[i])
-            if len(parts) >= STEP_WORDS:
+            held += len(text)
+            if held >= STEP_BYTES:
                 found = step()
                 if len(found[2]):
                     yield found
-                parts, ids, keys, lines_of, picked = [], [], [], [], []
+                texts, ids, keys, picked, held = [], [], [], [], 0
     if ids:
         found = step()
         if len(found[2]):
@@ -219,13 +245,57 @@ def _met(batches):
             yield out(tokens[meets], refs[meets])
 
 
-def _may_match(threshold: float) -> Column:
-    """Length, positional and bitmap filter of a pair with a common token."""
-    nx, ny = F.col("x.n"), F.col("y.n")
-    least = F.ceil((nx + ny) * F.lit(threshold / (1 + threshold)) - 1e-9)
-    upto = F.least("x.pos", "y.pos") + 1 + F.least(nx - F.col("x.pos") - 1, ny - F.col("y.pos") - 1)
-    differ = F.bit_count(F.col("x.b1").bitwiseXOR(F.col("y.b1"))) + F.bit_count(F.col("x.b2").bitwiseXOR(F.col("y.b2")))
-    return (F.least(nx, ny) >= F.greatest(nx, ny) * threshold - 1e-9) & (upto >= least) & (differ <= nx + ny - 2 * least)
+def _led(threshold: float):
+    """Of entries in order of token and line, those whose token another line has too, with the earliest line of the
+    token (lead) and whether the two may match."""
+    names = ["token", "id", "at", "n", "pos", "b1", "b2"]
+
+    def scan(batches):
+        held, emitted = None, False  # first row of the last token, and whether it has gone out
+        for b in batches:
+            if not b.num_rows:
+                continue
+            c = [b.column(k).to_numpy() for k in range(7)]
+            c = c if held is None else [np.append(h, x) for h, x in zip(held, c)]
+            token = c[0]
+            first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+            size = np.diff(first, append=len(token))
+            if held is not None and emitted:
+                size[0] += 1
+            lead = np.repeat(first, np.diff(first, append=len(token)))
+            out = np.repeat(size > 1, np.diff(first, append=len(token)))
+            if held is not None and emitted:
+                out[0] = False
+            emitted = bool(size[-1] > 1)
+            held = [x[first[-1]:first[-1] + 1] for x in c]
+            at = np.flatnonzero(out)
+            x, y = [v[lead[at]] for v in c], [v[at] for v in c]
+            close = _may_match(threshold, x[3], y[3], x[4], y[4], _differing(x[5], y[5]) + _differing(x[6], y[6]),
+                               np.minimum, np.maximum, np.ceil) & ((x[1] != y[1]) | (x[2] != y[2]))
+            if len(at):
+                yield pa.RecordBatch.from_arrays([*map(pa.array, y), pa.array(x[1]), pa.array(x[2]), pa.array(close)], [*names, "lead_id", "lead_at", "close"])
+    return scan
+
+
+def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((x ^ y).view(np.uint64)).astype(np.int64)
+
+
+def _may_match(threshold: float, nx, ny, px, py, differ, least_of=F.least, most_of=F.greatest, ceil=F.ceil):
+    """Length, positional and bitmap filter of a pair with a common token, on columns or arrays."""
+    least = ceil((nx + ny) * (threshold / (1 + threshold)) - 1e-9)
+    upto = least_of(px, py) + 1 + least_of(nx - px - 1, ny - py - 1)
+    return (least_of(nx, ny) >= most_of(nx, ny) * threshold - 1e-9) & (upto >= least) & (differ <= nx + ny - 2 * least)
+
+
+def _touched(rows: DataFrame, some: DataFrame, how: str = "left_semi") -> DataFrame:
+    """``rows`` whose (id, key) may be among those of ``some`` (all that are, and few others), or with left_anti the rest:
+    a filter of 2^FILTER_BITS bits, which is broadcast (a bound), so that other rows need not be shuffled."""
+    place = F.pmod(F.xxhash64("id", "key"), F.lit(1 << FILTER_BITS))
+    bits = store(some.select(F.shiftright(place, 6).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int")).alias("bit"))
+                 .groupBy("_word").agg(F.bit_or("bit").alias("_bits")), "line-filter")
+    here = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    return rows.join(F.broadcast(bits), (F.shiftright(place, 6) == F.col("_word")) & (F.col("_bits").bitwiseAND(here) != 0), how)
 
 
 def _earlier(x: str = "x", y: str = "y") -> Column:
@@ -248,7 +318,8 @@ def _verified(rows: DataFrame, pairs: DataFrame, words: int, threshold: float, s
                 pa.array(begin.astype(np.int32)), pa.array(token.view(np.int64)))], ["id", "at", "tokens"])
 
     # rows that repeat a document give its lines again: one copy serves
-    sets = rows.join(needed, ["id", "key"]).select("id", "key", "text", "lines") \
+    needed = store(needed, "line-needed")
+    sets = _touched(rows, needed).join(needed, ["id", "key"]).select("id", "key", "text", "lines") \
         .mapInArrow(read, "id bigint, at bigint, tokens array<bigint>").dropDuplicates(["id", "at"])
     sets = store(sets, "line-tokens")
     for side in "xy":
@@ -282,12 +353,17 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     entries = store(met.join(firsts, "line").drop("line"), "line-entries")
     drop(lines)
 
-    place = [F.col("x.id").alias("x_id"), F.col("x.at").alias("x_at"), F.col("y.id").alias("y_id"), F.col("y.at").alias("y_at")]
-    lead = entries.groupBy("token").agg(F.min(F.struct("id", "at", "n", "pos", "b1", "b2")).alias("lead")).select("token", "lead.*")
-    led = entries.alias("y").join(lead.alias("x"), "token").filter(_earlier() & _may_match(threshold)).select(*place)
+    kinds = "token bigint, id bigint, at bigint, n int, pos int, b1 bigint, b2 bigint"
+    by_token = entries.select("token", "id", "at", "n", "pos", "b1", "b2").repartition("token").sortWithinPartitions("token", "id", "at")
+    entries = store(by_token.mapInArrow(_led(threshold), f"{kinds}, lead_id bigint, lead_at bigint, close boolean"), "line-groups")
+    led = entries.filter("close").select(F.col("lead_id").alias("x_id"), F.col("lead_at").alias("x_at"), F.col("id").alias("y_id"), F.col("at").alias("y_at"))
     matched = _verified(rows, led, words, threshold, short)
     open_lines = entries.join(matched, ["id", "at"], "left_anti")
-    rest = open_lines.alias("y").join(entries.alias("x"), "token").filter(_earlier() & _may_match(threshold)).select(*place)
+    differ = F.bit_count(F.col("x.b1").bitwiseXOR(F.col("y.b1"))) + F.bit_count(F.col("x.b2").bitwiseXOR(F.col("y.b2")))
+    is_lead = (F.col("x.id") == F.col("y.lead_id")) & (F.col("x.at") == F.col("y.lead_at"))
+    rest = open_lines.alias("y").join(entries.alias("x"), "token") \
+        .filter(_earlier() & ~is_lead & _may_match(threshold, *(F.col(c) for c in ("x.n", "y.n", "x.pos", "y.pos")), differ)) \
+        .select(F.col("x.id").alias("x_id"), F.col("x.at").alias("x_at"), F.col("y.id").alias("y_id"), F.col("y.at").alias("y_at"))
     matched = matched.union(_verified(rows, rest, words, threshold, short))
     gone = later.union(matched)
     number = F.lit((1 << TIE_AT) - 1)
@@ -315,7 +391,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
             out.append(None if gone is None else b"\n".join(line for n, line in enumerate(text.split(b"\n")) if n not in gone))
         return pa.array(out, pa.binary()).cast(pa.string())
 
-    found = _keyed(docs, id_col, text_col).join(repeated(docs, id_col, text_col, words, threshold, short), ["id", "key"], "left")
+    rows = _keyed(docs, id_col, text_col)
+    gone = store(repeated(docs, id_col, text_col, words, threshold, short), "line-gone")
+    # only documents that lose lines meet them in a shuffle
+    found = _touched(rows, gone).join(gone, ["id", "key"], "left")
     touched = F.col("removed").isNotNull()
     found = found.withColumn("left", cut(F.when(touched, F.col("text")), F.col("removed")))  # other texts stay on the JVM's side
-    return from_rows(found, docs, **{text_col: F.when(touched, F.col("left")).otherwise(F.col("text"))})
+    found = from_rows(found, docs, **{text_col: F.when(touched, F.col("left")).otherwise(F.col("text"))})
+    return found.union(from_rows(_touched(rows, gone, "left_anti"), docs))
