@@ -57,7 +57,7 @@ class TokenBytes:
     the new parts of many texts are encoded in one call, parted by a digit, which always is a token
     of its own.  Texts that may hold a special token's string keep their case."""
 
-    def __init__(self, path: str, most: int = 600_000, at_once: int = 256):
+    def __init__(self, path: str, most: int = 1_000_000, at_once: int = 256):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -69,9 +69,12 @@ class TokenBytes:
             split = [self._parts(t) for t in some]
             if len(self.known) > self.most:
                 self.known.clear()
-            self._learn({p for parts in split for p in parts if p not in self.known})
-            for parts in split:
-                yield b"".join(map(self.known.__getitem__, parts))
+            found = [list(map(self.known.get, parts)) for parts in split]
+            new = {p for parts, ids in zip(split, found) if None in ids for p, x in zip(parts, ids) if x is None}
+            if new:
+                self._learn(new)
+            for parts, ids in zip(split, found):
+                yield b"".join(ids) if None not in ids else b"".join(map(self.known.__getitem__, parts))
 
     @staticmethod
     def _parts(text: bytes) -> list[bytes]:
@@ -79,7 +82,8 @@ class TokenBytes:
             return text.split()
         if text.isascii():
             return text.lower().split()
-        return [p.lower() if p.isascii() else p for p in text.split()]
+        # the small letters of a text stand as they are; others are lowered part by part
+        return [p if p.islower() or not p.isascii() else p.lower() for p in text.split()]
 
     def _learn(self, parts: set[bytes]) -> None:
         # a comma or full stop after a letter is a token run of its own
@@ -105,6 +109,17 @@ class TokenBytes:
         self.known.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(parts, found))
 
 
+def encoder(path: str) -> TokenBytes:
+    """The encoder of this process: the parts it knows serve all tasks that the process runs.  Functions reach the
+    tasks by value, so it is kept on a module that a process has once."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_encoders_by_path", {})
+    if path not in kept:
+        kept[path] = TokenBytes(path)
+    return kept[path]
+
+
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1,
            capacity: int = 4096, with_ids: bool = False) -> DataFrame:
     """(id, tie, piece, start, length, crc32[, ids]) of every piece; ids are little-endian bytes.
@@ -114,7 +129,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches):
-        tokens = TokenBytes(tokenizer)
+        tokens = encoder(tokenizer)
         for b in batches:
             out: list[list] = [[] for _ in names]
             for i, t, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), tokens.of(utf8(b.column(2)))):
@@ -234,8 +249,9 @@ def _fillings(counts: dict[int, int], lengths: list[int], room: int) -> list[tup
     return sorted(set(found))[:BRANCHES]
 
 
-def plan(counts: dict[int, int], capacity: int) -> dict[Filling, int]:
-    """Filling -> how often; every piece of ``counts`` (length -> pieces) has a place."""
+def plan(counts: dict[int, int], capacity: int, steps: int | None = SEARCH_NODES) -> dict[Filling, int]:
+    """Filling -> how often; every piece of ``counts`` (length -> pieces) has a place.  ``steps`` bound the search;
+    None lets it run to a proof or the end of the tree."""
     counts = {k: n for k, n in counts.items() if n}
     total = sum(k * n for k, n in counts.items())
     best = best_fit(counts, capacity)
@@ -255,7 +271,7 @@ def plan(counts: dict[int, int], capacity: int) -> dict[Filling, int]:
         # a stack of branches: lengths left, fillings so far (the earlier ones, the last, how often), bins used,
         # waste so far, and the choices not tried yet
         stack = [(dict(counts), None, 0, 0, None)]
-        while stack and sum(best.values()) > least and nodes < SEARCH_NODES:
+        while stack and sum(best.values()) > least and (steps is None or nodes < steps):
             left, used, bins, waste, choices = stack.pop()
             spare = (sum(best.values()) - 1) * capacity - total  # waste that a better packing may have
             if waste > spare:
@@ -311,7 +327,7 @@ def _places(packing: dict[Filling, int]) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
 
 
-def pack(items: DataFrame, order: list[str], capacity: int = 4096) -> DataFrame:
+def pack(items: DataFrame, order: list[str], capacity: int = 4096, steps: int | None = SEARCH_NODES) -> DataFrame:
     """``items`` (a stored table with a column length, 1 to ``capacity``) with sequence_id and offset.
     ``order``: columns that make a row's rank; equal rows may exchange places."""
     rows = items.count()
@@ -319,7 +335,7 @@ def pack(items: DataFrame, order: list[str], capacity: int = 4096) -> DataFrame:
     numbered = items.withColumn("_bucket", F.shiftrightunsigned(F.xxhash64(*order), 64 - bits))
     sums = store(numbered.groupBy("length", "_bucket").agg(F.count("*").alias("_n")), "pack-counts")
     counts = {r[0]: r[1] for r in sums.groupBy("length").agg(F.sum("_n")).collect()}  # at most ``capacity`` rows
-    places = _places(plan(counts, capacity))
+    places = _places(plan(counts, capacity, steps))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("length", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     rank = Window.partitionBy("length", "_bucket").orderBy(*order)
@@ -344,10 +360,10 @@ def pack(items: DataFrame, order: list[str], capacity: int = 4096) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1,
-                   capacity: int = 4096) -> DataFrame:
+                   capacity: int = 4096, steps: int | None = SEARCH_NODES) -> DataFrame:
     """(id, tie, piece, start, length, crc32, sequence_id, offset): where each piece of each document goes."""
     cut = store(pieces(docs, tokenizer, id_col, text_col, end_id, capacity), "pieces")
-    return pack(cut, ["id", "tie", "piece"], capacity)
+    return pack(cut, ["id", "tie", "piece"], capacity, steps)
 
 
 def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",

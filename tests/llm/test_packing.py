@@ -95,6 +95,7 @@ def test_plan_is_optimal_on_small_cases():
     for _ in range(25):
         lengths = sorted((r.randint(3, 14) for _ in range(9)), reverse=True)
         assert sum(packing.plan(Counter(lengths), 20).values()) == best(lengths, 20)
+        assert sum(packing.plan(Counter(lengths), 20, None).values()) == best(lengths, 20)
 
 
 def test_hot_length_is_dealt_in_buckets(spark, monkeypatch):
