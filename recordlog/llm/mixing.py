@@ -28,6 +28,8 @@ from recordlog.llm.common import clear_of, store, word_count
 
 #: Documents of one bucket of the hash order, on average; any value gives the same mix.
 BUCKET_ROWS = 4096
+#: Rows of the table of ends, one a source, that may be broadcast; beyond it Spark decides by size.
+MOST_SOURCES = 10_000
 RESULT = ("size", "source_size", "target", "finish_time", "copies", "taken")
 
 
@@ -67,12 +69,10 @@ def _finish(e: int) -> Column:
     return F.when(F.col("target") > 0, (F.col("source_size") * float(e) + F.col("_upto")) / F.col("target")).otherwise(0.0)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        size_col: str | None = None, weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
-        passes: int = 2, seed: int = 17) -> DataFrame:
-    """``docs`` with size, source_size, target, finish_time (of the first pass), copies (0 to
-    ``passes``) and taken (copies x size).  ``share``: budget as a share of all words.  ``size_col``
-    names a column of sizes; else words of ``text_col`` are counted.  ``docs`` is read twice."""
+def _served(docs: DataFrame, id_col: str, text_col: str, source_col: str, size_col: str | None,
+            weights: Sequence[float], share: float, passes: int, seed: int):
+    """The queue of whole rows, its narrow copy with running sums, buckets, targets, and the virtual time at which
+    the budget is used up."""
     size = F.coalesce(F.col(size_col).cast("long"), F.lit(0)) if size_col else word_count(F.col(text_col))
     rows = docs.count()
     bits = max(1, math.ceil(math.log2(rows / BUCKET_ROWS + 1)))
@@ -81,7 +81,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                         F.col(id_col).alias("_id"), size.alias("_size"), order.alias("_hash")) \
         .withColumn("_bucket", F.shiftrightunsigned("_hash", 64 - bits)) \
         .withColumn("_order", F.shiftrightunsigned("_hash", 1)).drop("_hash")
-    narrow = store(queue.select("_src", "_id", "_size", "_bucket", "_order"), "mix-queue")
+    narrow = store(queue.select("_src", "_id", "_size", "_bucket", "_order", F.xxhash64("_row").alias("_tie")), "mix-queue")
     sums = store(narrow.groupBy("_src", "_bucket").agg(F.sum("_size").alias("_sum")), "mix-buckets")
     targets = store(_targets(sums.groupBy(F.col("_src").alias("source")).agg(F.sum("_sum").alias("source_size")),
                              weights, share, passes), "mix-targets")
@@ -90,7 +90,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     # virtual time at which the budget is used up: slices of time first, then the slice with the cut
     slices = max(1, rows * passes // BUCKET_ROWS)
-    timed = _times(narrow, buckets, targets, [F.col("_id"), F.col("_size")])
+    timed = _times(narrow, buckets, targets, [F.col("_id"), F.col("_size"), F.col("_tie")])
     served = timed.select("_size", F.explode(F.array(*[_finish(e) for e in range(passes)])).alias("v")) \
         .withColumn("slice", F.least(F.floor(F.col("v") * slices), F.lit(2 * slices)))
     served = store(served, "mix-served")
@@ -108,6 +108,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         within = in_slice.filter(F.col("upto") <= budget).agg(F.max("v")).first()[0]
         last = max(last, within) if within is not None else last
 
+    return queue, timed, buckets, targets, last
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        size_col: str | None = None, weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
+        passes: int = 2, seed: int = 17) -> DataFrame:
+    """``docs`` with size, source_size, target, finish_time (of the first pass), copies (0 to
+    ``passes``) and taken (copies x size).  ``share``: budget as a share of all words.  ``size_col``
+    names a column of sizes; else words of ``text_col`` are counted.  ``docs`` is read twice."""
+    queue, _, buckets, targets, last = _served(docs, id_col, text_col, source_col, size_col, weights, share, passes, seed)
     final = _times(queue, buckets, targets, [F.col("_id"), F.col("_size"), F.xxhash64("_row")])
     copies = sum((F.when(_finish(e) <= F.lit(last), 1).otherwise(0) for e in range(passes)), F.lit(0))
     copies = F.when(F.col("_size") > 0, copies).otherwise(0)
@@ -117,8 +127,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .withColumn("taken", F.col("copies") * F.col("size"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as the mix takes it, columns as given."""
-    took = mix(docs, **options).filter("copies > 0")
-    keep = [c for c in docs.columns if c.lower() in {x.lower() for x in took.columns}]
-    return took.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[F.col(f"`{c}`") for c in keep])
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    size_col: str | None = None, weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
+                    passes: int = 2, seed: int = 17) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as the mix takes it, columns as given.
+
+    Finish times rise along a source's queue, so a pass takes a document exactly if its place is not behind the last
+    one whose time fits.  These places, one for each source and pass, are found on the narrow table; the whole
+    rows are filtered by them where they lie.  Rows equal in every column share a place and a fate."""
+    queue, timed, _, _, last = _served(docs, id_col, text_col, source_col, size_col, weights, share, passes, seed)
+    place = ["_order", "_id", "_size", "_tie"]
+    ends = store(timed.groupBy("_src").agg(*[F.max(F.when(_finish(e) <= F.lit(last), F.struct(*place))).alias(f"_end{e}")
+                                            for e in range(passes)]).withColumnRenamed("_src", "_s"), "mix-ends")
+    if ends.count() <= MOST_SOURCES:
+        ends = F.broadcast(ends)
+    here = F.struct(F.col("_order"), F.col("_id"), F.col("_size"), F.xxhash64("_row").alias("_tie"))
+    copies = sum((F.when(here <= F.col(f"_end{e}"), 1).otherwise(0) for e in range(passes)), F.lit(0))
+    took = queue.join(ends, F.col("_src").eqNullSafe(F.col("_s"))).withColumn("_copies", F.when(F.col("_size") > 0, copies).otherwise(0))
+    took = took.filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return took.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
