@@ -6,7 +6,9 @@ run time) decides from its measured size.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # rows of a Python list that may be broadcast; size that a measured row counts with
@@ -34,17 +36,29 @@ def broadcast_bytes(spark: SparkSession) -> int:
     return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
-def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+def any_of(conditions: list) -> Column:
+    """OR of many conditions as a balanced tree, so that long lists stay shallow."""
+    if not conditions:
+        return F.lit(False)
+    while len(conditions) > 1:
+        conditions = [a | b for a, b in zip(conditions[::2], conditions[1::2])] + conditions[len(conditions) // 2 * 2:]
+    return conditions[0]
+
+
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner", null_safe: bool = False) -> DataFrame:
     """Join a table with one row per topic-partition (or per request) to a log.
 
     The small side is computed once (a checkpoint in the shared folder) and measured; when
     its rows, counted with ``ROW_BYTES`` each, fit the session's broadcast threshold it is
     broadcast, so the log is not shuffled by (topic, partition_id) and a hot partition
     cannot pile up in one task.  Beyond it the join is left to the planner (sort-merge with
-    AQE skew splitting).  The rows are the same either way."""
+    AQE skew splitting).  The rows are the same either way.  ``null_safe``: null keys meet null keys."""
     from ..session import checkpoint_root
     checkpoint_root(big.sparkSession)
     small = small.checkpoint(eager=True)
-    if small.count() * ROW_BYTES <= broadcast_bytes(big.sparkSession):
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    fits = small.count() * ROW_BYTES <= broadcast_bytes(big.sparkSession)
+    if not null_safe:
+        return big.join(F.broadcast(small) if fits else small, on, how)
+    side = small.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in small.columns])
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    return big.join(F.broadcast(side) if fits else side, cond, how).drop(*[f"_r_{c}" for c in on])

@@ -23,6 +23,8 @@ CONTROL_SCHEMA = ("topicName string, partition int, startOffset bigint, endOffse
 REPLAY_BUCKET = 4096
 # rows the bucketed request side aims at; wider buckets when the requests cover more offsets
 REPLAY_TARGET_ROWS = 2_000_000
+# topics of the requests that become a filter of the scan; more are joined
+MAX_TOPICS = 500
 # size that a bucketed request row counts with against the broadcast threshold (names included)
 REQUEST_ROW_BYTES = 400
 
@@ -131,10 +133,14 @@ def replay(requests: DataFrame, log: DataFrame, ext: str = DLQ_EXT, bucket: int
     checkpoint_root(log.sparkSession)
     req = req.checkpoint(eager=True)
     hull = req.agg(F.min("start_offset").alias("lo"), F.max("end_offset").alias("hi"), F.min("partition_id").alias("p0"),
-                   F.max("partition_id").alias("p1"), F.collect_set("topic").alias("topics")).first()
-    log = log.filter(F.col("topic").isin(list(hull["topics"]))
-                     & F.col("log_offset").between(hull["lo"], (hull["hi"] or 0) - 1)
+                   F.max("partition_id").alias("p1")).first()
+    topics = [r[0] for r in req.select("topic").distinct().limit(MAX_TOPICS + 1).collect()]
+    log = log.filter(F.col("log_offset").between(hull["lo"], (hull["hi"] or 0) - 1)
                      & F.col("partition_id").between(hull["p0"], hull["p1"])) if hull["lo"] is not None else log.limit(0)
+    if len(topics) <= MAX_TOPICS:
+        log = log.filter(F.col("topic").isin([t for t in topics if t is not None]))
+    else:
+        log = log.join(req.select("topic").distinct(), "topic", "left_semi")
     bounds = log.groupBy(*TP).agg(F.min("log_offset").alias("_lo"), (F.max("log_offset") + 1).alias("_hi"))
     lo = F.greatest("start_offset", "_lo")
     hi = F.least("end_offset", "_hi")
@@ -173,17 +179,24 @@ def replay_start_check(requests: DataFrame, log: DataFrame, ext: str = DLQ_EXT)
                     ok.alias("ok"), F.when(~ok, F.lit(REPLAY_START_MISMATCH)).alias("error_detail"))
 
 
-def replay_progress(requests: DataFrame, replayed: DataFrame) -> DataFrame:
+def replay_progress(requests: DataFrame, replayed: DataFrame, failed: DataFrame | None = None) -> DataFrame:
     """Per request: records read, last offset, next offset to read and whether the range
-    is done (``next >= end``).  A request that read nothing keeps ``next = start``."""
+    is done (``next >= end``).  A request that read nothing keeps ``next = start``; so does one
+    listed in ``failed`` (request_id: its function failed or its results were rolled back),
+    which is never finished."""
     g = replayed.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_records"),
                                            F.max("log_offset").alias("last_offset"))
     r = requests.select("request_id", F.col("start_offset").cast("bigint").alias("start_offset"),
                         F.col("end_offset").cast("bigint").alias("end_offset"))
     j = r.join(g, "request_id", "left")
     nxt = F.coalesce(F.col("last_offset") + 1, F.col("start_offset"))
+    done = nxt >= F.col("end_offset")
+    if failed is not None:
+        j = j.join(failed.select("request_id").distinct().withColumn("_failed", F.lit(True)), "request_id", "left")
+        lost = F.coalesce("_failed", F.lit(False))
+        nxt, done = F.when(lost, F.col("start_offset")).otherwise(nxt), ~lost & done
     return j.select("request_id", F.coalesce("n_records", F.lit(0)).alias("n_records"), "last_offset",
-                    nxt.alias("next_offset"), (nxt >= F.col("end_offset")).alias("finished"))
+                    nxt.alias("next_offset"), done.alias("finished"))
 
 
 def replay_summary(replayed: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ RESULT_SCHEMA = T.StructType([
 # ----------------------------------------------------------------- UDF-1
 def process(df: DataFrame, fn: Callable, result_ddl: str | T.StructType = RESULT_SCHEMA,
             input_cols: Sequence[str] | None = None, match: str = "position",
-            batch_rows: int | None = None) -> DataFrame:
+            batch_rows: int | None = None, isolate: str | None = None) -> DataFrame:
     """Run ``fn(pandas.DataFrame) -> pandas.DataFrame`` over Arrow batches of records.
 
     ``fn`` gets a batch of ``input_cols`` (default: all columns) and returns one
@@ -42,37 +42,50 @@ def process(df: DataFrame, fn: Callable, result_ddl: str | T.StructType = RESULT
     records are passed through, so the output is a results DataFrame.  A batch
     whose results do not match its records one to one raises (size check).
     ``batch_rows`` caps the records per call (e.g. the poll size of 100): each Arrow
-    batch is cut into such slices inside the task.
+    batch is cut into such slices inside the task.  ``isolate`` names a column whose values
+    (e.g. requests) never share a call: an error that ``fn`` raises, or results that do not
+    match, become the text in ``error`` of that value's records (else null), which then carry
+    no result; errors of the job itself are raised as ever.
     """
     import pandas as pd
     src = df.select(*input_cols) if input_cols else df
     res_schema = result_ddl if isinstance(result_ddl, T.StructType) else T._parse_datatype_string(result_ddl)
     names = [f.name for f in res_schema.fields]
-    out_schema = T.StructType(src.schema.fields + res_schema.fields)
+    error = [T.StructField("error", T.StringType())] if isolate else []
+    out_schema = T.StructType(src.schema.fields + res_schema.fields + error)
 
     if match not in ("position", "key"):
         raise ValueError("match must be 'position' or 'key'")
 
     def slices(batches):
         for pdf in batches:
-            if not batch_rows or len(pdf) <= batch_rows:
-                yield pdf
-            else:
-                for i in range(0, len(pdf), batch_rows):
-                    yield pdf.iloc[i:i + batch_rows].reset_index(drop=True)
+            alone = [pdf] if not isolate else [g.reset_index(drop=True) for _, g in pdf.groupby(isolate, sort=False, dropna=False)]
+            for part in alone:
+                step = batch_rows or max(1, len(part))
+                for i in range(0, len(part), step):
+                    yield part if step >= len(part) else part.iloc[i:i + step].reset_index(drop=True)
+
+    def called(pdf):
+        res = fn(pdf)
+        if len(res) != len(pdf):
+            raise RuntimeError(f"The response size {len(res)} does not match the record size {len(pdf)}")
+        if match == "key":
+            merged = pdf.merge(res[KEY + names], on=KEY, how="left", validate="one_to_one", indicator=True)
+            if (merged["_merge"] != "both").any():
+                raise RuntimeError("results do not match the records of the batch by key")
+            return merged.drop(columns="_merge")
+        return pd.concat([pdf.reset_index(drop=True), res[names].reset_index(drop=True)], axis=1)
 
     def run(batches):
         for pdf in slices(batches):
-            res = fn(pdf)
-            if len(res) != len(pdf):
-                raise RuntimeError(f"The response size {len(res)} does not match the record size {len(pdf)}")
-            if match == "key":
-                merged = pdf.merge(res[KEY + names], on=KEY, how="left", validate="one_to_one", indicator=True)
-                if (merged["_merge"] != "both").any():
-                    raise RuntimeError("results do not match the records of the batch by key")
-                yield merged.drop(columns="_merge")
-            else:
-                yield pd.concat([pdf.reset_index(drop=True), res[names].reset_index(drop=True)], axis=1)
+            if not isolate:
+                yield called(pdf)
+                continue
+            try:
+                yield called(pdf).assign(error=None)
+            except Exception as e:  # noqa: BLE001  the function's own error, kept with the records it was called for
+                text = f"{type(e).__name__}: {e}"
+                yield pdf.assign(**dict.fromkeys(names), error=text if len(text) <= 4000 else f"{text[:1000]} ... {text[-3000:]}")
 
     return src.mapInPandas(run, out_schema)
 
@@ -213,7 +226,7 @@ def audit_from_write_error(df: DataFrame, error: str | Column, now_ms: int | Col
         now.alias("audit_ts"), status.alias("audit_status"), err.alias("stacktrace"))
 
 
-def audit_from_replay(control: DataFrame, status: str = "SUCCESS", reason: str = "",
+def audit_from_replay(control: DataFrame, status: str = "SUCCESS", reason: str | Column = "",
                       now_ms: int | Column | None = None, service_id: str = "recordlog") -> DataFrame:
     """Audit row of a replay request as read from the control topic: STREAMING_CONSUMER,
     position of the control record, trace ids from its headers, ``reason`` as stack trace."""
@@ -231,7 +244,7 @@ def audit_from_replay(control: DataFrame, status: str = "SUCCESS", reason: str =
         F.col("headers").getItem(CORRELATION_HEADER).alias("correlation_id"),
         F.col("headers").getItem(TRACEABILITY_HEADER).alias("traceability_id"),
         F.col("key").cast("string").alias("key"), now.alias("audit_ts"), st.alias("audit_status"),
-        F.lit(reason).alias("stacktrace"))
+        (reason if isinstance(reason, Column) else F.lit(reason)).alias("stacktrace"))
 
 
 def audit_kv(audit: DataFrame) -> DataFrame:

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from ..config import DLQ_EXT, MAX_FETCH_BYTES, MAX_POLL_RECORDS
 from ..functions.names import parse_topic_list
-from ._args import as_frame, join_checked
+from ._args import any_of, as_frame, join_checked, small_frame
 
 TP = ["topic", "partition_id"]
+#: Pairs of a list that become a filter; longer lists are joined.
+MAX_FILTERED = 200
 
 
 def subscribe(df: DataFrame, topics: str | list[str]) -> DataFrame:
@@ -35,31 +37,42 @@ def union_topics(*dfs: DataFrame) -> DataFrame:
 
 
 def _tp_filter(pairs) -> F.Column:
-    return reduce(lambda a, b: a | b,
-                  [(F.col("topic") == t) & (F.col("partition_id") == int(p)) for t, p in pairs],
-                  F.lit(False))
+    by_topic: dict[str, set[int]] = {}
+    for t, p in pairs:
+        by_topic.setdefault(t, set()).add(int(p))
+    return any_of([(F.col("topic") == t) & F.col("partition_id").isin(sorted(ps)) for t, ps in by_topic.items()])
 
 
 def assign(df: DataFrame, partitions) -> DataFrame:
     """Records of exactly the listed topic-partitions.
 
-    ``partitions``: list of (topic, partition_id) -- becomes a scan filter --
-    or a DataFrame with those two columns -- a left semi join."""
-    if isinstance(partitions, DataFrame):
-        return df.join(partitions.select(*TP), TP, "left_semi")
-    return df.filter(_tp_filter(partitions))
+    ``partitions``: list of (topic, partition_id) -- becomes a scan filter, beyond
+    ``MAX_FILTERED`` pairs a join with the list -- or a DataFrame with those two columns --
+    a left semi join."""
+    if not isinstance(partitions, DataFrame):
+        pairs = sorted({(t, int(p)) for t, p in partitions})
+        if len(pairs) <= MAX_FILTERED:
+            return df.filter(_tp_filter(pairs))
+        partitions = small_frame(df.sparkSession, pairs, "topic string, partition_id int")
+        return df.join(partitions, TP, "left_semi")
+    return df.join(partitions.select(*TP), TP, "left_semi")
 
 
 def seek(df: DataFrame, positions) -> DataFrame:
     """Records of the listed partitions from the given offset on.
 
-    ``positions``: list of (topic, partition_id, log_offset) or a DataFrame with
-    those columns (``log_offset`` is the position)."""
+    ``positions``: list of (topic, partition_id, log_offset) -- of several positions of one
+    partition the least counts -- or a DataFrame with those columns (``log_offset`` is the
+    position, one row per partition)."""
     if not isinstance(positions, DataFrame):
-        cond = reduce(lambda a, b: a | b,
-                      [(F.col("topic") == t) & (F.col("partition_id") == int(p)) & (F.col("log_offset") >= int(o))
-                       for t, p, o in positions], F.lit(False))
-        return df.filter(cond)
+        least: dict[tuple, int] = {}
+        for t, p, o in positions:
+            least[t, int(p)] = min(int(o), least.get((t, int(p)), int(o)))
+        if len(least) <= MAX_FILTERED:
+            return df.filter(any_of([(F.col("topic") == t) & (F.col("partition_id") == p) & (F.col("log_offset") >= o)
+                                     for (t, p), o in least.items()]))
+        pos = small_frame(df.sparkSession, [(t, p, o) for (t, p), o in least.items()], "topic string, partition_id int, _pos bigint")
+        return df.join(pos, TP).filter(F.col("log_offset") >= F.col("_pos")).drop("_pos")
     pos = positions.select(*TP, F.col("log_offset").cast("bigint").alias("_pos"))
     return join_checked(df, pos, TP).filter(F.col("log_offset") >= F.col("_pos")).drop("_pos")
 
@@ -148,15 +161,16 @@ def _ranked(df: DataFrame, max_records: int) -> DataFrame:
     top = ends.agg(F.max("_first")).first()[0]
     if top is None:
         return df.limit(0).withColumn("_rank", F.lit(1))
-    near = join_checked(df.filter(F.col("log_offset") < top + max_records), ends, TP) \
+    near = join_checked(df.filter(F.col("log_offset") < top + max_records), ends, TP, null_safe=True) \
         .filter(F.col("log_offset") < F.col("_first") + max_records)
     short = near.groupBy(*TP, "_first", "_last").agg(F.count(F.lit(1)).alias("_n")) \
         .filter((F.col("_n") < max_records) & (F.col("_last") >= F.col("_first") + max_records)).select(*TP).checkpoint(eager=True)
-    found = near.drop("_first", "_last").withColumn("_rank", rank)
+    # an offset may stand more than once, so the rank decides here too
+    found = near.drop("_first", "_last").withColumn("_rank", rank).filter(F.col("_rank") <= max_records)
     if short.isEmpty():
         return found
-    whole = join_checked(df, short, TP, "left_semi").withColumn("_rank", rank).filter(F.col("_rank") <= max_records)
-    return join_checked(found, short, TP, "left_anti").select(*whole.columns).unionByName(whole)
+    whole = join_checked(df, short, TP, "left_semi", null_safe=True).withColumn("_rank", rank).filter(F.col("_rank") <= max_records)
+    return join_checked(found, short, TP, "left_anti", null_safe=True).select(*whole.columns).unionByName(whole)
 
 
 def record_bytes() -> F.Column:
@@ -170,11 +184,15 @@ def fetch_bytes(df: DataFrame, max_bytes: int = MAX_FETCH_BYTES, max_records: in
     The first record is always returned, even when it alone is over the budget;
     ``max_bytes <= 0`` means no byte limit.  The running sum is taken over the
     at most ``max_records`` rows per partition that survive the count limit."""
-    first = _ranked(df, max_records)
+    return within_bytes(_ranked(df, max_records), max_bytes)
+
+
+def within_bytes(ranked: DataFrame, max_bytes: int) -> DataFrame:
+    """Ranked rows (``_rank`` from 1 in each partition) up to a running byte budget, without the rank."""
     if max_bytes <= 0:
-        return first.drop("_rank")
-    w = Window.partitionBy(*TP).orderBy("log_offset").rowsBetween(Window.unboundedPreceding, 0)
-    return (first.withColumn("_run", F.sum(record_bytes()).over(w))
+        return ranked.drop("_rank")
+    w = Window.partitionBy(*TP).orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
+    return (ranked.withColumn("_run", F.sum(record_bytes()).over(w))
             .filter((F.col("_rank") == 1) | (F.col("_run") <= max_bytes))
             .drop("_run", "_rank"))
 

@@ -1,7 +1,7 @@
 """The consume loop as a Structured Streaming query.
 
-Per micro-batch (one batch of records): run the user function once (batch and
-results persisted), check sizes, decide rollback on the failed share, and only
+Per micro-batch (one batch of records): run the user function once and store its results,
+check sizes, decide rollback on the failed share, and only
 then write dead letters and audit rows, and after both the commit positions.  A rollback raises:
 the query stops without committing the batch in its checkpoint, and a restart
 reads exactly the same records again.  Writes are idempotent per batch id.
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..config import DLQ_EXT, ROLLBACK_THRESHOLD_PCT
 from ..operators.offsets import commit_positions
 from ..operators.results import (RESULT_SCHEMA, audit_from_results, process, rollback_decision, to_dead_letters)
-from .sinks import write_audit, write_batch, write_dead_letters
+from .sinks import drop_results, store_results, write_audit, write_batch, write_dead_letters
 
 
 class RollbackError(RuntimeError):
@@ -51,14 +51,15 @@ class ConsumerConfig:
 
 
 def consume_batch(batch: DataFrame, batch_id: int, fn: Callable, cfg: ConsumerConfig) -> None:
-    """Body of one micro-batch (also usable on a static DataFrame).  Only the results are
-    cached: they carry the records' keys, so commit positions come from them too."""
+    """Body of one micro-batch (also usable on a static DataFrame).  The results are stored under the
+    batch id until it ends: they carry the records' keys, so commit positions come from them too."""
     results = None
     try:
-        results = process(batch, fn, cfg.result_schema, cfg.input_cols, cfg.match, cfg.batch_rows).persist()
+        # one call of the function for each record, stored before anything is decided on the results
+        results = store_results(process(batch, fn, cfg.result_schema, cfg.input_cols, cfg.match, cfg.batch_rows), cfg.out_dir, batch_id)
         if cfg.on_batch:
             cfg.on_batch(batch_id, results)
-        # one job: runs the function once (results cached) and decides; no row = empty batch
+        # no row = empty batch
         decision = rollback_decision(results.withColumn("_b", F.lit(0)), ["_b"], cfg.threshold, cfg.mode).first()
         if decision is None:
             return
@@ -84,7 +85,7 @@ def consume_batch(batch: DataFrame, batch_id: int, fn: Callable, cfg: ConsumerCo
         write_batch(pos, f"{cfg.out_dir}/commits", batch_id)
     finally:
         if results is not None:
-            results.unpersist()
+            drop_results(batch.sparkSession, cfg.out_dir, batch_id)
 
 
 def consume(stream_log: DataFrame, fn: Callable, cfg: ConsumerConfig):

@@ -16,7 +16,7 @@ from ..operators.offsets import commit_positions
 from ..operators.replay import (relevant_replays, replay, replay_progress, replay_start_check, republish,
                                 requests_from_control)
 from ..operators.results import audit_from_replay, audit_from_results, process, rollback_decision, to_dead_letters
-from .sinks import write_audit, write_batch
+from .sinks import drop_results, store_results, write_audit, write_batch
 
 
 @dataclass
@@ -74,30 +74,26 @@ def replay_batch(control: DataFrame, batch_id: int, log_reader: Callable[[], Dat
             lambda: write_audit(audit_from_replay(aborted, "FAILURE", "start offset mismatch",
                                                   service_id=cfg.service_id), f"{out}/audit_aborted", batch_id),
             lambda: write_batch(republish(replayed), f"{out}/republished", batch_id),
-            lambda: write_batch(replay_progress(ok, replayed), f"{out}/progress", batch_id),
         ]
-        results = None
+        results, failed = None, None
         if fn is not None:
             to_fn = replayed.filter(~F.coalesce(F.col("streaming_app"), F.lit(False))).select(
                 "request_id", "topic", "partition_id", "log_offset", "timestamp", "key", "value", "headers",
                 *[c for c in ("event_id",) if c in replayed.columns])
-            results = process(to_fn, fn).persist()
-            cached.append(results)
-            try:
-                results.count()
-            except Exception as error:  # the function failed: its requests are audited, nothing of theirs is kept
-                reason = str(error)
-                reason = reason if len(reason) <= 4000 else f"{reason[:1000]} ... {reason[-3000:]}"
-                asked = rel.filter(~F.coalesce(F.col("streaming_app"), F.lit(False)))
-                writes.append(lambda: write_audit(audit_from_replay(asked, "FAILURE", reason, service_id=cfg.service_id),
-                                                  f"{out}/audit_failed", batch_id))
-                results = None
-        if results is not None:
-            # the rules of the consume loop, request by request
-            decision = rollback_decision(results, ["request_id"], cfg.threshold, cfg.rollback_mode).persist()
-            cached.append(decision)
-            undone = rel.join(decision.filter("rolled_back").select("request_id"), "request_id", "left_semi")
-            kept = results.join(decision.filter("not rolled_back").select("request_id"), "request_id", "left_semi")
+            # stored before anything is decided on them: a lost executor does not call the function again
+            results = store_results(process(to_fn, fn, isolate="request_id"), out, batch_id)
+            errors = results.filter("error IS NOT NULL").groupBy("request_id").agg(F.min("error").alias("reason"))
+            # the rules of the consume loop, request by request; an error of the function fails its own request only
+            decision = rollback_decision(results, ["request_id"], cfg.threshold, cfg.rollback_mode)
+            state = decision.join(errors, "request_id", "left").select(
+                "request_id", "reason", (F.col("rolled_back") & F.col("reason").isNull()).alias("rolled_back")).persist()
+            cached.append(state)
+            failed = state.filter(F.col("reason").isNotNull() | F.col("rolled_back"))
+            broken = rel.join(state.filter("reason IS NOT NULL").select("request_id", "reason"), "request_id")
+            undone = rel.join(state.filter("rolled_back").select("request_id"), "request_id", "left_semi")
+            kept = results.join(failed.select("request_id"), "request_id", "left_anti").drop("error")
+            writes.append(lambda: write_audit(audit_from_replay(broken, "FAILURE", F.col("reason"), service_id=cfg.service_id),
+                                              f"{out}/audit_failed", batch_id))
             writes.append(lambda: write_audit(audit_from_replay(undone, "FAILURE", "rolled back", service_id=cfg.service_id),
                                               f"{out}/audit_rolled_back", batch_id))
             if cfg.audit_enabled:
@@ -106,6 +102,7 @@ def replay_batch(control: DataFrame, batch_id: int, log_reader: Callable[[], Dat
             if cfg.dead_letter_enabled:
                 writes.append(lambda: write_batch(to_dead_letters(kept, cfg.ext, last_retry=cfg.last_retry),
                                                   f"{out}/dead_letters", batch_id))
+        writes.append(lambda: write_batch(replay_progress(ok, replayed, failed), f"{out}/progress", batch_id))
         # independent sinks: concurrent Spark jobs, all must succeed
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
             for f in [pool.submit(w) for w in writes]:
@@ -114,6 +111,7 @@ def replay_batch(control: DataFrame, batch_id: int, log_reader: Callable[[], Dat
             pos = commit_positions(kept.join(req.select("request_id", "consumer_group"), "request_id"), "consumer_group")
             write_batch(pos.select("consumer_group", "topic", "partition_id", "log_offset",
                                    F.lit(int(time.time() * 1000)).cast("bigint").alias("committed_at")), f"{out}/commits", batch_id)
+            drop_results(control.sparkSession, out, batch_id)
     finally:
         for d in reversed(cached):
             d.unpersist()

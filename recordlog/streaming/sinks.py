@@ -3,7 +3,7 @@ overwrites exactly that id's folder, so a re-run batch replaces its own output,
 when it has none this time."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.results import audit_kv, audit_lines
@@ -15,6 +15,20 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -
     df.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={int(batch_id)}")
 
 
+def store_results(results: DataFrame, out_dir: str, batch_id: int) -> DataFrame:
+    """The function's results of one micro-batch, written under its id and read back: what is decided and written from
+    them afterwards does not call the function again, whatever executors are lost."""
+    path = f"{out_dir}/_results/{int(batch_id)}"
+    results.write.mode("overwrite").parquet(path)
+    return results.sparkSession.read.schema(results.schema).parquet(path)
+
+
+def drop_results(spark: SparkSession, out_dir: str, batch_id: int) -> None:
+    """Delete the stored results of a micro-batch that has ended."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/_results/{int(batch_id)}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_dead_letters(dead_letters: DataFrame, path: str, batch_id: int) -> None:
     """Dead-letter records of one batch (a file table; a Kafka sink would take
     ``to_outgoing`` of the same rows)."""
