@@ -816,11 +816,16 @@ STREAM_ORACLES = {
     "consume_dead_letters": sql("""SELECT l.topic || '.dlq' AS topic, l.partition_id, l.record_key, l.record_value
   FROM results l WHERE processed IS NOT TRUE"""),
     "dedupe_stream": sql("SELECT DISTINCT topic, record_key AS key, record_value AS value FROM log"),
+    # a request whose failed share reaches 30 % is rolled back: it stays at its start and is not finished
     "replay_stream": sql("""SELECT r.topic_name, r.partition_id, r.start_offset, r.end_offset, r.consumer_group,
-  r.dlq_indicator, g.n AS n_records, g.last_offset, g.last_offset + 1 AS next_offset,
-  g.last_offset + 1 >= r.end_offset AS finished
-  FROM valid_requests r JOIN (SELECT request_id, count(*) AS n, max(log_offset) AS last_offset FROM replayed
-                              GROUP BY 1) g USING (request_id)
+  r.dlq_indicator, g.n AS n_records, g.last_offset,
+  CASE WHEN g.rolled_back THEN r.start_offset ELSE g.last_offset + 1 END AS next_offset,
+  NOT g.rolled_back AND g.last_offset + 1 >= r.end_offset AS finished
+  FROM valid_requests r JOIN (
+    SELECT p.request_id, count(*) AS n, max(p.log_offset) AS last_offset,
+           NOT any_value(COALESCE(p.streaming_app, FALSE))
+             AND count(*) FILTER (l.event_id % 11 <> 0 AND l.event_id % 4 = 0) >= 30 * count(*) / 100.0 AS rolled_back
+    FROM replayed p JOIN log_all l USING (topic, partition_id, log_offset) GROUP BY 1) g USING (request_id)
   WHERE EXISTS (SELECT 1 FROM log_all l
                 WHERE l.topic = CASE WHEN r.dlq_indicator THEN r.topic_name || '.dlq' ELSE r.topic_name END
                   AND l.partition_id = r.partition_id AND l.log_offset = r.start_offset)"""),
@@ -893,3 +898,22 @@ def _(fx):
 def _(fx):
     """Seek positions by time: earliest offset at or after the time per listed partition."""
     return S.timestamp_positions(fx.log, SEEK_TIMES)
+
+
+# =================================================================== segmented log
+def _register_segments():
+    from .segment_queries import SEGMENT_QUERIES
+    oracles = {
+        "segment_bounds": sql("""SELECT topic, partition_id, min(log_offset) AS first_offset, max(log_offset) AS last_offset,
+  count(*) AS n_records, max(log_offset) + 1 AS next_offset FROM log GROUP BY 1, 2"""),
+        "segment_fetch": ORACLES["fetch_bytes"],
+        "segment_seek": ORACLES["seek_timestamps"],
+        "segment_append": ORACLES["append_ack"],
+        "stream_latest": sql(f"SELECT {FLAT} FROM log WHERE log_offset >= 100"),
+        "stream_commits": ORACLES["resume_committed"],
+    }
+    for name, fn in SEGMENT_QUERIES.items():
+        query(name, oracles[name])(fn)
+
+
+_register_segments()

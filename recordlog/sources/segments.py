@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import MAX_FETCH_BYTES, MAX_POLL_RECORDS, OFFSET_CHUNK
+from ..config import MAX_POLL_RECORDS, OFFSET_CHUNK
 from ..operators._args import as_frame
 from ..operators.numbering import chunk_of, floor_div, null_safe_join, number_within
 from ..operators.select import _ts_ms, record_bytes, within_bytes
@@ -73,8 +73,8 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 def read_segments(spark: SparkSession, path: str, named: DataFrame | None = None) -> DataFrame:
     """The records of the log, or of the segments that ``named`` (rows of the index) lists."""
-    rows = read_index(spark, path) if named is None else named
-    segments = [(r[0], r[1]) for r in rows.select("write_id", "segment").distinct().limit(MAX_NAMED + 1).collect()]
+    segments = [] if named is None else \
+        [(r[0], r[1]) for r in named.select("write_id", "segment").distinct().limit(MAX_NAMED + 1).collect()]
     base = f"{path}/data"
     writes = sorted({f.rsplit("/", 1)[-1] for f in _committed(spark, path)})
     if not writes:
@@ -167,6 +167,18 @@ def read_from(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame
     return null_safe_join(rows, pos, TP).filter(F.col("log_offset") >= F.col("_pos")).drop("_pos")
 
 
+def resume_positions(spark: SparkSession, path: str, commits: DataFrame, group: str, reset: str = "earliest") -> DataFrame:
+    """Position of every topic-partition of the log for ``group``: after its last commit, else its first offset
+    (``earliest``) or the end (``latest``)."""
+    from ..operators.offsets import latest_commits
+    if reset not in ("earliest", "latest"):
+        raise ValueError("reset must be 'earliest' or 'latest'")
+    bounds = index_bounds(read_index(spark, path))
+    last = latest_commits(commits, group).select(*TP, F.col("log_offset").alias("_committed"))
+    start = F.col("first_offset" if reset == "earliest" else "next_offset")
+    return null_safe_join(bounds, last, TP, "left").select(*TP, F.coalesce(F.col("_committed") + 1, start).alias("log_offset"))
+
+
 def append_segments(df: DataFrame, path: str, seq: str = "seq", chunk: Column | None = None,
                     segment_rows: int = OFFSET_CHUNK) -> DataFrame:
     """Give the rows the next offsets of their topic-partitions (from the index, 0 for a new one, ordered by ``seq``), store

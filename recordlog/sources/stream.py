@@ -122,7 +122,7 @@ class SegmentStreamReader(DataSourceStreamReader):
         import pyarrow.dataset as ds
         from pyspark.sql.pandas.types import to_arrow_schema
         files, folder = _filesystem(partition.folder)
-        want = to_arrow_schema(self.schema, timezone="UTC")
+        want = to_arrow_schema(self.schema)
         keep = ((pc.field("topic") == partition.topic) & (pc.field("partition_id") == partition.partition_id)
                 & (pc.field("log_offset") >= partition.begin) & (pc.field("log_offset") < partition.end))
         for batch in ds.dataset(folder, filesystem=files, format="parquet").to_batches(columns=want.names, filter=keep):

@@ -1,4 +1,7 @@
 """Replay properties: the whole range is the identity; ranges agree with a brute-force filter."""
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from recordlog.operators.offsets import partition_bounds
@@ -105,7 +108,52 @@ def test_a_failing_function_is_audited(spark, fx_small):
     replay_batch(_control(spark, [(1, "ev.click", 0, 0, 5, "g", False, False, None)]), 0, lambda: fx_small.log, broken, cfg)
     rows = spark.read.parquet(f"{root}/audit_failed").collect()
     assert len(rows) == 1 and "backend down" in rows[0].value
-    assert not os.path.exists(f"{root}/commits") and not os.path.exists(f"{root}/dead_letters")
+    # the batch's folders stand, so that a re-run clears what an earlier attempt left; they hold no rows
+    assert all(spark.read.parquet(f"{root}/{sink}").count() == 0 for sink in ("commits", "dead_letters", "audit"))
+    assert not spark.read.parquet(f"{root}/progress").first()["finished"] and not os.listdir(f"{root}/_results")
+
+
+def test_one_failed_request_never_touches_another(spark, fx_small):
+    """One good request, one with a poison record, one whose range goes beyond the log, in one micro-batch."""
+    import tempfile
+
+    from recordlog.operators.results import fixture_results
+    from recordlog.streaming.replay import ReplayConfig, replay_batch
+    ctl = _control(spark, [(1, "ev.click", 0, 0, 8, "good", False, False, None), (2, "ev.view", 1, 0, 8, "poison", False, False, None),
+                           (3, "ev.click", 1, 2, 10**6, "open", False, False, None), (4, "ev.click", 0, 4, 8, "good too", False, False, None)])
+
+    def poisoned(pdf):
+        if (pdf["topic"] == "ev.view").any() and (pdf["log_offset"] == 5).any():
+            raise ValueError("poison record")
+        res = fixture_results(pdf)
+        res["processed"] = True
+        return res
+    root = tempfile.mkdtemp(prefix="replay-poison-")
+    cfg = ReplayConfig(out_dir=root, checkpoint=f"{root}/ckpt", config_topics="ev.click,ev.view")
+    replay_batch(ctl, 0, lambda: fx_small.log, poisoned, cfg)
+    from recordlog.streaming.replay import read_replay_requests
+    group = {r["request_id"]: r["consumer_group"] for r in read_replay_requests(ctl).collect()}
+    last = fx_small.log.filter("topic = 'ev.click' AND partition_id = 1").agg(F.max("log_offset")).first()[0]
+    progress = {group[r["request_id"]]: (r["next_offset"], r["finished"]) for r in spark.read.parquet(f"{root}/progress").collect()}
+    assert progress == {"good": (8, True), "good too": (8, True), "poison": (0, False), "open": (last + 1, False)}
+    assert {r["consumer_group"]: r["log_offset"] for r in spark.read.parquet(f"{root}/commits").collect()} \
+        == {"good": 7, "good too": 7, "open": last}
+    failed = spark.read.parquet(f"{root}/audit_failed").collect()
+    assert len(failed) == 1 and "poison record" in failed[0].value
+    assert spark.read.parquet(f"{root}/audit").count() == 8 + 4 + last - 1
+
+
+def test_an_error_of_the_job_itself_is_raised(spark, fx_small):
+    """Only what the function raises is a request's failure; the batch is read again after anything else."""
+    import tempfile
+
+    from recordlog.streaming.replay import ReplayConfig, replay_batch
+    root = tempfile.mkdtemp(prefix="replay-job-")
+    cfg = ReplayConfig(out_dir=root, checkpoint=f"{root}/ckpt", config_topics="ev.click")
+    gone = fx_small.log.withColumn("value", F.raise_error(F.lit("lost file")).cast("string"))
+    with pytest.raises(Exception, match="lost file"):
+        replay_batch(_control(spark, [(1, "ev.click", 0, 0, 5, "g", False, False, None)]), 0, lambda: gone, lambda pdf: pdf, cfg)
+    assert not os.path.exists(f"{root}/commits") and not os.path.exists(f"{root}/audit_failed")
 
 
 def test_control_topics_are_read_as_they_stand(spark):

@@ -62,7 +62,8 @@ def test_replay_stream_progress(spark, fx_small):
     prog = E.queries()["replay_stream"](spark, "/root/testdata/sf0.001")
     rows = prog.collect()
     assert rows and all(r.n_records > 0 for r in rows)
-    assert all(r.next_offset == r.last_offset + 1 for r in rows)
+    # a request that was rolled back stays at its start and is not finished
+    assert all(r.next_offset == r.last_offset + 1 or (r.next_offset == r.start_offset and not r.finished) for r in rows)
 
 
 def test_kafka_sink_without_jar(spark, fx_small):
@@ -70,3 +71,40 @@ def test_kafka_sink_without_jar(spark, fx_small):
     from recordlog.sources.codec import write_kafka
     with pytest.raises(RuntimeError):
         write_kafka(fx_small.log.limit(1), "localhost:9092", "t", value_format="STRING")
+
+
+def test_fetch_counts_repeated_offsets_and_null_partitions(spark):
+    from recordlog.operators import select as S
+    rows = [("t", 0, o, f"{o}-{k}") for o in range(5) for k in range(3)] + [("t", None, o, "n") for o in range(4)] \
+        + [("t", 1, 10 * o, "gap") for o in range(6)]
+    df = spark.createDataFrame(rows, "topic string, partition_id int, log_offset bigint, value string").withColumn("key", F.lit("k"))
+    for n in (1, 3, 4, 100):
+        got = {}
+        for r in S.fetch(df, n).collect():
+            got.setdefault(r["partition_id"], []).append(r["log_offset"])
+        want = {p: sorted(o for _, q, o, _ in rows if q == p)[:n] for p in (0, None, 1)}
+        assert {p: sorted(v) for p, v in got.items()} == want
+    assert S.fetch_bytes(df, max_bytes=1, max_records=3).count() == 3
+
+
+def test_long_lists_of_partitions_and_positions(spark):
+    from recordlog.operators import select as S
+    df = spark.range(3000).selectExpr("concat('t', id % 600) AS topic", "CAST(id % 2 AS int) AS partition_id", "id AS log_offset")
+    every = [tuple(r) for r in df.collect()]
+    for n in (150, 900):
+        pairs = [(f"t{k}", k % 2) for k in range(n)]
+        assert sorted(tuple(r) for r in S.assign(df, pairs).collect()) == sorted(r for r in every if r[:2] in set(pairs))
+        at = {p: 1000 for p in pairs}
+        got = S.seek(df, [(*p, 1000) for p in pairs] + [(*pairs[0], 0)])
+        at[pairs[0]] = 0
+        assert sorted(tuple(r) for r in got.collect()) == sorted(r for r in every if r[:2] in at and r[2] >= at[r[:2]])
+
+
+def test_replay_of_many_topics(spark, monkeypatch):
+    from recordlog.operators import replay as R
+    log = spark.range(200).selectExpr("concat('t', id % 20) AS topic", "0 AS partition_id", "id div 20 AS log_offset", "'v' AS value")
+    req = spark.createDataFrame([(k, f"t{k}", 0, 2, 5, "g", False, False, None) for k in range(12)], R.REQUEST_DDL)
+    want = sorted((k, f"t{k}", o) for k in range(12) for o in range(2, 5))
+    for most in (500, 3):
+        monkeypatch.setattr(R, "MAX_TOPICS", most)
+        assert sorted(tuple(r) for r in R.replay(req, log).select("request_id", "topic", "log_offset").collect()) == want
