@@ -53,26 +53,29 @@ class TokenBytes:
     The vocabulary never joins across ASCII white space and does not tell upper from lower case in
     ASCII, so a text is put together from its space-separated parts, those that are all ASCII in lower
     case; others stay as they are, for a small letter may compose with a mark where the capital does
-    not.  Parts seen last are kept;
+    not.  Parts seen last are kept (``most`` and as many before them);
     the new parts of many texts are encoded in one call, parted by a digit, which always is a token
     of its own.  Texts that may hold a special token's string keep their case."""
 
-    def __init__(self, path: str, most: int = 1_000_000, at_once: int = 256):
+    def __init__(self, path: str, most: int = 160_000, at_once: int = 256):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.at_once, self.known = Tokenizer.from_file(path), most, at_once, {}
+        self.before: dict[bytes, bytes] = {}
         self.digit = self.tokenizer.encode("0", add_special_tokens=False).ids
 
     def of(self, texts: Iterator[bytes]) -> Iterator[bytes]:
         for some in batched(texts, self.at_once):
             split = [self._parts(t) for t in some]
-            if len(self.known) > self.most:
-                self.known.clear()
+            if len(self.known) > self.most:  # parts that are met again come back from the older half
+                self.before, self.known = self.known, {}
             found = [list(map(self.known.get, parts)) for parts in split]
             new = {p for parts, ids in zip(split, found) if None in ids for p, x in zip(parts, ids) if x is None}
             if new:
-                self._learn(new)
+                back = {p: self.before[p] for p in new if p in self.before}
+                self.known.update(back)
+                self._learn(new - back.keys())
             for parts, ids in zip(split, found):
                 yield b"".join(ids) if None not in ids else b"".join(map(self.known.__getitem__, parts))
 
