@@ -22,6 +22,7 @@ import math
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from itertools import batched
@@ -45,6 +46,8 @@ BUCKET_ROWS = 4096
 # -- tokens ---------------------------------------------------------------------------------
 
 _DIGITS = re.compile(rb"[0-9]")
+#: Words by which a vocabulary shows that its tokenizer leaves words of small letters whole.
+PROBES = [*"abcdefghijklmnopqrstuvwxyz", "the", "internationalization", "qzxwv", "aaaaaaaaaaaaaaaaaaaaaaaa", "thshdndthanntheranre"]
 
 
 class TokenBytes:
@@ -63,6 +66,9 @@ class TokenBytes:
 
         self.tokenizer, self.most, self.at_once, self.known = Tokenizer.from_file(path), most, at_once, {}
         self.before: dict[bytes, bytes] = {}
+        # words of small ASCII letters go to the vocabulary's model at once, if it takes them as the tokenizer does
+        self.words = all(self._word(w) == np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+                         for w in PROBES)
         self.digit = self.tokenizer.encode("0", add_special_tokens=False).ids
 
     def of(self, texts: Iterator[bytes]) -> Iterator[bytes]:
@@ -79,6 +85,9 @@ class TokenBytes:
             for parts, ids in zip(split, found):
                 yield b"".join(ids) if None not in ids else b"".join(map(self.known.__getitem__, parts))
 
+    def _word(self, word: str) -> bytes:
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+
     @staticmethod
     def _parts(text: bytes) -> list[bytes]:
         if b"<|" in text:
@@ -92,6 +101,10 @@ class TokenBytes:
         # a comma or full stop after a letter is a token run of its own
         tails = {p for p in parts if p[-1:] in b",." and p[-2:-1].isalpha() and b"'" not in p and b"<|" not in p}
         new = (parts - tails | {p[:-1] for p in tails} | {b",", b"."} if tails else parts) - self.known.keys()
+        if self.words:
+            words = {p for p in new if p.isalpha() and p.islower()}  # of bytes, so ASCII only
+            self.known.update((p, self._word(p.decode("ascii"))) for p in words)
+            new -= words
         numbers = set(filter(_DIGITS.search, new))
         plain = list(new - numbers)
         self._encode(list(numbers))
