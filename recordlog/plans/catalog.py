@@ -917,3 +917,43 @@ def _register_segments():
 
 
 _register_segments()
+
+
+# =================================================================== reserved appends, stored tables, late and paired streams
+_PARTED = """span AS (SELECT min(ts_ms) AS low, max(ts_ms) AS high FROM log),
+parted AS (SELECT l.*, CAST(least((ts_ms - low) * 4 // (high - low + 1), 3) AS INT) AS part FROM log l, span)"""
+
+
+def _register_stateful():
+    from .stateful_queries import LOOKUP_USERS, STATEFUL_QUERIES
+    latest = ORACLES["latest_stream"]
+    users = ", ".join(f"'{u}'" for u in LOOKUP_USERS)
+    oracles = {
+        "append_reserved": sql("""SELECT seq, topic, pid AS partition_id,
+  CASE WHEN pid >= 0 THEN CAST(nxt + row_number() OVER (PARTITION BY topic, pid ORDER BY seq % 8, seq) - 1 AS BIGINT) END AS log_offset,
+  CASE WHEN pid < 0 THEN 'partition can not be negative' END AS error
+  FROM (SELECT event_id AS seq, topic, CASE WHEN event_id % 8 = 4 AND event_id % 3 = 0 THEN -1 ELSE partition_id END AS pid
+        FROM results WHERE processed = FALSE) r
+  LEFT JOIN (SELECT topic, partition_id AS pid, max(log_offset) + 1 AS nxt FROM log GROUP BY 1, 2) b USING (topic, pid)"""),
+        "table_store": latest,
+        "table_lookup": f"SELECT * FROM ({latest}) WHERE key IN ({users})",
+        # records that come too late are in no session
+        "session_stream": sql("""SELECT record_key AS key, topic, min(ts_us) // 1000 AS window_start_ms,
+  (max(ts_us) + 7200000000) // 1000 AS window_end_ms, count(*) AS n
+  FROM (SELECT *, sum(CASE WHEN prev IS NULL OR ts_us - prev > 7200000000 THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY topic, record_key ORDER BY ts_us, log_offset ROWS UNBOUNDED PRECEDING) AS sid
+        FROM (SELECT *, lag(ts_us) OVER (PARTITION BY topic, record_key ORDER BY ts_us, log_offset) AS prev
+              FROM (SELECT l.*, epoch_us(e.ts) AS ts_us FROM log l JOIN events e USING (event_id), span
+                    WHERE NOT (event_id % 101 = 0 AND (ts_ms + CASE WHEN event_id % 11 = 0 THEN 7200000 ELSE 0 END - low) * 4
+                                                      // (high - low + 1) < 2))))
+  GROUP BY record_key, topic, sid""", _PARTED),
+        "interval_join_stream": sql("""SELECT topic, partition_id, log_offset, processed, ts_ms AS sent_ms,
+  ts_ms + (event_id % 5) * 3600000 AS result_ms FROM results WHERE event_id % 5 <= 2"""),
+        "dedupe_within": sql("""SELECT event_id, topic, ts_ms FROM log
+  UNION ALL SELECT event_id, topic, ts_ms + (high - low + 1) // 2 FROM parted, span WHERE event_id % 7 = 0 AND part < 2""", _PARTED),
+    }
+    for name, fn in STATEFUL_QUERIES.items():
+        query(name, oracles[name])(fn)
+
+
+_register_stateful()

@@ -15,6 +15,7 @@ from ..operators.select import read_dead_letters
 from ..session import scratch_path
 from ..sources.log import events_as_records
 from ..streaming.consume import ConsumerConfig, run_consumer
+from ..streaming.manifest import read_batches
 from ..streaming.push import push_query, query_state
 from ..streaming.replay import ReplayConfig, replay_stream
 from .fixtures import NOW_MS, REPLAY_TOPICS, SERVICE_ID
@@ -55,7 +56,7 @@ def consume_stream(fx) -> DataFrame:
     cfg = ConsumerConfig(out_dir=scratch_path(spark, "consume-out"), checkpoint=scratch_path(spark, "consume-ckpt"),
                          group="g-stream", service_id=SERVICE_ID)
     run_consumer(lambda: _stream(spark, path), fixture_results, cfg)
-    return spark.read.parquet(f"{cfg.out_dir}/audit").select("key", "value")
+    return read_batches(spark, cfg.out_dir, "audit").select("key", "value")
 
 
 def consume_commits(fx) -> DataFrame:
@@ -69,7 +70,7 @@ def consume_commits(fx) -> DataFrame:
                      fx.log.groupBy("topic", "partition_id").agg(F.min("log_offset").alias("log_offset")), "g-stream", NOW_MS)
     run_consumer(lambda: _stream(spark, path), fixture_results, cfg)
     cols = ["consumer_group", "topic", "partition_id", "log_offset", "committed_at"]
-    streamed = spark.read.parquet(f"{cfg.out_dir}/commits").select(*cols)
+    streamed = read_batches(spark, cfg.out_dir, "commits").select(*cols)
     return latest_commits(drained.select(*cols).union(streamed)).drop("committed_at")
 
 
@@ -80,7 +81,7 @@ def consume_dead_letters(fx) -> DataFrame:
     cfg = ConsumerConfig(out_dir=scratch_path(spark, "dlq-out"), checkpoint=scratch_path(spark, "dlq-ckpt"),
                          group="g-stream", service_id=SERVICE_ID, audit_enabled=False)
     run_consumer(lambda: _stream(spark, path), fixture_results, cfg)
-    return spark.read.parquet(f"{cfg.out_dir}/dead_letters").select(
+    return read_batches(spark, cfg.out_dir, "dead_letters").select(
         "topic", "partition_id", F.col("key").cast("string").alias("record_key"), F.col("value").cast("string").alias("record_value"))
 
 
@@ -94,7 +95,7 @@ def replay_dead_letters(fx) -> DataFrame:
                          checkpoint=scratch_path(spark, "dlq-replay-ckpt"), group="g-dlq", last_retry=True,
                          threshold=100, service_id=SERVICE_ID)
     run_consumer(lambda: read_dead_letters(_stream(spark, path), topics), fixture_results, cfg)
-    return spark.read.parquet(f"{cfg.out_dir}/audit").select("key", "value")
+    return read_batches(spark, cfg.out_dir, "audit").select("key", "value")
 
 
 def replay_stream_query(fx) -> DataFrame:
@@ -108,7 +109,7 @@ def replay_stream_query(fx) -> DataFrame:
     q.awaitTermination()
     from ..streaming.replay import read_replay_requests
     req = read_replay_requests(spark.read.parquet(path))
-    prog = spark.read.parquet(f"{cfg.out_dir}/progress")
+    prog = read_batches(spark, cfg.out_dir, "progress")
     return prog.join(req, "request_id").select(
         "topic_name", F.col("partition_id_req").alias("partition_id"), "start_offset", "end_offset",
         "consumer_group", "dlq_indicator", "n_records", "last_offset", "next_offset", "finished")

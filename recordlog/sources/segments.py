@@ -21,6 +21,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..config import MAX_POLL_RECORDS, OFFSET_CHUNK
 from ..operators._args import as_frame
@@ -39,20 +40,35 @@ def write_segments(df: DataFrame, path: str, segment_rows: int = OFFSET_CHUNK, n
 
     The records of a segment go to one task, which writes them in log order; a hot partition is as
     many segments as its offsets need, so it spreads over tasks."""
-    spark, write_id = df.sparkSession, uuid.uuid4().hex
+    write_id = uuid.uuid4().hex
+    schema = write_data(df, path, write_id, segment_rows, num_files)
+    write_index(df.sparkSession, path, write_id, schema)
+    return write_id
+
+
+def write_data(df: DataFrame, path: str, write_id: str, segment_rows: int = OFFSET_CHUNK, num_files: int | None = None) -> StructType:
+    """The segments of an append; no reader sees them before ``write_index``.  Returns their schema."""
     key = F.concat(F.lit("s"), F.hex(F.xxhash64("topic")), F.lit("-"), F.coalesce(F.col("partition_id").cast("string"), F.lit("none")),
                    F.lit("-"), floor_div(F.col("log_offset"), segment_rows).cast("string"))
     d = df.withColumn("segment", key)
     d = d.repartition(num_files, "segment") if num_files else d.repartition("segment")
-    folder = f"{path}/data/write_id={write_id}"
-    d.sortWithinPartitions("segment", *TP, "log_offset").write.partitionBy("segment").parquet(folder)
+    d.sortWithinPartitions("segment", *TP, "log_offset").write.partitionBy("segment").parquet(f"{path}/data/write_id={write_id}")
+    return d.schema
+
+
+def index_rows(spark: SparkSession, path: str, write_id: str, schema: StructType) -> DataFrame:
+    """One row per segment of an append, from its stored records."""
     ms = F.unix_millis("timestamp")
-    index = (spark.read.schema(d.schema).parquet(folder).groupBy(*TP, "segment")
+    index = (spark.read.schema(schema).parquet(f"{path}/data/write_id={write_id}").groupBy(*TP, "segment")
              .agg(F.min("log_offset").alias("first_offset"), F.max("log_offset").alias("last_offset"), F.count(F.lit(1)).alias("n_records"),
                   F.min(ms).alias("min_ms"), F.max(ms).alias("max_ms"), F.sum(record_bytes()).alias("bytes")))
-    index.select(*TP, "first_offset", "last_offset", "n_records", "min_ms", "max_ms", "bytes",
-                 F.lit(write_id).alias("write_id"), "segment").write.parquet(f"{path}/index/{write_id}")
-    return write_id
+    return index.select(*TP, "first_offset", "last_offset", "n_records", "min_ms", "max_ms", "bytes",
+                        F.lit(write_id).alias("write_id"), "segment")
+
+
+def write_index(spark: SparkSession, path: str, write_id: str, schema: StructType) -> None:
+    """Commit an append: its index rows, the same ones if it is called again."""
+    index_rows(spark, path, write_id, schema).write.mode("overwrite").parquet(f"{path}/index/{write_id}")
 
 
 def _committed(spark: SparkSession, path: str) -> list[str]:
@@ -95,7 +111,6 @@ def read_segments(spark: SparkSession, path: str, named: DataFrame | None = None
 
 
 def _schema(spark: SparkSession, folder: str):
-    from pyspark.sql.types import StructType
     at = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(at) or not any(s.getPath().getName().startswith("segment=") for s in fs.listStatus(at)):

@@ -2,9 +2,10 @@
 
 Per micro-batch (one batch of records): run the user function once and store its results,
 check sizes, decide rollback on the failed share, and only
-then write dead letters and audit rows, and after both the commit positions.  A rollback raises:
+then write dead letters, audit rows and commit positions, which count together once the batch's
+manifest stands (``manifest.read_batches``).  A rollback raises:
 the query stops without committing the batch in its checkpoint, and a restart
-reads exactly the same records again.  Writes are idempotent per batch id.
+reads exactly the same records again.  A batch that runs again replaces what it left.
 """
 from __future__ import annotations
 
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from ..config import DLQ_EXT, ROLLBACK_THRESHOLD_PCT
 from ..operators.offsets import commit_positions
 from ..operators.results import (RESULT_SCHEMA, audit_from_results, process, rollback_decision, to_dead_letters)
-from .sinks import drop_results, store_results, write_audit, write_batch, write_dead_letters
+from .manifest import BatchWriter
+from .sinks import audit_rows, drop_results, store_results
 
 
 class RollbackError(RuntimeError):
@@ -67,22 +69,24 @@ def consume_batch(batch: DataFrame, batch_id: int, fn: Callable, cfg: ConsumerCo
             raise RollbackError(f"batch {batch_id}: failed records {decision['failed']} of {decision['batch_size']} "
                                 f"reach the threshold {cfg.threshold}%")
         now = int(time.time() * 1000)
+        batch_sinks = BatchWriter(batch.sparkSession, cfg.out_dir, batch_id)
         writes = []
         if cfg.dead_letter_enabled:
             dl = to_dead_letters(results, cfg.ext, last_retry=cfg.last_retry, now_ms=F.lit(now).cast("bigint"))
-            writes.append(lambda: write_dead_letters(dl, f"{cfg.out_dir}/dead_letters", batch_id))
+            writes.append(lambda: batch_sinks.write("dead_letters", dl))
         if cfg.audit_enabled:
             audit = audit_from_results(results, cfg.audit_type, cfg.service_id)
-            writes.append(lambda: write_audit(audit, f"{cfg.out_dir}/audit", batch_id, cfg.audit_target))
+            writes.append(lambda: batch_sinks.write("audit", *audit_rows(audit, cfg.audit_target)))
         # dead letters and audit are independent: concurrent Spark jobs; all must succeed before anything is committed
         if writes:
             with ThreadPoolExecutor(max_workers=len(writes)) as pool:
                 for f in [pool.submit(w) for w in writes]:
                     f.result()
-        # last and alone: no reader can resume past records whose dead letters were not written
+        # no reader can resume past records whose dead letters were not written: all of it counts with the manifest
         pos = commit_positions(results).select(F.lit(cfg.group).alias("consumer_group"), "topic", "partition_id",
                                              "log_offset", F.lit(now).cast("bigint").alias("committed_at"))
-        write_batch(pos, f"{cfg.out_dir}/commits", batch_id)
+        batch_sinks.write("commits", pos)
+        batch_sinks.commit()
     finally:
         if results is not None:
             drop_results(batch.sparkSession, cfg.out_dir, batch_id)

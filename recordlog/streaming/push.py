@@ -55,20 +55,24 @@ def query_state(spark: SparkSession, checkpoint: str, operator_id: int = 0, stor
     return r.load(checkpoint)
 
 
+def latest_per_key(log: DataFrame, key_cols, order=("timestamp", "partition_id", "log_offset")) -> DataFrame:
+    """The greatest row per key by ``order``, tombstones kept; on a stream the state holds one row per key."""
+    from pyspark.sql import functions as F
+    keys = list(key_cols)
+    order = [c for c in order if c in log.columns]
+    rest = [c for c in log.columns if c not in keys and c not in order]
+    m = F.max_by(F.struct(*order, *rest), F.struct(*order)).alias("_m")
+    return log.groupBy(*keys).agg(m).select(*keys, *[F.col(f"_m.{c}").alias(c) for c in (*order, *rest)])
+
+
 def materialize_latest_stream(stream_log: DataFrame, key_cols, path: str, checkpoint: str,
                               order=("timestamp", "partition_id", "log_offset"), trigger: dict | None = None):
     """Table from a stream: the state store keeps the latest row per key (``max_by`` in
     update mode, one state row per key); each micro-batch appends the keys it changed to
     a changelog under ``path`` (partitioned by batch id, idempotent on re-run).  Read the
     table with ``read_table``."""
-    from pyspark.sql import functions as F
-
     from .sinks import write_batch
-    keys = list(key_cols)
-    order = [c for c in order if c in stream_log.columns]
-    rest = [c for c in stream_log.columns if c not in keys and c not in order]
-    m = F.max_by(F.struct(*order, *rest), F.struct(*order)).alias("_m")
-    agg = stream_log.groupBy(*keys).agg(m).select(*keys, *[F.col(f"_m.{c}").alias(c) for c in (*order, *rest)])
+    agg = latest_per_key(stream_log, key_cols, order)
 
     def changes(df, bid):
         write_batch(df, path, bid)

@@ -16,7 +16,8 @@ from ..operators.offsets import commit_positions
 from ..operators.replay import (relevant_replays, replay, replay_progress, replay_start_check, republish,
                                 requests_from_control)
 from ..operators.results import audit_from_replay, audit_from_results, process, rollback_decision, to_dead_letters
-from .sinks import drop_results, store_results, write_audit, write_batch
+from .manifest import BatchWriter
+from .sinks import audit_rows, drop_results, store_results
 
 
 @dataclass
@@ -68,12 +69,14 @@ def replay_batch(control: DataFrame, batch_id: int, log_reader: Callable[[], Dat
         replayed = replay(ok, log, cfg.ext).persist()
         cached.append(replayed)
         out = cfg.out_dir
+        sinks = BatchWriter(control.sparkSession, out, batch_id)
+
+        def audit_of(sink: str, rows: DataFrame) -> Callable[[], None]:
+            return lambda: sinks.write(sink, *audit_rows(rows))
         writes = [
-            lambda: write_audit(audit_from_replay(rel, "SUCCESS", "", service_id=cfg.service_id),
-                                f"{out}/audit_requests", batch_id),
-            lambda: write_audit(audit_from_replay(aborted, "FAILURE", "start offset mismatch",
-                                                  service_id=cfg.service_id), f"{out}/audit_aborted", batch_id),
-            lambda: write_batch(republish(replayed), f"{out}/republished", batch_id),
+            audit_of("audit_requests", audit_from_replay(rel, "SUCCESS", "", service_id=cfg.service_id)),
+            audit_of("audit_aborted", audit_from_replay(aborted, "FAILURE", "start offset mismatch", service_id=cfg.service_id)),
+            lambda: sinks.write("republished", republish(replayed)),
         ]
         results, failed = None, None
         if fn is not None:
@@ -92,25 +95,23 @@ def replay_batch(control: DataFrame, batch_id: int, log_reader: Callable[[], Dat
             broken = rel.join(state.filter("reason IS NOT NULL").select("request_id", "reason"), "request_id")
             undone = rel.join(state.filter("rolled_back").select("request_id"), "request_id", "left_semi")
             kept = results.join(failed.select("request_id"), "request_id", "left_anti").drop("error")
-            writes.append(lambda: write_audit(audit_from_replay(broken, "FAILURE", F.col("reason"), service_id=cfg.service_id),
-                                              f"{out}/audit_failed", batch_id))
-            writes.append(lambda: write_audit(audit_from_replay(undone, "FAILURE", "rolled back", service_id=cfg.service_id),
-                                              f"{out}/audit_rolled_back", batch_id))
+            writes.append(audit_of("audit_failed", audit_from_replay(broken, "FAILURE", F.col("reason"), service_id=cfg.service_id)))
+            writes.append(audit_of("audit_rolled_back", audit_from_replay(undone, "FAILURE", "rolled back", service_id=cfg.service_id)))
             if cfg.audit_enabled:
-                writes.append(lambda: write_audit(audit_from_results(kept, "REACTIVE_CONSUMER", cfg.service_id),
-                                                  f"{out}/audit", batch_id))
+                writes.append(audit_of("audit", audit_from_results(kept, "REACTIVE_CONSUMER", cfg.service_id)))
             if cfg.dead_letter_enabled:
-                writes.append(lambda: write_batch(to_dead_letters(kept, cfg.ext, last_retry=cfg.last_retry),
-                                                  f"{out}/dead_letters", batch_id))
-        writes.append(lambda: write_batch(replay_progress(ok, replayed, failed), f"{out}/progress", batch_id))
+                writes.append(lambda: sinks.write("dead_letters", to_dead_letters(kept, cfg.ext, last_retry=cfg.last_retry)))
+        writes.append(lambda: sinks.write("progress", replay_progress(ok, replayed, failed)))
         # independent sinks: concurrent Spark jobs, all must succeed
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
             for f in [pool.submit(w) for w in writes]:
                 f.result()
-        if results is not None:  # last and alone, as in the consume loop
+        if results is not None:
             pos = commit_positions(kept.join(req.select("request_id", "consumer_group"), "request_id"), "consumer_group")
-            write_batch(pos.select("consumer_group", "topic", "partition_id", "log_offset",
-                                   F.lit(int(time.time() * 1000)).cast("bigint").alias("committed_at")), f"{out}/commits", batch_id)
+            sinks.write("commits", pos.select("consumer_group", "topic", "partition_id", "log_offset",
+                                              F.lit(int(time.time() * 1000)).cast("bigint").alias("committed_at")))
+        sinks.commit()  # all sinks of the batch count from here on
+        if results is not None:
             drop_results(control.sparkSession, out, batch_id)
     finally:
         for d in reversed(cached):

@@ -1,6 +1,6 @@
-"""Sinks used inside ``foreachBatch``: every write is keyed by the micro-batch id and
+"""Sinks used inside ``foreachBatch``.  One sink alone: the write is keyed by the micro-batch id and
 overwrites exactly that id's folder, so a re-run batch replaces its own output, also
-when it has none this time."""
+when it has none this time.  Several sinks that belong together: see ``manifest``."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +38,13 @@ def write_dead_letters(dead_letters: DataFrame, path: str, batch_id: int) -> Non
 def write_audit(audit: DataFrame, path: str, batch_id: int, target: str = "topic") -> None:
     """Audit rows of one batch: ``topic`` -> (key = correlation id, value = JSON) records;
     ``logfile`` -> JSON lines."""
-    rows = audit_kv(audit) if target == "topic" else audit_lines(audit)
-    write_batch(rows, path, batch_id, "parquet" if target == "topic" else "text")
+    rows, fmt = audit_rows(audit, target)
+    write_batch(rows, path, batch_id, fmt)
+
+
+def audit_rows(audit: DataFrame, target: str = "topic") -> tuple[DataFrame, str]:
+    """What an audit sink stores for ``target``, and its format."""
+    return (audit_kv(audit), "parquet") if target == "topic" else (audit_lines(audit), "text")
 
 
 class RowSubscriber:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from recordlog.operators.results import fixture_results
 from recordlog.streaming.consume import ConsumerConfig, RollbackError, consume
+from recordlog.streaming.manifest import read_batches
 
 LOG_COLS = ["topic", "partition_id", "log_offset", "timestamp", "key", "value", "headers", "event_id"]
 
@@ -53,10 +54,10 @@ def test_rollback_then_retry(spark, fx_small):
     first = [rows for bid, rows in seen if bid == 0]
     assert len(first) == 2 and first[0] == first[1]
     # sinks hold exactly one copy of every record
-    audit = spark.read.parquet(os.path.join(cfg.out_dir, "audit"))
+    audit = read_batches(spark, cfg.out_dir, "audit")
     assert audit.count() == fx_small.log.count()
     # dead letters + successes = all records, disjoint
-    dl = spark.read.parquet(os.path.join(cfg.out_dir, "dead_letters"))
+    dl = read_batches(spark, cfg.out_dir, "dead_letters")
     n_failed = fx_small.results.filter(~F.coalesce(F.col("processed"), F.lit(False))).count()
     assert dl.count() == n_failed
     dead = {(r.origin_topic, r.partition_id, r.source_offset) for r in dl.collect()}
@@ -66,7 +67,7 @@ def test_rollback_then_retry(spark, fx_small):
     every = {(r.topic, r.partition_id, r.log_offset) for r in fx_small.log.collect()}
     assert not (dead & ok) and (dead | ok) == every
     # commit positions never go backwards
-    commits = spark.read.parquet(os.path.join(cfg.out_dir, "commits")).collect()
+    commits = read_batches(spark, cfg.out_dir, "commits").collect()
     last = {}
     for r in sorted(commits, key=lambda r: r.batch_id):
         k = (r.topic, r.partition_id)
@@ -75,14 +76,14 @@ def test_rollback_then_retry(spark, fx_small):
 
 
 def test_rerun_batch_is_idempotent(spark, fx_small):
-    """Writing the same batch id twice leaves one copy (dynamic partition overwrite)."""
+    """Running the same batch id twice leaves one copy."""
     from recordlog.streaming.consume import consume_batch
     root = tempfile.mkdtemp(prefix="consume-idem-")
     cfg = ConsumerConfig(out_dir=os.path.join(root, "out"), checkpoint=os.path.join(root, "ckpt"))
     batch = fx_small.log.select(*LOG_COLS).filter("topic = 'ev.click'")
     consume_batch(batch, 7, fixture_results, cfg)
     consume_batch(batch, 7, fixture_results, cfg)
-    assert spark.read.parquet(os.path.join(cfg.out_dir, "audit")).count() == batch.count()
+    assert read_batches(spark, cfg.out_dir, "audit").count() == batch.count()
 
 
 def test_last_retry_writes_no_dead_letters(spark, fx_small):
@@ -93,8 +94,8 @@ def test_last_retry_writes_no_dead_letters(spark, fx_small):
     batch = fx_small.log.select(*LOG_COLS)
     consume_batch(batch, 0, fixture_results, cfg)
     # the batch's folder stands, so that a re-run clears what an earlier attempt left; it holds no rows
-    assert spark.read.parquet(os.path.join(cfg.out_dir, "dead_letters")).count() == 0
-    assert spark.read.parquet(os.path.join(cfg.out_dir, "audit")).count() == batch.count()
+    assert read_batches(spark, cfg.out_dir, "dead_letters").count() == 0
+    assert read_batches(spark, cfg.out_dir, "audit").count() == batch.count()
 
 
 def test_process_match_by_key(spark, fx_small):
@@ -146,7 +147,7 @@ def test_function_error_rolls_back_and_retries(spark, fx_small):
     cfg = ConsumerConfig(out_dir=os.path.join(root, "out"), checkpoint=os.path.join(root, "ckpt"))
     attempts = run_consumer(lambda: _stream(spark, path), fn, cfg, max_attempts=3)
     assert attempts == 2
-    audit = spark.read.parquet(os.path.join(cfg.out_dir, "audit"))
+    audit = read_batches(spark, cfg.out_dir, "audit")
     assert audit.count() == fx_small.log.count()
 
 
@@ -171,16 +172,15 @@ def test_a_successful_retry_clears_the_dead_letters_of_the_first_attempt(spark,
     cfg = _config(root)
     batch = fx_small.log.select(*LOG_COLS)
     consume_batch(batch, 0, fixture_results, cfg)
-    dl = os.path.join(cfg.out_dir, "dead_letters")
-    assert spark.read.parquet(dl).count() > 0
+    assert read_batches(spark, cfg.out_dir, "dead_letters").count() > 0
 
     def all_well(pdf):
         res = fixture_results(pdf)
         res["processed"] = True
         return res
     consume_batch(batch, 0, all_well, cfg)
-    assert spark.read.parquet(dl).count() == 0
-    assert spark.read.parquet(os.path.join(cfg.out_dir, "commits")).count() > 0
+    assert read_batches(spark, cfg.out_dir, "dead_letters").count() == 0
+    assert read_batches(spark, cfg.out_dir, "commits").count() > 0
 
 
 def test_stream_and_drain_commits_share_one_clock(spark, fx_small):
@@ -197,7 +197,7 @@ def test_stream_and_drain_commits_share_one_clock(spark, fx_small):
     drained = commit(spark.createDataFrame([], "consumer_group string, topic string, partition_id int, log_offset bigint, committed_at bigint"),
                      first, "g", int(time.time() * 1000) - 1)
     consume_batch(batch, 0, fixture_results, cfg)
-    streamed = spark.read.parquet(os.path.join(cfg.out_dir, "commits"))
+    streamed = read_batches(spark, cfg.out_dir, "commits")
     got = latest_commits(drained.unionByName(streamed.select(*drained.columns)), "g")
     want = batch.groupBy("topic", "partition_id").agg(F.max("log_offset").alias("log_offset"))
     cols = ["topic", "partition_id", "log_offset"]
