@@ -951,6 +951,20 @@ def _register_stateful():
   ts_ms + (event_id % 5) * 3600000 AS result_ms FROM results WHERE event_id % 5 <= 2"""),
         "dedupe_within": sql("""SELECT event_id, topic, ts_ms FROM log
   UNION ALL SELECT event_id, topic, ts_ms + (high - low + 1) // 2 FROM parted, span WHERE event_id % 7 = 0 AND part < 2""", _PARTED),
+        "post_failures": sql("""SELECT r.topic || '.dlq' AS topic, r.partition_id, r.log_offset AS source_offset,
+  CAST(COALESCE(b.nxt, 0) + row_number() OVER (PARTITION BY r.topic, r.partition_id ORDER BY r.log_offset) - 1 AS BIGINT) AS log_offset,
+  CAST(NULL AS VARCHAR) AS error
+  FROM results r LEFT JOIN (SELECT topic, partition_id, max(log_offset) + 1 AS nxt FROM dlq GROUP BY 1, 2) b
+    ON b.topic = r.topic || '.dlq' AND b.partition_id = r.partition_id WHERE r.processed = FALSE"""),
+        "drain_resumed": sql(f"""SELECT {FLAT} FROM dlq d WHERE topic IN ('ev.click.dlq', 'ev.error.dlq') AND log_offset >
+  COALESCE((SELECT max(c.log_offset) FROM dlq c WHERE c.topic = d.topic AND c.partition_id = d.partition_id AND c.log_offset % 50 = 49), -1)"""),
+        "drain_commits": sql(f"""SELECT 'g5' AS consumer_group, topic, partition_id, arg_max(log_offset, committed_at) AS log_offset,
+  max(committed_at) AS committed_at FROM (
+    SELECT topic, partition_id, log_offset, log_offset AS committed_at FROM dlq WHERE log_offset % 50 = 49
+    UNION ALL SELECT topic, partition_id, max(log_offset), {NOW_MS} FROM dlq d
+    WHERE topic IN ('ev.click.dlq', 'ev.error.dlq') AND log_offset > COALESCE((SELECT max(c.log_offset) FROM dlq c
+      WHERE c.topic = d.topic AND c.partition_id = d.partition_id AND c.log_offset % 50 = 49), -1) GROUP BY 1, 2)
+  GROUP BY topic, partition_id"""),
     }
     for name, fn in STATEFUL_QUERIES.items():
         query(name, oracles[name])(fn)

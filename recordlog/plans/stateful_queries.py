@@ -8,10 +8,13 @@ from ..operators.tables import dedupe_stream, materialize_window
 from ..session import scratch_path
 from ..sources import reservations as R
 from ..sources import segments as G
-from ..sources.log import events_as_records
+from ..sources.log import events_as_records, flat
 from ..streaming import table_store as T
+from ..streaming.deadletters import drain_dead_letters
+from ..streaming.deadletters import post_failures as post
 from ..streaming.joins import interval_join
 from ..streaming.push import push_query
+from .fixtures import NOW_MS, SERVICE_ID
 from .segment_queries import SEGMENT_ROWS
 
 HOUR_MS = 3_600_000
@@ -140,5 +143,30 @@ def dedupe_within(fx) -> DataFrame:
     return out.select("event_id", "topic", F.unix_millis("timestamp").alias("ts_ms"))
 
 
+def post_failures(fx) -> DataFrame:
+    """STR-11: the acknowledgement of posted failures; the offsets go on from the dead letters that are there."""
+    path = scratch_path(fx.spark, "posted-failures")
+    G.write_segments(fx.dlq.drop("origin_topic", "source_offset", "event_id"), path, SEGMENT_ROWS)
+    ack, _audit = post(fx.results, path, "posted", NOW_MS, SERVICE_ID, segment_rows=SEGMENT_ROWS)
+    return ack
+
+
+def _drained(fx) -> tuple[DataFrame, DataFrame]:
+    """A group that has committed every 50th dead letter drains what is left of two topics."""
+    commits = fx.dlq.filter(F.col("log_offset") % 50 == 49).select(
+        F.lit("g5").alias("consumer_group"), "topic", "partition_id", "log_offset", F.col("log_offset").alias("committed_at"))
+    return drain_dead_letters(fx.dlq, commits, "g5", "ev.click, ev.error", committed_at=NOW_MS)
+
+
+def drain_resumed(fx) -> DataFrame:
+    """STR-12: the dead letters after the group's commits."""
+    return flat(_drained(fx)[0])
+
+
+def drain_commits(fx) -> DataFrame:
+    """STR-12: the commits table after a drain."""
+    return _drained(fx)[1]
+
+
 STATEFUL_QUERIES = {f.__name__: f for f in (append_reserved, table_store, table_lookup, session_stream, interval_join_stream,
-                                            dedupe_within)}
+                                            dedupe_within, post_failures, drain_resumed, drain_commits)}

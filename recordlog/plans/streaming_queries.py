@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from ..operators.offsets import COMMITS_DDL, commit, latest_commits
 from ..operators.results import fixture_results, posted_dead_letters
-from ..operators.select import read_dead_letters
 from ..session import scratch_path
 from ..sources.log import events_as_records
 from ..streaming.consume import ConsumerConfig, run_consumer
+from ..streaming.deadletters import replay_dead_letters as replay
 from ..streaming.manifest import read_batches
 from ..streaming.push import push_query, query_state
 from ..streaming.replay import ReplayConfig, replay_stream
@@ -92,9 +92,8 @@ def replay_dead_letters(fx) -> DataFrame:
     path = stage(fx.dlq.select(*LOG_COLS), "dlq")
     topics = REPLAY_TOPICS
     cfg = ConsumerConfig(out_dir=scratch_path(spark, "dlq-replay-out"),
-                         checkpoint=scratch_path(spark, "dlq-replay-ckpt"), group="g-dlq", last_retry=True,
-                         threshold=100, service_id=SERVICE_ID)
-    run_consumer(lambda: read_dead_letters(_stream(spark, path), topics), fixture_results, cfg)
+                         checkpoint=scratch_path(spark, "dlq-replay-ckpt"), group="g-dlq", threshold=100, service_id=SERVICE_ID)
+    replay(lambda: _stream(spark, path), topics, fixture_results, cfg)
     return read_batches(spark, cfg.out_dir, "audit").select("key", "value")
 
 

@@ -220,3 +220,30 @@ def test_interval_join_bounds_its_state_and_outer_rows_come_out(spark, fx_small)
     assert batch.count() == 30
     with pytest.raises(ValueError):
         interval_join(left, right, ["id"], "sent", "got", "1 hour", "2 hours", "full")
+
+
+def test_posted_failures_are_stored_once_and_every_result_is_audited(spark, fx_small):
+    from recordlog.streaming.deadletters import post_failures
+    path = tempfile.mkdtemp(prefix="posted-")
+    results = fx_small.results.filter("topic = 'ev.click'")
+    failed = results.filter("processed = false").count()
+    for _ in range(2):
+        ack, audit = post_failures(results, path, "p", 1735689600000)
+        assert ack.filter("error is null").count() == ack.count() == failed and audit.count() == results.count()
+    stored = G.read_segments(spark, path)
+    assert stored.count() == failed and {r[0] for r in stored.select("topic").distinct().collect()} == {"ev.click.dlq"}
+    row = stored.filter("headers['X-Stack-Trace'] is not null").first()
+    assert row["headers"]["X-Stack-Trace"] == "error happened"
+
+
+def test_dead_letters_on_their_last_retry_are_not_queued_again(spark, fx_small):
+    from recordlog.streaming.deadletters import replay_dead_letters
+    root = tempfile.mkdtemp(prefix="last-retry-")
+    fx_small.dlq.select(*LOG_COLS).write.parquet(f"{root}/in")
+    cfg = ConsumerConfig(out_dir=f"{root}/out", checkpoint=f"{root}/ckpt", threshold=100)
+
+    def source():
+        return spark.readStream.schema(fx_small.dlq.select(*LOG_COLS).schema).parquet(f"{root}/in")
+    assert replay_dead_letters(source, "ev.click", fixture_results, cfg) == 1
+    assert read_batches(spark, cfg.out_dir, "dead_letters").count() == 0
+    assert read_batches(spark, cfg.out_dir, "audit").count() == fx_small.dlq.filter("topic = 'ev.click.dlq'").count()
