@@ -1,11 +1,11 @@
-"""SimHash near-duplicates by multi-index hashing.
+"""SimHash near-duplicates by hashing of small Hamming balls.
 
 A document's fingerprint sums its shingle hashes bit by bit.  Fingerprints at most ``bits``
-apart are linked.  The 64 bits form two segments; around every distinct fingerprint the small
-Hamming ball of each segment is enumerated (the segment's bits with up to half the distance
-flipped) and entered in a table.  A table entry carries the other segment too, so a bucket
-holds only fingerprints near one common value: at most 65 for two bits, however many near
-copies a document has, and no list of candidate pairs grows with the square of a group.
+apart are linked.  Around every distinct fingerprint the ball of half the distance is
+enumerated and entered in one table, keyed by the whole 64-bit value.  This stands in for tables
+of segments: all near copies that share a segment would fall into one bucket of such a table,
+whereas here a bucket holds only fingerprints near one common value: at most 65 for two bits, however
+many near copies a document has, and no list of candidate pairs grows with the square of a group.
 Members of a bucket are linked to its smallest one after their complete distance has been
 verified; the links' components are the groups.  Two fingerprints at distance d always meet
 in the bucket of a value half way between them, so no link is lost.

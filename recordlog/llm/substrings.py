@@ -1,4 +1,7 @@
-"""Substring dedup by relative Lempel-Ziv factors over an index of all documents.
+"""Substring dedup by content-chosen blocks over an index of all documents.
+
+This stands in for a greedy relative Lempel-Ziv parse, whose every step would be a lookup in the
+whole index: blocks meet their copies in one shuffle, and windows are checked at their borders.
 
 Every document is cut into reference blocks at places its content chooses: a window of
 ``window`` words belongs to the smallest hash among the grams inside it (its anchor), and the
