@@ -110,7 +110,9 @@ def _voted(spans: DataFrame) -> DataFrame:
     # candidates that touch no base span
     order = Window.partitionBy("row").orderBy("start", F.col("base").desc(), "end")
     ends = F.max(F.when(F.col("base"), F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.min(F.when(F.col("base"), F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    # the rows after, read backwards: a frame that only grows is summed once, one that shrinks is summed anew at every row
+    back = Window.partitionBy("row").orderBy(F.col("start").desc(), F.col("base"), F.col("end").desc())
+    begins = F.min(F.when(F.col("base"), F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
     free = (F.coalesce(ends, F.lit(-1)) <= F.col("start")) & (F.coalesce(begins, F.col("end")) >= F.col("end"))
     placed = placed.withColumn("free", free).filter("base or free")
 

@@ -71,6 +71,19 @@ def test_text_form_and_empty_table(spark):
     assert personal.find(frame(spark, [])).count() == 0
 
 
+def test_windows_only_grow(spark):
+    plan = personal._voted(personal._spans(frame(spark), "doc_id", "text"))._jdf.queryExecution().analyzed().toString()
+    assert "unboundedpreceding$()" in plan and "unboundedfollowing$()" not in plan
+
+
+def test_candidates_between_base_spans(spark):
+    text = "".join(f"a{k}@b.co (555) 123-4567 +1 555 123 4567 " for k in range(400))
+    got = personal.find(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), threshold=1e-9).first()
+    assert len(got["base"]) == 800 and [tuple(s) for s in got["base"]] == base(text)
+    free = [m.span() for m in re.finditer(r"\(555\) 123-4567", text)]
+    assert [(s["start"], s["end"]) for s in got["added"]] == free
+
+
 def test_main_path_is_native(spark):
     plan = personal.find(frame(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
