@@ -64,10 +64,18 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def _scaled(v) -> np.ndarray:
+    """A vector in double precision, by a power of two between 0.5 and 1 at its largest: an exact step that
+    keeps squares of very large or very small numbers in range."""
+    v = np.asarray(v, dtype=np.float64)
+    largest = np.abs(v).max() if len(v) else 0.0
+    return np.ldexp(v, -int(np.frexp(largest)[1]))
+
+
 def _cosines(a: list, b: list) -> np.ndarray:
     out = np.empty(len(a))
     for k, (x, y) in enumerate(zip(a, b)):
-        x, y = np.asarray(x, dtype=np.float64), np.asarray(y, dtype=np.float64)
+        x, y = _scaled(x), _scaled(y)
         out[k] = (x @ y) / (math.sqrt(x @ x) * math.sqrt(y @ y))
     return out
 
@@ -80,11 +88,15 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _type(reps: DataFrame) -> str:
+    return dict(reps.dtypes)["vec"]
+
+
 def _coded(reps: DataFrame, fit_rows: int) -> DataFrame:
     """``reps`` with the code of each vector."""
     dim = reps.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()
     sample = [] if dim is None else bounded_sample(reps.filter(F.size("vec") == dim[0]), fit_rows, "rep").select("vec").collect()
-    sample = np.array([r[0] for r in sample], dtype=np.float64) if sample else np.zeros((0, 1))
+    sample = np.array([_scaled(r[0]) for r in sample]) if sample else np.zeros((0, 1))
     rotation = Rotation(sample / np.linalg.norm(sample, axis=1, keepdims=True))
 
     def code(batches):
@@ -92,12 +104,12 @@ def _coded(reps: DataFrame, fit_rows: int) -> DataFrame:
             vectors = b.column(2).to_pylist()
             x = np.zeros((len(vectors), rotation.dim))
             for row, v in zip(x, vectors):  # another length is cut or filled up: only a code, never a cosine
-                v = np.asarray(v, dtype=np.float64)[:rotation.dim]
+                v = _scaled(v)[:rotation.dim]
                 row[:len(v)] = v
             x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rotation.codes(x), pa.int64())], ["rep", "n", "vec", "code"])
 
-    return reps.select("rep", "n", "vec").mapInArrow(code, "rep bigint, n bigint, vec array<float>, code bigint")
+    return reps.select("rep", "n", "vec").mapInArrow(code, f"rep bigint, n bigint, vec {_type(reps)}, code bigint")
 
 
 def _classes(reps: DataFrame, angle: float, rounds: int) -> DataFrame:
@@ -115,7 +127,7 @@ def _classes(reps: DataFrame, angle: float, rounds: int) -> DataFrame:
                 off[b.column(0).to_numpy() == b.column(4).to_numpy()] = 0.0
                 yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(off)], ["rep", "n", "vec", "code", "class", "off"])
 
-        led = store(led.mapInArrow(measure, "rep bigint, n bigint, vec array<float>, code bigint, class bigint, off double"), "vector-classes")
+        led = store(led.mapInArrow(measure, f"rep bigint, n bigint, vec {_type(reps)}, code bigint, class bigint, off double"), "vector-classes")
         near = led.filter(F.col("off") <= limit)
         done = near if done is None else done.union(near)
         rest = led.filter(F.col("off") > limit).select("rep", "n", "vec", "code")
@@ -142,7 +154,9 @@ def _candidates(classes: DataFrame, reach: int) -> DataFrame:
 def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95, fit_rows: int = 10_000,
           reach: int = 20, rounds: int = 3) -> DataFrame:
     """(id, n_links, component) of every row of ``vectors``."""
-    v = F.col(vector_col).cast("array<float>")
+    v = F.col(vector_col)
+    if dict(vectors.dtypes)[vector_col] != "array<float>":  # any other number is read as a double
+        v = v.cast("array<double>")
     good = v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) \
         & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.when(good, v).alias("vec"))

@@ -58,5 +58,15 @@ def test_null_ids_and_repeated_rows(spark):
     assert got == sorted(map(str, [(None, 2, 4), (4, 2, 4), (4, 2, 4), (None, 1, None), (None, 1, None), (None, 0, None)]))
 
 
+def test_doubles_are_compared_as_they_are(spark):
+    a, b = 1.0, 1.0 + 2.0 ** -40  # one number in single precision
+    edge = math.sqrt(1 / 0.95 ** 2 - 1)
+    rows = [(1, [a, 0.0], 0), (2, [b, 0.0], 0), (3, [1e200, 1e200], 0), (4, [2e-200, 2e-200], 0), (5, [0.0, -3.0], 0),
+            (6, [-1.0, edge * (1 - 1e-12)], 0), (7, [-1.0, 0.0], 0), (8, [-1.0, -edge * (1 + 1e-12)], 0)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {r["id"]: (r["n_links"], r["component"]) for r in embeddings.links(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (1, 6), 7: (1, 6), 8: (0, 8)}
+
+
 def test_empty_table(spark):
     assert embeddings.links(spark.createDataFrame([], SCHEMA)).count() == 0
