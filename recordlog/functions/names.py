@@ -74,3 +74,12 @@ def topic_in(col: str | Column, configured: str | list[str], mode: str = "strict
         return F.coalesce(F.instr(F.lit(text), c) > 0, F.lit(False))
     topics = parse_topic_list(configured) if isinstance(configured, str) else list(configured)
     return F.coalesce(c.isin(topics), F.lit(False))
+
+
+def name_uuid(name: Column, namespace: str = "6ba7b811-9dad-11d1-80b4-00c04fd430c8") -> Column:
+    """UUID of a name (version 5, RFC 9562) in a namespace, the URL one by default: the same for the same name, so
+    a retry repeats it.  ``F.uuid()`` gives random ones."""
+    h = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(name, "UTF-8")))
+    variant = F.lower(F.hex(F.conv(F.substring(h, 17, 1), 16, 10).cast("int").bitwiseAND(F.lit(3)).bitwiseOR(F.lit(8))))
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)),
+                       F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))

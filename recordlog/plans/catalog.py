@@ -19,6 +19,7 @@ from ..operators import results as RS
 from ..operators import select as S
 from ..operators import tables as TB
 from ..sources import codec as C
+from ..sources.json_schema import Schemas
 from ..sources.log import flat, string_headers
 from .fixtures import NOW_MS, REPLAY_TOPICS, SERVICE_ID, Fixtures, sql
 
@@ -177,6 +178,33 @@ def _(fx):
     return d.select("topic", "partition_id", "log_offset", F.col("value.k").alias("k"))
 
 
+REGISTERED = Schemas([
+    (1, "orders", 1, '{"type": "object", "required": ["k"], "properties": {"k": {"type": "integer", "minimum": 20}}}'),
+    (2, "orders", 2, '{"type": "object", "properties": {"k": {"type": ["string", "null"]}}, "additionalProperties": false}'),
+    (3, "views", 1, '{"type": "object", "required": ["k", "z"]}')])
+
+
+@query("decode_by_schema", sql("""SELECT topic, partition_id, log_offset, id AS schema_id, CASE WHEN error IS NULL THEN k END AS k, error
+  FROM (SELECT *, CASE WHEN NOT ok THEN '$: is not JSON' WHEN id = -1 THEN '$: its schema is not registered'
+      WHEN id = 1 AND json_type(v) <> 'OBJECT' THEN '$: is not object'
+      WHEN id = 1 AND k IS NULL THEN '$.k: is required' WHEN id = 1 AND k < 20 THEN '$.k: is below 20'
+      WHEN id = 2 AND k IS NOT NULL THEN '$.k: is not string or null' WHEN id = 3 THEN '$.z: is required' END AS error
+    FROM (SELECT *, CASE WHEN ok THEN CAST(json_extract(v, '$.k') AS BIGINT) END AS k
+      FROM (SELECT topic, partition_id, log_offset, CAST([1, 2, 1, 3, -1, NULL][(log_offset % 6) + 1] AS INTEGER) AS id,
+          json_valid(record_value) AS ok, CASE WHEN json_valid(record_value) THEN record_value END AS v
+        FROM (SELECT topic, partition_id, log_offset, record_value FROM log UNION ALL
+          SELECT 'docs.' || lang, 0, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1, text FROM documents))))"""))
+def _(fx):
+    """Records that name their schema in each of the ways a request can, and some that name an unknown one or none."""
+    way = F.col("log_offset") % 6
+    text = F.when(way == 3, F.lit('{"required":["k","z"],  "type":"object"}'))
+    d = S.union_topics(fx.log, fx.doc_log).withColumn("schema_id", REGISTERED.id_of(
+        F.when(way == 0, 1).when(way == 4, 77), F.when(way.isin(1, 2), "orders"), F.when(way == 2, 1), text))
+    d = REGISTERED.decode(d, "value", "schema_id", on_error="keep")
+    return d.select("topic", "partition_id", "log_offset", "schema_id", REGISTERED.typed(F.col("value"), 1)["k"].alias("k"),
+                    F.get("errors_value", F.lit(0)).alias("error"))
+
+
 @query("encode", sql("""SELECT 'out.' || topic AS topic, partition_id, log_offset, record_key AS key,
   json_object('event_id', event_id, 'user', record_key, 'k', CAST(json_extract(record_value, '$.k') AS INTEGER))::VARCHAR
     AS value FROM log"""))

@@ -9,9 +9,12 @@ from ..config import DEFAULT_FORMAT, FORMATS
 from ..functions.names import parse_bool
 
 RECORD_DDL = "key string, value string"
-PRODUCE_REQUEST_DDL = ("keyFormat string, valueFormat string, keySchemaId int, valueSchemaId int, "
-                       "records array<struct<key:string, value:string, partition:int, "
+PRODUCE_REQUEST_DDL = ("keyFormat string, keySchema string, keySchemaId int, keySchemaVersion int, keySchemaSubject string, "
+                       "valueFormat string, valueSchema string, valueSchemaId int, valueSchemaVersion int, valueSchemaSubject string, "
+                       "records array<struct<key:string, value:string, partition:int, timestamp:bigint, "
                        "headers:map<string,string>, correlationId:string, traceabilityId:string>>")
+RECORD_COLUMNS = ("key", "value", "partition", "headers", "correlationId", "traceabilityId")
+SCHEMA_COLUMNS = {"schema": "Schema", "schema_id": "SchemaId", "schema_version": "SchemaVersion", "schema_subject": "SchemaSubject"}
 
 
 def _fmt(f: str) -> str:
@@ -121,17 +124,28 @@ def explode_batch(df: DataFrame, col: str, element_ddl: str, mode: str = "FAILFA
 
 
 def ingest_requests(df: DataFrame, col: str = "request", defaults: tuple[str, str] = (DEFAULT_FORMAT, DEFAULT_FORMAT),
-                    ddl: str = PRODUCE_REQUEST_DDL) -> DataFrame:
+                    schemas: bool = False) -> DataFrame:
     """Produce-request JSON -> one row per record with its position ``seq``; missing key and
-    value formats take the defaults, names upper-cased."""
-    r = F.from_json(F.col(col), ddl, {"mode": "FAILFAST"}).alias("_r")
+    value formats take the defaults, names upper-cased, an unknown name raises.
+
+    With ``schemas`` also ``record_ts`` (the record's own time, epoch millis in the request) and, for key and
+    value, ``*_schema``, ``*_schema_id``, ``*_schema_version`` and ``*_schema_subject`` as the request names
+    them (see ``json_schema.Schemas``)."""
+    r = F.from_json(F.col(col), PRODUCE_REQUEST_DDL, {"mode": "FAILFAST"}).alias("_r")
     keep = [c for c in df.columns if c != col]
+    sides = ("key", "value")
+
+    def known(side: str, default: str) -> Column:
+        f = F.upper(F.coalesce(F.col(f"_r.{side}Format"), F.lit(default)))
+        return F.when(f.isin(*FORMATS), f).otherwise(F.raise_error(F.concat(F.lit("unknown format "), f)))
+
+    named = [F.col(f"_r.{side}{field}").alias(f"{side}_{name}") for side in sides for name, field in SCHEMA_COLUMNS.items()]
+    more = [F.timestamp_millis("_rec.timestamp").alias("record_ts"), *[f"{s}_{n}" for s in sides for n in SCHEMA_COLUMNS]]
     return (df.select(*keep, r)
-            .select(*keep,
-                    F.upper(F.coalesce(F.col("_r.keyFormat"), F.lit(defaults[0]))).alias("key_format"),
-                    F.upper(F.coalesce(F.col("_r.valueFormat"), F.lit(defaults[1]))).alias("value_format"),
+            .select(*keep, *[known(s, d).alias(f"{s}_format") for s, d in zip(sides, defaults)], *named,
                     F.posexplode("_r.records").alias("seq", "_rec"))
-            .select(*keep, "key_format", "value_format", F.col("seq").cast("bigint").alias("seq"), "_rec.*"))
+            .select(*keep, "key_format", "value_format", F.col("seq").cast("bigint").alias("seq"),
+                    *[f"_rec.{c}" for c in RECORD_COLUMNS], *(more if schemas else [])))
 
 
 def write_kafka(df: DataFrame, bootstrap: str, topic: str | None = None, options: dict | None = None,
