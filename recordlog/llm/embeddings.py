@@ -64,19 +64,24 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _scaled(v) -> np.ndarray:
-    """A vector in double precision, by a power of two between 0.5 and 1 at its largest: an exact step that
-    keeps squares of very large or very small numbers in range."""
-    v = np.asarray(v, dtype=np.float64)
-    largest = np.abs(v).max() if len(v) else 0.0
-    return np.ldexp(v, -int(np.frexp(largest)[1]))
-
-
-def _cosines(a: list, b: list) -> np.ndarray:
-    out = np.empty(len(a))
-    for k, (x, y) in enumerate(zip(a, b)):
-        x, y = _scaled(x), _scaled(y)
-        out[k] = (x @ y) / (math.sqrt(x @ x) * math.sqrt(y @ y))
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows in double precision; where squares could leave its range, each is divided by a power of two, which is exact."""
+    largest = np.abs(rows).max(axis=1, initial=0.0)
+    if ((largest > 1e-100) & (largest < 1e100)).all():
+        return rows
+    return np.ldexp(rows, -np.frexp(largest)[1][:, None])
+
+
+def _cosines(a: list, b: list, step: int = 1000) -> np.ndarray:
+    """Cosine of each pair; the two vectors of a pair have one length."""
+    out, sizes = np.empty(len(a)), np.array([len(x) for x in a], dtype=np.int64)
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        for k in range(0, len(at), step):
+            some = at[k:k + step]
+            x = _scaled(np.array([a[i] for i in some], dtype=np.float64))
+            y = _scaled(np.array([b[i] for i in some], dtype=np.float64))
+            out[some] = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
     return out
 
 
@@ -96,7 +101,7 @@ def _coded(reps: DataFrame, fit_rows: int) -> DataFrame:
     """``reps`` with the code of each vector."""
     dim = reps.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()
     sample = [] if dim is None else bounded_sample(reps.filter(F.size("vec") == dim[0]), fit_rows, "rep").select("vec").collect()
-    sample = np.array([_scaled(r[0]) for r in sample]) if sample else np.zeros((0, 1))
+    sample = _scaled(np.array([r[0] for r in sample], dtype=np.float64)) if sample else np.zeros((0, 1))
     rotation = Rotation(sample / np.linalg.norm(sample, axis=1, keepdims=True))
 
     def code(batches):
@@ -104,7 +109,7 @@ def _coded(reps: DataFrame, fit_rows: int) -> DataFrame:
             vectors = b.column(2).to_pylist()
             x = np.zeros((len(vectors), rotation.dim))
             for row, v in zip(x, vectors):  # another length is cut or filled up: only a code, never a cosine
-                v = _scaled(v)[:rotation.dim]
+                v = _scaled(np.asarray(v, dtype=np.float64)[None, :])[0, :rotation.dim]
                 row[:len(v)] = v
             x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rotation.codes(x), pa.int64())], ["rep", "n", "vec", "code"])
