@@ -19,6 +19,8 @@ from ..sources.log import log_from_events, table, write_log
 NOW_MS = 1735689600000  # fixed "now" (2025-01-01T00:00:00Z) so outputs are reproducible
 REPLAY_TOPICS = "ev.error,ev.click,ev.view,ev.purchase,ev.signup"
 SERVICE_ID = "svc"
+# documents of one segment of the document log, or of one file of a stream of documents: these rows hold whole texts
+DOC_SEGMENT = 1 << 13
 
 # replay requests of the fixture: valid rows and one row per validation rule
 FIXED_REQUESTS = [
@@ -41,10 +43,11 @@ FIXED_REQUESTS = [
 _STORED: dict[tuple, str] = {}
 
 
-def stored(spark: SparkSession, key: tuple, build) -> DataFrame:
+def stored(spark: SparkSession, key: tuple, build, segment_rows: int | None = None) -> DataFrame:
     """A derived log written once per session as parquet partitioned by topic in the shared
     checkpoint folder, then read back: later plans scan it with partition pruning, column
-    pruning and pushed filters instead of re-deriving it, and its lineage is cut."""
+    pruning and pushed filters instead of re-deriving it, and its lineage is cut.
+    ``segment_rows`` as in ``write_log``."""
     from ..session import scratch_path
     k = (spark.sparkContext.applicationId, *key)
     path = _STORED.get(k)
@@ -52,7 +55,7 @@ def stored(spark: SparkSession, key: tuple, build) -> DataFrame:
     if path is None:
         df = build()
         path = scratch_path(spark, "-".join(str(x) for x in key[-1:]))
-        write_log(df, path)
+        write_log(df, path, segment_rows=segment_rows)
         _STORED[k] = path
         cols = df.columns
     else:
@@ -119,14 +122,16 @@ class Fixtures:
 
     @cached_property
     def doc_log(self) -> DataFrame:
-        """``documents`` as a log: topic ``docs.<lang>``, one partition, offsets by doc_id."""
+        """``documents`` as a log: topic ``docs.<lang>``, one partition, offsets by doc_id.  Ranked and stored in
+        segments of ``DOC_SEGMENT`` documents, so that a task reads so many texts of a topic at once however large it is."""
         d = self.table("documents").select(
             F.concat(F.lit("docs."), F.col("lang")).alias("topic"), F.lit(0).alias("partition_id"),
             F.timestamp_millis(F.lit(0)).alias("timestamp"), F.col("doc_id").cast("string").alias("key"),
             F.col("text").alias("value"), F.create_map().cast("map<string,string>").alias("headers"),
             F.col("doc_id"))
         return stored(self.spark, (self.sf_dir, "doc_log"),
-                      lambda: number_within(d, ["topic", "partition_id"], ["doc_id"], chunk_of("doc_id")))
+                      lambda: number_within(d, ["topic", "partition_id"], ["doc_id"], chunk_of("doc_id", DOC_SEGMENT)),
+                      segment_rows=DOC_SEGMENT)
 
 
 # ------------------------------------------------------------------ DuckDB side

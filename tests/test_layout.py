@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from recordlog.operators._args import join_checked
 from recordlog.operators.select import log_order
+from recordlog.plans import fixtures
 from recordlog.sources.log import read_log, write_log
 
 
@@ -46,3 +47,26 @@ def test_join_checked_both_paths(spark, fx_small):
     assert hint not in b._jdf.queryExecution().analyzed().toString()
     assert sorted(a.select("topic", "partition_id", "log_offset", "m").collect()) == \
         sorted(b.select("topic", "partition_id", "log_offset", "m").collect())
+
+
+def test_document_log_is_ranked_and_stored_in_segments(spark, tmp_path, monkeypatch):
+    """A topic of many texts takes many tasks, however few topics there are."""
+    monkeypatch.setattr(fixtures, "DOC_SEGMENT", 8)
+    monkeypatch.setattr(fixtures, "_STORED", {})
+    rows = [(i, f"text {i}", "en") for i in range(400)] + [(None, "no id", "en"), (7, "id again", None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    widths = []
+    number = fixtures.number_within
+    monkeypatch.setattr(fixtures, "number_within", lambda d, g, o, chunk: widths.append(
+        max(r["count"] for r in d.groupBy(*g, chunk.alias("c")).count().collect())) or number(d, g, o, chunk))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        log = fixtures.Fixtures(spark, str(tmp_path)).doc_log
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert widths == [8]
+    got = sorted((r["log_offset"], r["value"]) for r in log.filter("topic = 'docs.en'").collect())
+    assert [o for o, _ in got] == list(range(401))
+    assert got[0][1] == "no id" and [v for _, v in got[1:]] == [f"text {i}" for i in range(400)]
+    tasks = {f.rsplit("/", 1)[1][:10] for f in log.inputFiles() if "topic=docs.en" in f}
+    assert len(tasks) > 1
