@@ -18,7 +18,7 @@ from ..streaming.deadletters import replay_dead_letters as replay
 from ..streaming.manifest import read_batches
 from ..streaming.push import push_query, query_state
 from ..streaming.replay import ReplayConfig, replay_stream
-from .fixtures import NOW_MS, REPLAY_TOPICS, SERVICE_ID
+from .fixtures import DOC_SEGMENT, NOW_MS, REPLAY_TOPICS, SERVICE_ID
 
 LOG_COLS = ["topic", "partition_id", "log_offset", "timestamp", "key", "value", "headers", "event_id"]
 
@@ -49,6 +49,15 @@ def stage_in_order(df: DataFrame, ts_col: str, name: str, n_files: int = 4) -> s
     return path
 
 
+def stage_texts(df: DataFrame, name: str, batches: int = 4) -> tuple[str, int]:
+    """Write ``df`` as files of about ``DOC_SEGMENT`` rows, dealt out row by row whatever the keys are.
+    The folder, and how many of its files make one of ``batches`` micro-batches."""
+    path = scratch_path(df.sparkSession, name)
+    each = max(1, -(-df.count() // (batches * DOC_SEGMENT)))
+    df.repartition(batches * each).write.parquet(path)
+    return path, each
+
+
 def consume_stream(fx) -> DataFrame:
     """STR-1/2: the fixture log as a 4-file stream through the consume loop; the audit topic."""
     spark = fx.spark
@@ -176,11 +185,10 @@ def word_count_stream_q(fx) -> DataFrame:
     from ..operators.tables import word_count
     from ..streaming.sinks import write_batch
     spark = fx.spark
-    path = scratch_path(spark, "words-in")
-    fx.table("documents").select("doc_id", "text").repartition(4, "doc_id").write.parquet(path)
+    path, each = stage_texts(fx.table("documents").select("doc_id", "text"), "words-in")
     out = scratch_path(spark, "words-out")
     # complete mode: each micro-batch replaces the whole table, so the last one is the answer
-    q = (word_count(_stream(spark, path)).writeStream.outputMode("complete")
+    q = (word_count(_stream(spark, path, each)).writeStream.outputMode("complete")
          .foreachBatch(lambda df, bid: write_batch(df, out, 0))
          .option("checkpointLocation", scratch_path(spark, "words-ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from recordlog.operators._args import join_checked
 from recordlog.operators.select import log_order
-from recordlog.plans import fixtures
+from recordlog.plans import fixtures, streaming_queries
 from recordlog.sources.log import read_log, write_log
 
 
@@ -49,6 +49,10 @@ def test_join_checked_both_paths(spark, fx_small):
         sorted(b.select("topic", "partition_id", "log_offset", "m").collect())
 
 
+def _rows_by_file(spark, path):
+    return [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).count().collect()]
+
+
 def test_document_log_is_ranked_and_stored_in_segments(spark, tmp_path, monkeypatch):
     """A topic of many texts takes many tasks, however few topics there are."""
     monkeypatch.setattr(fixtures, "DOC_SEGMENT", 8)
@@ -70,3 +74,14 @@ def test_document_log_is_ranked_and_stored_in_segments(spark, tmp_path, monkeypa
     assert got[0][1] == "no id" and [v for _, v in got[1:]] == [f"text {i}" for i in range(400)]
     tasks = {f.rsplit("/", 1)[1][:10] for f in log.inputFiles() if "topic=docs.en" in f}
     assert len(tasks) > 1
+
+
+def test_document_stream_has_files_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(streaming_queries, "DOC_SEGMENT", 16)
+    docs = spark.range(1000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'same text' AS text")
+    path, each = streaming_queries.stage_texts(docs, "words-in")
+    rows = _rows_by_file(spark, path)
+    assert sum(rows) == 1000 and max(rows) <= 32
+    assert each == 16 and len(rows) <= 4 * each
+    path, each = streaming_queries.stage_texts(docs.limit(0), "words-in")
+    assert each == 1 and spark.read.parquet(path).count() == 0
