@@ -4,8 +4,8 @@ Each language keeps the terms that stand in enough of its documents.  The kept t
 cut into shards at places their own hashes choose; each shard becomes a minimal acyclic
 transducer, built from its sorted terms, that gives a term's place in order (its ordinal).  The
 texts are then read again and all their terms stream through the transducers for the recount:
-a task first adds up what its own texts hold, the sums go to the shard of the term, and what
-the transducer does not accept is dropped.  Shard and ordinal are in the order of the terms, so
+a task first adds up what its own texts hold, the sums go to the shard of the term, many in a row, and
+what the transducer does not accept is dropped.  Shard and ordinal are in the order of the terms, so
 they break ties.
 
 A group is a (language, source).  With count+1 over total+V scaled to integers, every kept term
@@ -19,8 +19,9 @@ arithmetic is on integers, exact for counts of any size.  Extra columns are not
 """
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from itertools import islice, takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,9 @@ SHARD_TERMS, MOST_CUTS, CUT_BYTES = 8_192, 16_384, 256
 #: Sums that a task holds before it passes them on.
 HELD = 500_000
 SCALE = 1_000_000_000
-ROW = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("entry", pa.binary()), ("source", pa.string()), ("n", pa.int64())])
+#: Sums of a row that a task passes on, and of a shard before they are added up.
+ROW_TERMS, SUMMED = 512, 1_000_000
+ROW = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("entry", pa.binary()), ("source", pa.string()), ("terms", pa.binary()), ("ns", pa.binary())])
 TERM = "lang string, entry binary, place bigint, sources array<string>, ns array<bigint>"
 SCORE = "part string, lang string, source string, item string, place bigint, value bigint"
 
@@ -162,15 +165,12 @@ def cuts(vocab: DataFrame, shard_terms: int = SHARD_TERMS) -> list[bytes]:
 
 def recount(docs: DataFrame, vocab: DataFrame, at: list[bytes]) -> DataFrame:
     """(lang, entry, place, sources, ns): how often each kept term stands in the texts of each source."""
-    def batch(shards, entries, source, counts, kind):
-        n = len(entries)
-        return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array([kind] * n, pa.int32()), pa.array(entries, pa.binary()),
-                                           pa.array([source] * n, pa.string()), pa.array(counts, pa.int64())], schema=ROW)
-
     def kept(batches):
         for b in batches:
             entries = b.column(0).to_pylist()
-            yield batch([bisect_right(at, e) for e in entries], entries, "", [0] * len(entries), 0)
+            empty = pa.array([b""] * len(entries), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([bisect_right(at, e) for e in entries], pa.int32()), pa.array([0] * len(entries), pa.int32()),
+                                              b.column(0).cast(pa.binary()), pa.array([""] * len(entries), pa.string()), empty, empty], schema=ROW)
 
     def counted(batches):
         held: dict[tuple, Counter] = {}
@@ -178,11 +178,17 @@ def recount(docs: DataFrame, vocab: DataFrame, at: list[bytes]) -> DataFrame:
         def rows():
             for (lang, source), counts in held.items():
                 head = _entry(lang)
-                entries = [head + k for k in counts]
-                numbers = list(counts.values())
-                for lo in range(0, len(entries), 32_768):
-                    some = entries[lo:lo + 32_768]
-                    yield batch([bisect_right(at, e) for e in some], some, source, numbers[lo:lo + 32_768], 1)
+                terms = sorted(counts)
+                numbers = np.fromiter(map(counts.__getitem__, terms), dtype="<i8", count=len(terms))
+                # the cuts within the language, and where they part its terms
+                first = bisect_right(at, head)
+                edges = [0, *(bisect_left(terms, c[len(head):]) for c in takewhile(lambda c: c.startswith(head), islice(at, first, None))), len(terms)]
+                found = [(shard, some[lo:lo + ROW_TERMS]) for shard, some in enumerate(map(range, edges, edges[1:]), first)
+                         for lo in range(0, len(some), ROW_TERMS)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([shard for shard, _ in found], pa.int32()), pa.array([1] * len(found), pa.int32()), pa.array([head] * len(found), pa.binary()),
+                    pa.array([source] * len(found), pa.string()), pa.array([b"\0".join(terms[x.start:x.stop]) + b"\0" for _, x in found], pa.binary()),
+                    pa.array([numbers[x.start:x.stop].tobytes() for _, x in found], pa.binary())], schema=ROW)
             held.clear()
 
         size = 0
@@ -197,21 +203,29 @@ def recount(docs: DataFrame, vocab: DataFrame, at: list[bytes]) -> DataFrame:
                     size = 0
         yield from rows()
 
-    kind = "shard int, kind int, entry binary, source string, n bigint"
+    kind = "shard int, kind int, entry binary, source string, terms binary, ns binary"
     rows = vocab.mapInArrow(kept, kind).unionByName(docs.select("lang", "source", "text").mapInArrow(counted, kind))
     return rows.repartition("shard").sortWithinPartitions("shard", "kind", "entry").mapInArrow(_stream, TERM)
 
 
+def _words(terms: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The different terms of rows in which a zero byte ends each, and where each stands among them."""
+    data = np.frombuffer(b"".join(terms), dtype=np.uint8)
+    ends = np.flatnonzero(data == 0)
+    offsets = np.append(0, ends + 1 - np.arange(1, len(ends) + 1)).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data[data != 0])]).dictionary_encode()
+    return words.dictionary.to_pylist(), words.indices.to_numpy()
+
+
 def _stream(batches):
-    """Shard after shard: builds the transducer from its sorted terms, then streams the texts' terms through it."""
+    """Shard after shard: builds the transducer from its sorted terms, then streams the texts' terms through it
+    and adds up what it accepts by term and source."""
     shard, automaton, kept, names, known = None, None, [], [], {}
-    carry = None  # rows of the entry that may go on in the next batch: numbers, sources, counts
+    sums: list[tuple] = []  # numbers, sources, counts of the shard
+    size = summed = 0  # of their rows, and of those that are added up
 
-    def settled(numbers, sources, counts):
-        order = np.lexsort((sources, numbers))
-        numbers, sources, counts = numbers[order], sources[order], counts[order]
-        first = np.flatnonzero(np.append(True, (numbers[1:] != numbers[:-1]) | (sources[1:] != sources[:-1])))
-        numbers, sources, counts = numbers[first], sources[first], np.add.reduceat(counts, first)
+    def settled():
+        numbers, sources, counts = _summed(sums)
         begin = np.append(np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])), len(numbers)).astype(np.int32)
         entries = [kept[i] for i in numbers[begin[:-1]]]
         return pa.RecordBatch.from_arrays([
@@ -221,12 +235,12 @@ def _stream(batches):
             pa.ListArray.from_arrays(pa.array(begin), pa.array(counts))], ["lang", "entry", "place", "sources", "ns"])
 
     for b in batches:
-        shards, kinds, counts = (b.column(k).to_numpy() for k in (0, 1, 4))
+        shards, kinds = (b.column(k).to_numpy() for k in (0, 1))
         for lo, hi in _runs(shards, kinds):
             if shards[lo] != shard:
-                if carry is not None:
-                    yield settled(*carry)
-                shard, automaton, kept, carry = int(shards[lo]), Transducer(), [], None
+                if size:
+                    yield settled()
+                shard, automaton, kept, sums, size, summed = int(shards[lo]), Transducer(), [], [], 0, 0
             if kinds[lo] == 0:
                 for word in b.column(2).slice(lo, hi - lo).to_pylist():
                     automaton.add(word)
@@ -236,34 +250,32 @@ def _stream(batches):
                 continue
             if automaton.path:
                 automaton.finish()
-            words = b.column(2).slice(lo, hi - lo).dictionary_encode()
-            numbers = automaton.ordinals(words.dictionary.to_pylist())[words.indices.to_numpy()]
-            source = b.column(3).slice(lo, hi - lo).dictionary_encode()
-            for name in source.dictionary.to_pylist():
-                if name not in known:
-                    known[name] = len(names)
-                    names.append(name)
-            ids = np.array([known[x] for x in source.dictionary.to_pylist()], dtype=np.int64)[source.indices.to_numpy()]
-            some = numbers >= 0
-            now = numbers[some], ids[some], counts[lo:hi][some]
-            if carry is not None:
-                now = tuple(np.concatenate(x) for x in zip(carry, now))
-            if not len(now[0]):
-                continue
-            goes_on = now[0] == now[0][-1]
-            if not goes_on.all():
-                yield settled(*(x[~goes_on] for x in now))
-            carry = _summed(*(x[goes_on] for x in now))
-    if carry is not None:
-        yield settled(*carry)
-
-
-def _summed(numbers, sources, counts):
-    """Rows of one term, a row a source."""
-    which, back = np.unique(sources, return_inverse=True)
-    total = np.zeros(len(which), dtype=np.int64)
-    np.add.at(total, back, counts)
-    return np.full(len(which), numbers[0]), which, total
+            heads, source, terms, ns = (b.column(k).slice(lo, hi - lo).to_pylist() for k in (2, 3, 4, 5))
+            for name in set(source) - known.keys():
+                known[name] = len(names)
+                names.append(name)
+            edges = [0, *(i for i in range(1, len(heads)) if heads[i] != heads[i - 1]), len(heads)]
+            for first, last in zip(edges, edges[1:]):
+                words, which = _words(terms[first:last])
+                numbers = automaton.ordinals([heads[first] + w for w in words])[which]
+                ids = np.repeat([known[x] for x in source[first:last]], [len(x) // 8 for x in ns[first:last]])
+                some = numbers >= 0
+                sums.append((numbers[some], ids[some], np.frombuffer(b"".join(ns[first:last]), dtype="<i8")[some]))
+                size += len(sums[-1][0])
+            if size > 2 * summed + SUMMED:
+                sums = [_summed(sums)]
+                size = summed = len(sums[0][0])
+    if size:
+        yield settled()
+
+
+def _summed(sums: list[tuple]) -> tuple:
+    """Numbers, sources and counts added up, in order of number and source."""
+    numbers, sources, counts = (np.concatenate(x) for x in zip(*sums))
+    order = np.lexsort((sources, numbers))
+    numbers, sources, counts = numbers[order], sources[order], counts[order]
+    first = np.flatnonzero(np.append(True, (numbers[1:] != numbers[:-1]) | (sources[1:] != sources[:-1])))
+    return numbers[first], sources[first], np.add.reduceat(counts, first)
 
 
 def _runs(*keys: np.ndarray):

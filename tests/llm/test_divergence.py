@@ -89,3 +89,32 @@ def test_shares_beyond_64_bits():
     counts = np.array([[10**13, 0, 7]])
     total = np.array([[10**14]])
     assert divergence._share(counts, total, 3).tolist() == [[1 + 10**9 * (c + 1) // (10**14 + 3) for c in (10**13, 0, 7)]]
+
+
+def test_sums_of_many_terms_share_a_row(spark, monkeypatch):
+    """What the texts hold is shuffled and sorted as rows of many terms, not as a row a term."""
+    docs = spark.createDataFrame([("en", "s", " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(400)))] * 3, "lang string, source string, text string").coalesce(1)
+    vocab = divergence.vocabulary(docs)
+    assert vocab.count() == 400
+    seen = spark.sparkContext.accumulator(0)
+
+    def stream(batches):
+        for b in batches:
+            seen.add(int((b.column(1).to_numpy() == 1).sum()))
+        yield from ()
+    monkeypatch.setattr(divergence, "_stream", stream)
+    divergence.recount(docs, vocab, []).collect()
+    assert seen.value == 1
+
+
+def test_words_of_rows():
+    words, which = divergence._words([b"a\0bc\0", b"", b"bc\0\xc3\xa9\0a\0"])
+    assert [words[k] for k in which] == [b"a", b"bc", b"bc", "é".encode(), b"a"]
+
+
+@pytest.mark.parametrize("row_terms,summed", [(1, 0), (3, 10)])
+def test_small_rows_and_early_sums(spark, monkeypatch, row_terms, summed):
+    rows = table()
+    monkeypatch.setattr(divergence, "ROW_TERMS", row_terms)
+    monkeypatch.setattr(divergence, "SUMMED", summed)
+    assert sorted(tuple(r) for r in divergence.audit(frame(spark, rows), shard_terms=5).collect()) == brute(rows)
