@@ -44,8 +44,8 @@ FIRST, LATER, COUNTS = range(3)
 #: Ends a document: a byte that UTF-8 never uses.
 DOCUMENT = b"\xff"
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E), DOCUMENT[0]])
-#: Bytes that are hashed in one step; bits of the filter of documents that a join needs.
-STEP_BYTES, FILTER_BITS = 1 << 20, 22
+#: Bytes that are hashed in one step, at some 40 times as much memory; bits of the filter of documents that a join needs.
+STEP_BYTES, FILTER_BITS = 1 << 18, 22
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -136,6 +136,7 @@ def _shingles(batches, words: int, short: bool, wanted=None):
         found = step()
         if len(found[2]):
             yield found
+    pa.default_memory_pool().release_unused()  # of the batches; else the worker holds on to it, and lives on after its task
 
 
 def _line_digests(hashed: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

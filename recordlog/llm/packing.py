@@ -41,6 +41,8 @@ Filling = tuple[tuple[int, int], ...]
 #: its branches.  They bound the driver's time; the packing is whole wherever the search ends.
 SEARCH_NODES, FILLING_STEPS, BRANCHES = 8_000, 400, 3
 BUCKET_ROWS = 4096
+#: Pieces or parts that one call of the tokenizer takes.
+CALL_PARTS = 8192
 
 
 # -- tokens ---------------------------------------------------------------------------------
@@ -100,6 +102,7 @@ class TokenBytes:
                 some, size = [], 0
         if some:
             yield from self._block(some)
+        pa.default_memory_pool().release_unused()
 
     def _block(self, texts: list[bytes]) -> Iterator[bytes]:
         split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
@@ -109,6 +112,8 @@ class TokenBytes:
         _, offsets, data = every.buffers()
         at = np.frombuffer(offsets, dtype=np.int64, count=len(every) + 1)[split.offsets.to_numpy()].tolist()
         view = memoryview(data if data is not None else b"")
+        del split, parts, ids
+        pa.default_memory_pool().release_unused()  # else the worker holds on to what a block took, and lives on after its task
         for a, b in zip(at, at[1:]):
             yield bytes(view[a:b])
 
@@ -132,19 +137,23 @@ class TokenBytes:
         known, lower = self.known, list(map(str.lower, parts))
         cut = {p: _PIECES.findall(p) for p in lower if not p.isalpha()}
         new = list((set(lower) - cut.keys()).union(*cut.values()) - known.keys())
-        if new:
-            text = " ".join([p if p.isascii() else p.translate(_AS_BYTES) for p in new])
+        for lo in range(0, len(new), CALL_PARTS):
+            some = new[lo:lo + CALL_PARTS]
+            text = " ".join([p if p.isascii() else p.translate(_AS_BYTES) for p in some])
             ids = np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
             to = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(to) != len(new):
+            if len(to) != len(some):
                 return self._encode(parts)
             every = ids.tobytes()
-            known.update((p, every[a:b]) for p, a, b in zip(new, [0, *to], to))
+            known.update((p, every[a:b]) for p, a, b in zip(some, [0, *to], to))
         return [b"".join([known[x] for x in cut[p]]) if p in cut else known[p] for p in lower]
 
     def _encode(self, parts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        found = []
+        for lo in range(0, len(parts), CALL_PARTS):
+            some = self.tokenizer.encode_batch_fast(parts[lo:lo + CALL_PARTS], add_special_tokens=False)
+            found += [np.array(e.ids, dtype="<u4").tobytes() for e in some]
+        return found
 
 
 def encoder(path: str) -> TokenBytes:

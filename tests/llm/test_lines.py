@@ -1,5 +1,8 @@
+import tracemalloc
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -78,3 +81,17 @@ def test_short_lines_lose_their_repeats(spark):
         return t if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in want.get((i, t), []))
     assert sorted(str((r["doc_id"], r["text"])) for r in lines.dedup(frame(spark, rows), short=True).collect()) \
         == sorted(str((i, left(i, t))) for i, t, *_ in rows)
+
+
+def test_memory_of_a_scan_does_not_grow_with_its_texts():
+    """A worker hashes a bounded number of bytes at once; the texts here are 7 MB, in lines that repeat."""
+    text = "\n".join(" ".join(f"w{(k * 7 + j) % 50}" for j in range(9)) for k in range(100))
+    one = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(np.zeros(200, dtype=np.int64)), pa.array([text] * 200)], ["id", "key", "text"])
+    tracemalloc.start()
+    try:
+        found = sum(len(s[2]) for s in lines._shingles([one] * 12, 5, True))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 12 * 200 * 100
+    assert len(text) * 2400 > 6 << 20 and peak < 24 << 20

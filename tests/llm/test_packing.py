@@ -1,6 +1,9 @@
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -157,3 +160,46 @@ def test_few_parts_go_to_the_whole_tokenizer(monkeypatch):
     monkeypatch.setattr(tokens, "_encode", lambda parts: asked.extend(parts) or encode(parts))
     list(tokens.of(iter(["Été, HENTST!! 555-0499 mkck.02@mail3.example.com naïve$$$ don't".encode()])))
     assert asked == ["don't"]
+
+
+def test_one_call_of_the_model_takes_a_bounded_number_of_parts():
+    tokens = packing.TokenBytes(PATH)
+    texts = [" ".join(f"{a}{b}{c}{d}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyzabcd" for d in "aeioudklmnrst"),
+             " ".join(f"don't{k}" for k in range(10_000))]
+
+    class Calls:
+        def __init__(self, of):
+            self.of, self.sizes = of, []
+
+        def encode_batch_fast(self, parts, add_special_tokens):
+            self.sizes.append(sum(p.count(" ") + 1 for p in parts))
+            return self.of.encode_batch_fast(parts, add_special_tokens=add_special_tokens)
+
+    whole, tokens.bare, tokens.tokenizer = tokens.tokenizer, Calls(tokens.bare), Calls(tokens.tokenizer)
+    for t, ids in zip(texts, tokens.of(iter([t.encode() for t in texts]))):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
+    for calls, parts in ((tokens.bare, 13_000), (tokens.tokenizer, 10_000)):
+        assert max(calls.sizes) <= 8192 and sum(calls.sizes) == parts
+
+
+HELD = """
+import random, re, sys
+from pathlib import Path
+from recordlog.llm import packing
+def held():
+    return sum(map(int, re.findall(r"Pss_Anon: +([0-9]+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+r = random.Random(5)
+words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(3, 9))).encode() for _ in range(60_000)]
+tokens = packing.TokenBytes(sys.argv[1])
+texts = [b" ".join(r.choices(words, k=2_000)) for _ in range(1_600)]
+before = held()
+for _ in tokens.of(iter(texts)):
+    pass
+print(held() - before)
+"""
+
+
+def test_a_worker_does_not_hold_what_a_block_took():
+    """20 MB of text, 60,000 different words: what stays after it is the parts that are kept."""
+    done = subprocess.run([sys.executable, "-c", HELD, PATH], cwd=Path(__file__).parents[2], capture_output=True, text=True, check=True)
+    assert float(done.stdout) < 100
